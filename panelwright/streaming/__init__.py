@@ -1,0 +1,5 @@
+"""Left empty on purpose: every input of the covered work is a finished table.
+
+Time logic (lags, rolling returns, calendars) is batch work and lives in
+`panelwright.operators.panel`.
+"""
