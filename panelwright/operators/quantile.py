@@ -2,43 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import finite
-from panelwright.operators.tables import all_equal, attach, freeze
-
-MILLION = 1_000_000
-
-# Rank of fraction p among n sorted values, in millionths: (n + shift) * p + offset.
-# linear   interpolates between ranks of (n - 1) p + 1
-# weibull  interpolates between ranks of (n + 1) p
-# averaged takes the next rank above n p, or the mean of two when n p is whole
-DEFINITIONS = ("linear", "weibull", "averaged")
+from panelwright.operators.tables import all_equal, attach, compact, freeze
 
-
-def _rank(n: Column, fraction: float, definition: str):
-    """Lower rank, upper rank, and the weight of the upper value."""
-    p = F.lit(round(fraction * MILLION)).cast("long")
-    if definition == "linear":
-        position = (n - 1) * p + MILLION
-    elif definition == "weibull":
-        position = (n + 1) * p
-    else:
-        position = n * p
-    whole = F.call_function("div", position, F.lit(MILLION).cast("long"))
-    part = position % MILLION
-    if definition == "averaged":
-        low = F.when(part == 0, whole).otherwise(whole + 1)
-        high = whole + 1
-        weight = F.lit(0.5)
-    else:
-        low, high, weight = whole, whole + 1, part / MILLION
-    inside = lambda r: F.least(F.greatest(r, F.lit(1).cast("long")), n)
-    return inside(low), inside(high), weight
+# Position of fraction p (in millionths) among n sorted values, in millionths.
+# linear   interpolates between the ranks around (n - 1) p + 1
+# weibull  interpolates between the ranks around (n + 1) p
+# averaged takes the next rank above n p, or the mean of two ranks if n p is whole
+POSITION = {"linear": "(n - 1) * p + 1000000", "weibull": "(n + 1) * p", "averaged": "n * p"}
 
 
 def percentiles(
@@ -57,26 +32,51 @@ def percentiles(
     4 / accuracy of the rows. The values at the exact ranks are read from those
     counts. Should a sketch miss a rank, the interval that does hold it is
     counted as well, so the result never depends on the sketch.
+
+    The rows are read twice; freeze a costly input first.
+    """
+    return with_percentiles(df, cols, fractions, by, definition, accuracy)[1]
+
+
+def with_percentiles(
+    df: DataFrame,
+    cols,
+    fractions,
+    by=(),
+    definition: str = "linear",
+    accuracy: int = 10_000,
+    total: bool = False,
+    aggregates=(),
+) -> tuple[DataFrame, DataFrame]:
+    """Group table with further `aggregates`, and the percentiles, from the same passes.
+
+    With `total` both also hold the group of all rows, flagged by `is_total`.
     """
-    if definition not in DEFINITIONS:
-        raise ValueError(f"definition must be one of {DEFINITIONS}, not {definition!r}")
+    if definition not in POSITION:
+        raise ValueError(f"definition must be one of {tuple(POSITION)}, not {definition!r}")
     cols, by = ([cols] if isinstance(cols, str) else list(cols)), list(by)
     fractions = sorted(set(fractions))
     margin = 2.0 / accuracy
     cut_at = [c for p in fractions for c in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    rows = df.select(*by, *[finite(c).alias(f"__x{i}") for i, c in enumerate(cols)])
-
-    sketch = freeze(
-        rows.groupBy(*by).agg(
-            *[
-                F.struct(
-                    F.count(f"__x{i}").alias("n"),
-                    F.percentile_approx(f"__x{i}", cut_at, accuracy).alias("cuts"),
-                ).alias(f"__s{i}")
-                for i in range(len(cols))
-            ]
+    rows = df.select(*by, *[finite(c).alias(c) for c in cols])
+
+    sketches = [
+        F.struct(F.count(c).alias("n"), F.percentile_approx(c, cut_at, accuracy).alias("cuts")).alias(
+            f"__s{i}"
         )
-    )
+        for i, c in enumerate(cols)
+    ]
+    if total:
+        keys = [F.col(b) for b in by]
+        flag = (F.grouping_id() > 0).alias("is_total")
+        groups = freeze(rows.groupingSets([keys, []], *keys).agg(flag, *aggregates, *sketches))
+        rows = rows.withColumn("is_total", F.explode(F.array(F.lit(False), F.lit(True))))
+        rows = rows.withColumns({b: F.when(~F.col("is_total"), F.col(b)) for b in by})
+        by = [*by, "is_total"]
+    else:
+        groups = freeze(rows.groupBy(*by).agg(*aggregates, *sketches))
+    sketch = groups.select(*by, *[f"__s{i}" for i in range(len(cols))])
+    rows = rows.select(*by, *[F.col(c).alias(f"__x{i}") for i, c in enumerate(cols)])
     placed = _long(attach(rows, sketch, by), by, cols, fractions).filter("__zone IS NOT NULL")
     key = [*by, "variable", "__zone"]
     seen = freeze(
@@ -84,66 +84,77 @@ def percentiles(
             F.count(F.lit(1)).alias("__m")
         )
     )
+    seen = compact(seen)
+    wanted = _located(_targets(compact(sketch), by, cols, fractions, definition), seen, by)
+    values = freeze(_read(wanted, seen, by))
+    missed = values.filter("__missed").select(*by, "variable", "fraction")
+    if not missed.isEmpty():
+        zones = attach(wanted, missed.withColumn("__again", F.lit(True)), [*by, "variable", "fraction"])
+        zones = zones.filter("NOT __known").select(*[F.col(k).alias(f"__q_{k}") for k in key]).distinct()
+        same = all_equal([(k, f"__q_{k}") for k in key])
+        counted = placed.join(zones, same, "left_semi").groupBy(*key, "__x").agg(
+            F.count(F.lit(1)).alias("__m")
+        )
+        seen = seen.join(zones, same, "left_anti").unionByName(counted)
+        values = freeze(_read(wanted, seen, by))
+    groups = groups.drop(*[f"__s{i}" for i in range(len(cols))])
+    return groups, values.select(*by, "variable", "fraction", "value")
 
-    # At most one row per cut and group from here to `wanted`.
-    zones = seen.groupBy(*key).agg(
+
+def _located(targets: DataFrame, seen: DataFrame, by) -> DataFrame:
+    """For every wanted rank the zone that holds it and the rows below that zone.
+
+    The window runs over the zones of a group, of which there are at most two
+    per fraction and one more.
+    """
+    zones = seen.groupBy(*by, "variable", "__zone").agg(
         F.sum("__m").alias("__m"), F.max(F.col("__x").isNotNull()).alias("__known")
     )
     below = W.partitionBy(*by, "variable").orderBy("__zone").rowsBetween(W.unboundedPreceding, -1)
     zones = zones.withColumn("__before", F.coalesce(F.sum("__m").over(below), F.lit(0)))
-    targets = _targets(sketch, by, cols, fractions, definition)
-    zone_keys = [F.col(k).alias(f"__z_{k}") for k in [*by, "variable"]]
-    zones = zones.select(*zone_keys, "__zone", "__m", "__before", "__known")
-    wanted = freeze(
-        targets.join(
-            zones,
-            all_equal([(k, f"__z_{k}") for k in [*by, "variable"]])
-            & (F.col("__rank") > F.col("__before"))
-            & (F.col("__rank") <= F.col("__before") + F.col("__m")),
-            "left",
-        ).drop(*[f"__z_{k}" for k in [*by, "variable"]])
+    group = [*by, "variable"]
+    zones = zones.select(
+        *[F.col(k).alias(f"__z_{k}") for k in group], "__zone", "__m", "__before", "__known"
     )
+    inside = (F.col("__rank") > F.col("__before")) & (
+        F.col("__rank") <= F.col("__before") + F.col("__m")
+    )
+    same = all_equal([(k, f"__z_{k}") for k in group])
+    return targets.join(zones, same & inside, "left").drop(*[f"__z_{k}" for k in group])
 
-    missed = wanted.filter("NOT __known").select(*key).distinct()
-    if not missed.isEmpty():
-        missed = missed.select(*[F.col(k).alias(f"__q_{k}") for k in key])
-        same = all_equal([(k, f"__q_{k}") for k in key])
-        counted = placed.join(missed, same, "left_semi").groupBy(*key, "__x").agg(
-            F.count(F.lit(1)).alias("__m")
-        )
-        seen = seen.join(missed, same, "left_anti").unionByName(counted)
 
+def _read(wanted: DataFrame, seen: DataFrame, by) -> DataFrame:
+    """The values at the wanted ranks, combined by weight."""
+    key = [*by, "variable", "__zone"]
     upto = W.partitionBy(*key).orderBy("__x").rowsBetween(W.unboundedPreceding, 0)
     held = seen.filter(F.col("__x").isNotNull()).withColumn("__upto", F.sum("__m").over(upto))
     held = held.select(*[F.col(k).alias(f"__h_{k}") for k in key], "__x", "__upto", F.col("__m").alias("__w"))
     offset = F.col("__rank") - F.col("__before")
-    found = wanted.join(
-        held,
-        all_equal([(k, f"__h_{k}") for k in key])
-        & (offset <= F.col("__upto"))
-        & (offset > F.col("__upto") - F.col("__w")),
-        "left",
-    )
+    at_rank = (offset <= F.col("__upto")) & (offset > F.col("__upto") - F.col("__w"))
+    found = wanted.join(held, all_equal([(k, f"__h_{k}") for k in key]) & at_rank, "left")
     pair = found.groupBy(*by, "variable", "fraction").agg(
         F.max(F.when(F.col("__side") == 0, F.col("__x"))).alias("__low"),
         F.max(F.when(F.col("__side") == 1, F.col("__x"))).alias("__high"),
         F.max("__weight").alias("__weight"),
+        F.max(F.col("__rank").isNotNull() & F.col("__x").isNull()).alias("__missed"),
     )
     value = F.col("__low") + F.col("__weight") * (F.col("__high") - F.col("__low"))
-    return pair.select(*by, "variable", "fraction", value.alias("value"))
+    return pair.select(*by, "variable", "fraction", value.alias("value"), "__missed")
 
 
 def _long(placed: DataFrame, by, cols, fractions) -> DataFrame:
     """One row per value: its variable, the zone between cuts, whether in a bracket."""
 
-    def entry(i, c):
-        x, cuts = F.col(f"__x{i}"), F.col(f"__s{i}.cuts")
-        lows = [x >= cuts[2 * k] for k in range(len(fractions))]
-        highs = [x > cuts[2 * k + 1] for k in range(len(fractions))]
-        zone = reduce(lambda a, b: a + b, [b.cast("int") for b in lows + highs])
-        near = reduce(lambda a, b: a | b, [lo & ~hi for lo, hi in zip(lows, highs)])
+    def entry(i, name):
+        at_least = [f"__x{i} >= __s{i}.cuts[{2 * k}]" for k in range(len(fractions))]
+        above = [f"__x{i} > __s{i}.cuts[{2 * k + 1}]" for k in range(len(fractions))]
+        zone = " + ".join(f"int({b})" for b in at_least + above)
+        near = " OR ".join(f"({lo} AND NOT {hi})" for lo, hi in zip(at_least, above))
         return F.struct(
-            F.lit(c).alias("variable"), x.alias("__x"), zone.alias("__zone"), near.alias("__near")
+            F.lit(name).alias("variable"),
+            F.col(f"__x{i}").alias("__x"),
+            F.expr(zone).alias("__zone"),
+            F.expr(near).alias("__near"),
         )
 
     entries = [entry(i, c) for i, c in enumerate(cols)]
@@ -153,23 +164,24 @@ def _long(placed: DataFrame, by, cols, fractions) -> DataFrame:
 
 
 def _targets(sketch: DataFrame, by, cols, fractions, definition) -> DataFrame:
-    """The two ranks needed for every group, variable and fraction."""
-    wanted = []
-    for i, c in enumerate(cols):
-        n = F.col(f"__s{i}.n")
-        for p in fractions:
-            low, high, weight = _rank(n, p, definition)
-            for side, rank in enumerate((low, high)):
-                wanted.append(
-                    F.struct(
-                        F.lit(c).alias("variable"),
-                        F.lit(float(p)).alias("fraction"),
-                        F.lit(side).alias("__side"),
-                        F.when(n > 0, rank).alias("__rank"),
-                        weight.alias("__weight"),
-                    )
-                )
-    return sketch.select(*by, F.inline(F.array(*wanted)))
+    """The lower and upper rank for every group, variable and fraction."""
+    sizes = [F.struct(F.lit(c).alias("variable"), F.col(f"__s{i}.n").alias("n")) for i, c in enumerate(cols)]
+    wanted = ", ".join(
+        f"struct(double('{p!r}') AS fraction, bigint({round(p * 1_000_000)}) AS p)" for p in fractions
+    )
+    table = sketch.select(*by, F.inline(F.array(*sizes)))
+    table = table.selectExpr("*", f"inline(array({wanted}))")
+    table = table.selectExpr("*", f"({POSITION[definition]}) AS position")
+    table = table.selectExpr("*", "position div 1000000 AS whole", "position % 1000000 AS part")
+    if definition == "averaged":
+        low, high, weight = "if(part = 0, whole, whole + 1)", "whole + 1", "0.5D"
+    else:
+        low, high, weight = "whole", "whole + 1", "part / 1e6D"
+    table = table.selectExpr(
+        "*", f"{weight} AS __weight", f"inline(array(struct(0 AS __side, {low} AS r), struct(1 AS __side, {high} AS r)))"
+    )
+    rank = F.expr("if(n > 0, least(greatest(r, 1L), n), NULL)")
+    return table.select(*by, "variable", "fraction", "__side", rank.alias("__rank"), "__weight")
 
 
 def percentile_columns(table: DataFrame, by, cols, names: dict) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import finite
-from panelwright.operators.quantile import percentiles
+from panelwright.operators.quantile import with_percentiles
 from panelwright.operators.tables import attach, freeze, running_total
 
 MOMENTS = {
@@ -61,24 +61,22 @@ def summarize(
         )
         for c in cols
     ]
-    if total:
+    flag = ["is_total"] if total else []
+    if fractions:
+        wide, ranked = with_percentiles(
+            x, cols, fractions.values(), by, definition, total=total, aggregates=aggs
+        )
+    elif total:
         keys = [F.col(b) for b in by]
         wide = x.groupingSets([keys, []], *keys).agg((F.grouping_id() > 0).alias("is_total"), *aggs)
     else:
         wide = x.groupBy(*by).agg(*aggs)
-    flag = ["is_total"] if total else []
     out = wide.select(*by, *flag, F.inline(F.array(*[f"__{c}" for c in cols])))
     if fractions:
-        ranked = percentiles(x, cols, fractions.values(), by, definition)
-        if total:
-            over_all = percentiles(x, cols, fractions.values(), (), definition)
-            ranked = ranked.withColumn("is_total", F.lit(False)).unionByName(
-                over_all.withColumn("is_total", F.lit(True)), allowMissingColumns=True
-            )
-        wide_ranks = ranked.groupBy(*by, *flag, "variable").agg(
+        as_columns = ranked.groupBy(*by, *flag, "variable").agg(
             *[F.max(F.when(F.col("fraction") == p, F.col("value"))).alias(s) for s, p in fractions.items()]
         )
-        out = attach(out, wide_ranks, [*by, *flag, "variable"], "left")
+        out = attach(out, as_columns, [*by, *flag, "variable"], "left")
     return out.select(*by, *flag, "variable", *stats)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPLITS = 256
+SMALL_ROWS = 100_000
 
 _local_root: str | None = None
 
@@ -47,6 +48,14 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def compact(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A frozen table in one partition if it holds at most `rows` rows, else as it is.
+
+    Steps on a table known to be that small then need no shuffle.
+    """
+    return table.coalesce(1) if table.limit(rows + 1).count() <= rows else table
+
+
 def all_equal(pairs) -> Column:
     """Null-safe equality over (left, right) column names."""
     return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
@@ -73,9 +82,10 @@ def running_total(table: DataFrame, order: str, value: str, name: str) -> DataFr
     No task sees the whole table: a fixed-size sample of the values cuts the
     order into at most SPLITS + 1 segments, each is summed inside its own task,
     and the sums of earlier segments are added. The sample only balances the
-    work; any sample gives the same result. `table` is read three times, so pass
-    it frozen.
+    work; any sample gives the same result. `table` must be frozen, because it is
+    read three times.
     """
+    table = compact(table)
     sample = table.select(order).orderBy(F.xxhash64(order), order).limit(SPLITS)
     splits = sample.agg(F.sort_array(F.collect_list(order)).alias("splits")).scalar()
     placed = table.select("*", splits.alias("__splits")).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import clamp
 from panelwright.operators.quantile import percentile_columns, percentiles
-from panelwright.operators.tables import attach, freeze
+from panelwright.operators.tables import attach
 
 
 def winsorize(
@@ -26,7 +26,7 @@ def winsorize(
     """
     cols, by = ([cols] if isinstance(cols, str) else list(cols)), list(by)
     ranked = percentiles(df, cols, (low, high), by, definition)
-    bounds = freeze(percentile_columns(ranked, by, cols, {low: "__low", high: "__high"}))
+    bounds = percentile_columns(ranked, by, cols, {low: "__low", high: "__high"})
     bounded = attach(df, bounds, by, "left")
     return bounded.select(
         *[
