@@ -257,10 +257,12 @@ def gap_argmax(t):
 
 # Regressions
 
-FIT = """f AS (SELECT {by} regr_count(y, x) AS n, regr_sxx(y, x) AS sxx, regr_sxy(y, x) AS sxy, regr_syy(y, x) AS syy,
-    regr_avgx(y, x) AS xm, regr_avgy(y, x) AS ym, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d {group}),
-  e AS (SELECT *, (syy - b * sxy) / (n - 2) AS s2 FROM f),
-  s AS (SELECT *, sqrt(s2 / sxx) AS se_b, sqrt(s2 * (1.0 / n + xm * xm / sxx)) AS se_a, b * sxy / syy AS r2 FROM e)"""
+FIT = """f AS (SELECT {by} CAST(regr_count(y, x) AS BIGINT) AS n, regr_sxx(y, x) AS sxx, regr_sxy(y, x) AS sxy,
+    regr_syy(y, x) AS syy, regr_avgx(y, x) AS xm, regr_avgy(y, x) AS ym,
+    CASE WHEN regr_count(y, x) > 2 AND regr_sxx(y, x) > 0 THEN regr_slope(y, x) END AS b FROM d {group}),
+  e AS (SELECT *, ym - b * xm AS a, (syy - b * sxy) / CASE WHEN n > 2 THEN n - 2 END AS s2 FROM f),
+  s AS (SELECT *, sqrt(s2 / nullif(sxx, 0)) AS se_b, sqrt(s2 * (1.0 / nullif(n, 0) + xm * xm / nullif(sxx, 0))) AS se_a,
+    b * sxy / nullif(syy, 0) AS r2 FROM e)"""
 FIT_OUT = """n, round(a, 4) AS a, round(b, 4) AS b, round(se_a, 4) AS se_a, round(se_b, 4) AS se_b, round(a / se_a, 4) AS t_a,
   round(b / se_b, 4) AS t_b, round(r2, 6) AS r2, round(1 - (1 - r2) * (n - 1) / (n - 2), 6) AS r2_adj"""
 PRICE_ON_QUANTITY = """d AS (SELECT l_suppkey, year(l_shipdate) AS year, l_orderkey, l_linenumber, l_partkey,
