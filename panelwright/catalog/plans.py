@@ -160,7 +160,8 @@ DAILY = f"""WITH {inputs.DAILY_PRICES},
 )
 def global_daily(t):
     """International daily returns on the common calendar."""
-    df = international.daily_returns(international.adjusted_prices(inputs.daily_prices(t), "GBR"))
+    issues = international.common_issues(inputs.daily_prices(t), "GBR")
+    df = international.daily_returns(international.adjusted_prices(issues), issues)
     return rounded(df.select("stkcd", "datadate", "date_idx", "date_diff", "ret"), 6, "ret")
 
 
@@ -173,7 +174,8 @@ def global_daily(t):
 )
 def global_monthly(t):
     """International monthly returns from month-end prices."""
-    df = international.monthly_returns(international.adjusted_prices(inputs.daily_prices(t), "GBR"))
+    issues = international.common_issues(inputs.daily_prices(t), "GBR")
+    df = international.monthly_returns(international.adjusted_prices(issues))
     return rounded(df.select("stkcd", "yyyymm", "month_diff", "ret"), 6, "ret")
 
 

@@ -28,22 +28,34 @@ def _block_of(df: DataFrame, t: str, block) -> Column:
     return F.floor(time / F.lit(block)).cast("long")
 
 
+def _part(df: DataFrame, entity, t: str, block) -> Column:
+    """Entity and block as one key.
+
+    A struct is never null and equals another field by field, nulls included, so
+    the same column serves windows, aggregates and joins with one shuffle.
+    """
+    return F.struct(*entity, _block_of(df, t, block).alias("__block"))
+
+
+def _entity_of_part(entity) -> list[Column]:
+    return [F.col("__part").getField(e) for e in entity]
+
+
 def numbered(df: DataFrame, entity, order, block=None, name: str = "row") -> DataFrame:
     """Position 1, 2, ... of each row within its entity."""
     entity, order = list(entity), list(order)
     if block is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*entity).orderBy(*order)).cast("long"))
-    split = df.withColumn("__block", _block_of(df, order[0], block))
-    sizes = split.groupBy(*entity, "__block").agg(F.count(F.lit(1)).alias("__size"))
-    earlier = W.partitionBy(*entity).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select(
-        *entity, "__block", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before")
-    )
-    inside = F.row_number().over(W.partitionBy(*entity, "__block").orderBy(*order))
+    split = df.withColumn("__part", _part(df, entity, order[0], block))
+    earlier = W.partitionBy(*_entity_of_part(entity)).orderBy("__part.__block")
+    sizes = split.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    sum_before = F.sum("__size").over(earlier.rowsBetween(W.unboundedPreceding, -1))
+    before = sizes.select("__part", F.coalesce(sum_before, F.lit(0)).alias("__before"))
+    inside = F.row_number().over(W.partitionBy("__part").orderBy(*order))
     return (
-        attach(split, before, [*entity, "__block"])
+        split.join(before, "__part")
         .withColumn(name, inside + F.col("__before"))
-        .drop("__block", "__before")
+        .drop("__part", "__before")
     )
 
 
@@ -137,19 +149,19 @@ def backfill(df: DataFrame, entity, order, cols, block=None) -> DataFrame:
     if block is None:
         w = W.partitionBy(*entity).orderBy(*order).rowsBetween(*ahead)
         return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
-    split = df.withColumn("__block", _block_of(df, order[0], block))
-    inside = W.partitionBy(*entity, "__block").orderBy(*order).rowsBetween(*ahead)
-    later = W.partitionBy(*entity).orderBy("__block").rowsBetween(1, W.unboundedFollowing)
+    split = df.withColumn("__part", _part(df, entity, order[0], block))
+    later = W.partitionBy(*_entity_of_part(entity)).orderBy("__part.__block")
+    later = later.rowsBetween(1, W.unboundedFollowing)
     key = F.struct(*order)
-    firsts = split.groupBy(*entity, "__block").agg(
+    firsts = split.groupBy("__part").agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__{c}") for c in cols]
     )
     nexts = firsts.select(
-        *entity, "__block", *[F.first(f"__{c}", ignorenulls=True).over(later).alias(f"__{c}") for c in cols]
+        "__part", *[F.first(f"__{c}", ignorenulls=True).over(later).alias(f"__{c}") for c in cols]
     )
+    inside = W.partitionBy("__part").orderBy(*order).rowsBetween(*ahead)
     local = split.withColumns({c: F.first(c, ignorenulls=True).over(inside) for c in cols})
-    filled = attach(local, nexts, [*entity, "__block"])
-    return filled.select(
+    return local.join(nexts, "__part").select(
         *[F.coalesce(c, f"__{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
     )
 
@@ -160,9 +172,13 @@ def dense_index(df: DataFrame, col: str, name: str) -> DataFrame:
     return running_total(freeze(values), col, "__one", name).drop("__one")
 
 
-def with_dense_index(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Add the position of `col` among its distinct values; nulls get none."""
-    index = freeze(dense_index(df, col, name)).withColumnRenamed(col, "__value")
+def with_dense_index(df: DataFrame, col: str, name: str, source: DataFrame | None = None) -> DataFrame:
+    """Add the position of `col` among its distinct values; nulls get none.
+
+    `source` is a cheaper table known to hold the same values of `col`.
+    """
+    index = freeze(dense_index(df if source is None else source, col, name))
+    index = index.withColumnRenamed(col, "__value")
     return df.join(index, F.col(col) == F.col("__value"), "left").drop("__value")
 
 

@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPLITS = 256
-SMALL_ROWS = 100_000
+SMALL_ROWS = 100_000  # a table proven to have no more rows may stay in one task
+MOST_SPLITS = 1024
+PER_SPLIT = 8  # sampled values per split
 
 _local_root: str | None = None
 
@@ -48,12 +49,12 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def compact(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A frozen table in one partition if it holds at most `rows` rows, else as it is.
+def compact(table: DataFrame) -> DataFrame:
+    """A frozen table in one partition if it is proven small, else as it is.
 
     Steps on a table known to be that small then need no shuffle.
     """
-    return table.coalesce(1) if table.limit(rows + 1).count() <= rows else table
+    return table.coalesce(1) if table.count() <= SMALL_ROWS else table
 
 
 def all_equal(pairs) -> Column:
@@ -79,28 +80,32 @@ def attach(df: DataFrame, table: DataFrame, on, how: str = "inner") -> DataFrame
 def running_total(table: DataFrame, order: str, value: str, name: str) -> DataFrame:
     """Running sum of `value` up to each row, by a column of distinct, known values.
 
-    No task sees the whole table: a fixed-size sample of the values cuts the
-    order into at most SPLITS + 1 segments, each is summed inside its own task,
-    and the sums of earlier segments are added. The sample only balances the
-    work; any sample gives the same result. `table` must be frozen, because it is
-    read three times.
+    `table` must be frozen. If it is small, one window does. Otherwise a sample of
+    the values, of fixed size, cuts the order into segments; each is summed in its
+    own task and the sums of earlier segments are added. The sample only balances
+    the work; any sample gives the same result.
     """
-    table = compact(table)
-    sample = table.select(order).orderBy(F.xxhash64(order), order).limit(SPLITS)
-    splits = sample.agg(F.sort_array(F.collect_list(order)).alias("splits")).scalar()
-    placed = table.select("*", splits.alias("__splits")).select(
-        *table.columns,
-        F.size(F.filter("__splits", lambda s: s <= F.col(order))).alias("__segment"),
+    rows = table.count()
+    upto = f"sum({value}) OVER ({{}} ORDER BY `{order}` ROWS UNBOUNDED PRECEDING)"
+    if rows <= SMALL_ROWS:
+        return table.coalesce(1).select("*", F.expr(upto.format("")).alias(name))
+    splits = min(MOST_SPLITS, rows // SMALL_ROWS + 1)
+    sample = table.select(order).orderBy(F.xxhash64(order), order).limit(PER_SPLIT * splits)
+    cuts = sample.agg(F.sort_array(F.collect_list(order)).alias("all")).select(
+        F.expr(f"filter(all, (v, i) -> i % {PER_SPLIT} = 0)")
     )
-    # At most SPLITS + 1 rows, so one window task and a broadcast are bounded.
+    placed = table.select("*", cuts.scalar().alias("__cuts")).select(
+        *table.columns, F.size(F.filter("__cuts", lambda c: c <= F.col(order))).alias("__segment")
+    )
+    # At most MOST_SPLITS + 1 rows, so one window task and a broadcast are bounded.
     before = placed.groupBy("__segment").agg(F.sum(value).alias("__sum"))
     before = before.selectExpr(
         "__segment AS __of",
         "coalesce(sum(__sum) OVER (ORDER BY __segment ROWS BETWEEN UNBOUNDED PRECEDING"
         " AND 1 PRECEDING), 0) AS __before",
     )
-    within = f"sum({value}) OVER (PARTITION BY __segment ORDER BY `{order}` ROWS UNBOUNDED PRECEDING)"
+    within = F.expr(upto.format("PARTITION BY __segment"))
     return (
         placed.join(F.broadcast(before), F.col("__segment") == F.col("__of"))
-        .select(*table.columns, (F.col("__before") + F.expr(within)).alias(name))
+        .select(*table.columns, (F.col("__before") + within).alias(name))
     )

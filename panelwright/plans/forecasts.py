@@ -8,6 +8,7 @@ from panelwright.functions import year_of_yyyymmdd
 from panelwright.operators.clean import dedupe, keep_groups
 from panelwright.operators.quantile import percentiles
 from panelwright.operators.summary import summarize
+from panelwright.operators.tables import freeze
 
 MEASURES = ("numest", "meanest", "stdev")
 DECILES = tuple(i / 10 for i in range(1, 10))
@@ -24,9 +25,11 @@ def forecast_summary(
     sample: DataFrame, stats=("mean", "median", "sd"), definition: str = "linear", total: bool = False
 ) -> DataFrame:
     """Yearly statistics of the forecast measures."""
-    return summarize(sample, MEASURES, stats, ["year"], total, definition)
+    # Percentiles read their input twice: four columns are cheaper to keep than to rebuild.
+    narrow = freeze(sample.select("year", *MEASURES))
+    return summarize(narrow, MEASURES, stats, ["year"], total, definition)
 
 
 def forecast_deciles(sample: DataFrame, col: str = "numest", by=("year",), definition: str = "linear"):
     """Deciles of one measure, by year or (`by=()`) over the whole sample."""
-    return percentiles(sample, col, DECILES, by, definition)
+    return percentiles(freeze(sample.select(*by, col)), col, DECILES, by, definition)

@@ -12,20 +12,27 @@ from panelwright.operators.panel import adjacent_return, with_dense_index
 COMMON_SHARE = "0"
 
 
-def adjusted_prices(raw: DataFrame, country: str, primary_only: bool = True) -> DataFrame:
-    """Common shares of a country, one row per issue and day, with adjusted price."""
+def common_issues(raw: DataFrame, country: str, primary_only: bool = True) -> DataFrame:
+    """Common shares of a country, by default the primary issues only."""
     kept = raw.filter((F.col("tpci") == COMMON_SHARE) & (F.col("fic") == country))
-    if primary_only:
-        kept = kept.filter(F.col("iid") == F.col("prirow"))
-    unique = dedupe(kept, ["gvkey", "iid", "datadate"])
+    return kept.filter(F.col("iid") == F.col("prirow")) if primary_only else kept
+
+
+def adjusted_prices(issues: DataFrame) -> DataFrame:
+    """One row per issue and day, with adjusted price and an id of the issue."""
+    unique = dedupe(issues, ["gvkey", "iid", "datadate"])
     return unique.withColumn("p_adj", ratio("prccd", "ajexdi") * F.col("trfd")).withColumn(
         "stkcd", text_id("gvkey", "iid")
     )
 
 
-def daily_returns(prices: DataFrame) -> DataFrame:
-    """Return on the previous trading day of the whole sample's calendar."""
-    indexed = with_dense_index(prices, "datadate", "date_idx")
+def daily_returns(prices: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Return on the previous trading day of the whole sample's calendar.
+
+    `calendar` is a table holding the same `datadate` values, such as the rows
+    before repeated days were dropped; it saves building the prices twice.
+    """
+    indexed = with_dense_index(prices, "datadate", "date_idx", calendar)
     return adjacent_return(indexed, ["stkcd"], "date_idx", "p_adj", gap="date_diff")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from panelwright.functions import number, positive, ratio, year_of_yyyymmdd, yyyymm_of_yyyymmdd
 from panelwright.operators.clean import dedupe
 from panelwright.operators.panel import compound
-from panelwright.operators.summary import summarize
+from panelwright.operators.summary import MOMENTS, summarize
+from panelwright.operators.tables import freeze
 
 COMMON_SHARES = (10, 11)
 MAIN_EXCHANGES = (1, 2, 3)
@@ -50,5 +51,9 @@ def holding_period(stocks: DataFrame, window: int = 6) -> DataFrame:
 
 def stock_summary(stocks: DataFrame, stats, since: int = 1991, total: bool = False) -> DataFrame:
     """Yearly statistics of return and price from a year on."""
-    yearly = stocks.withColumn("year", year_of_yyyymmdd("date")).filter(F.col("year") >= since)
+    yearly = stocks.select(year_of_yyyymmdd("date").alias("year"), "ret", "price")
+    yearly = yearly.filter(F.col("year") >= since)
+    # Percentiles read their input twice: three columns are cheaper to keep than to rebuild.
+    if not set(stats) <= set(MOMENTS):
+        yearly = freeze(yearly)
     return summarize(yearly, ["ret", "price"], stats, ["year"], total)

@@ -11,6 +11,7 @@ from panelwright.operators.join import merge
 from panelwright.operators.panel import lag_if_adjacent
 from panelwright.operators.regress import market_model_table
 from panelwright.operators.reshape import to_long
+from panelwright.operators.tables import freeze
 from panelwright.operators.winsor import winsorize
 
 LEVELS = ("me", "lnme", "at", "lnat", "roa", "roe")
@@ -34,7 +35,7 @@ def firm_years(merged: DataFrame) -> DataFrame:
 
 def winsorized_firm_years(merged: DataFrame) -> DataFrame:
     """`firm_years` with every level and asset growth limited to its year's p1 and p99."""
-    return winsorize(firm_years(merged), [*LEVELS, "ag"], ["year"])
+    return winsorize(freeze(firm_years(merged)), [*LEVELS, "ag"], ["year"])
 
 
 def excess_returns(portfolios: DataFrame, factors: DataFrame) -> DataFrame:

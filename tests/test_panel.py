@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright.functions import month_index
-from panelwright.operators import panel
+from panelwright.operators import panel, tables
 from tests.conftest import close, rows, table
 
 
@@ -37,9 +37,9 @@ def test_compounding(spark):
 
 
 def _hot_panel(spark):
-    """One entity holds most rows, at uneven times; values are often missing."""
+    """One entity holds most rows, one is unknown; times are uneven, values often missing."""
     df = spark.range(3000).select(
-        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 11).cast("int").alias("e"),
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.nullif(F.col("id") % 11, F.lit(5))).cast("int").alias("e"),
         (F.col("id") + (F.col("id") % 7 == 0).cast("int") * 5000).cast("int").alias("t"),
         F.when(F.col("id") % 5 > 1, ((F.col("id") * 31) % 17 - 8) / 20).alias("v"),
     )
@@ -83,7 +83,10 @@ def test_backfill_over_long_distances(spark):
         ]
 
 
-def test_dense_index_of_many_values(spark):
+@pytest.mark.parametrize("small, splits", [(100_000, 1024), (10, 1024), (10, 3), (700, 1024)])
+def test_dense_index_of_many_values(spark, monkeypatch, small, splits):
+    monkeypatch.setattr(tables, "SMALL_ROWS", small)
+    monkeypatch.setattr(tables, "MOST_SPLITS", splits)
     df = spark.range(5000).select(F.concat(F.lit("k"), F.lpad(((F.col("id") * 7) % 2500).cast("string"), 5, "0")).alias("k"))
     got = rows(panel.dense_index(df, "k", "i"), "i", "k")
     assert got == [(i + 1, f"k{i:05d}") for i in range(2500)]

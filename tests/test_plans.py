@@ -129,8 +129,10 @@ def test_international_returns(spark):
         row("01W", 20200131, 11.0, monthend=1), row("01W", 20200228, 22.0, monthend=1), row("02W", 20200203, 5.0, gvkey="2", prirow="02W"),
         row("02W", 20200131, 9.0), row("01W", 20200130, 1.0, tpci="F"), row("01W", 20200430, 44.0, monthend=1),
     )
-    prices = international.adjusted_prices(raw, "GBR")
-    daily = rows(international.daily_returns(prices).filter("gvkey = '1'"), "datadate", "date_idx", "date_diff", "ret")
+    issues = international.common_issues(raw, "GBR")
+    prices = international.adjusted_prices(issues)
+    daily = rows(international.daily_returns(prices, issues).filter("gvkey = '1'"), "datadate", "date_idx", "date_diff", "ret")
+    assert rows(international.daily_returns(prices)) == rows(international.daily_returns(prices, issues))
     close(daily, [(20200130, 1, None, None), (20200131, 2, 1, 0.1), (20200204, 4, 2, None), (20200228, 5, 1, 22 / 12 - 1), (20200430, 6, 1, 1.0)])
     monthly = rows(international.monthly_returns(prices), "yyyymm", "month_diff", "ret")
     close(monthly, [(202001, None, None), (202002, 1, 1.0), (202004, 2, None)])
