@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions import as_column, finite, number, sentinel_to_null
+from panelwright.operators.tables import all_equal
 
 FLOATING = (T.DoubleType, T.FloatType)
 
@@ -132,10 +133,10 @@ def assert_unique(df: DataFrame, keys, what: str = "table") -> DataFrame:
 def keep_groups(df: DataFrame, keys, col: str, at_least: int) -> DataFrame:
     """Rows of groups in which `col` is known at least `at_least` times."""
     keys = list(keys)
-    counted = df.groupBy(*keys).agg(F.count(col).alias("__n"))
-    return df.join(counted.filter(F.col("__n") >= at_least).select(*keys), keys, "left_semi").select(
-        *df.columns
-    )
+    counted = df.dropna(subset=keys).groupBy(*keys).agg(F.count(col).alias("__n"))
+    large = counted.filter(F.col("__n") >= at_least).select(*[F.col(k).alias(f"__{k}") for k in keys])
+    # Null-safe equality gives the join a shuffle of its own, in which a hot group can be split.
+    return df.join(large, all_equal([(k, f"__{k}") for k in keys]), "left_semi")
 
 
 def drop_never_known(df: DataFrame, entity, col: str) -> DataFrame:

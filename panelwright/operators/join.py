@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.clean import assert_unique
+from panelwright.operators.tables import all_equal
 
 ONE_SIDED = {"1:1": (True, True), "1:m": (True, False), "m:1": (False, True), "m:m": (False, False)}
 
@@ -17,12 +18,12 @@ def _pairs(on) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else tuple(k) for k in on]
 
 
-def _salted(left: DataFrame, right: DataFrame, salt: int):
-    """Spread each left key over `salt` tasks; the right rows are repeated for each."""
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int")
+def _salted(hot: DataFrame, other: DataFrame, salt: int):
+    """Spread each key of `hot` over `salt` tasks; the rows of `other` are repeated for each."""
+    spread = F.pmod(F.xxhash64(*hot.columns), F.lit(salt)).cast("int")
     return (
-        left.withColumn("__ls", spread),
-        right.withColumn("__rs", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))),
+        hot.withColumn("__salt_h", spread),
+        other.withColumn("__salt_o", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))),
     )
 
 
@@ -35,6 +36,7 @@ def merge(
     indicator: str | None = None,
     null_safe: bool = False,
     suffixes: tuple[str, str] = ("_x", "_y"),
+    hot: str | None = None,
     salt: int = 0,
 ) -> DataFrame:
     """Join two tables on named keys.
@@ -44,20 +46,28 @@ def merge(
     validate   '1:1', '1:m', 'm:1': raise if a "one" side repeats a key
     indicator  name of a column holding 1 left only, 2 right only, 3 both
     null_safe  let a missing key match a missing key
-    salt       spread every left key over that many tasks, for hot keys beyond
-               what the adaptive skew join splits; the right rows are repeated
-               `salt` times, so use it with a small right side
-
-    A full join runs as a left join plus the unmatched right rows, because Spark
-    can split a hot key in those two joins but not in a full outer join.
+    hot        the side whose keys may repeat very often; the left, unless
+               validate is '1:m'
+    salt       spread every key of the hot side over that many tasks, for keys
+               beyond what the adaptive skew join splits, and where the other
+               side comes grouped by the same keys, which keeps Spark from
+               splitting; the rows of the other side are repeated `salt` times
+
+    Spark can split a hot key of the preserved side of an outer join, but not of
+    the other side and not in a full join. Joins it could not split run as one it
+    can split plus the unmatched rows of the other side.
     """
+    if how not in ("inner", "left", "right", "full", "semi", "anti"):
+        raise ValueError(f"unknown join type {how!r}")
     pairs = _pairs(on)
+    lkeys, rkeys = [a for a, _ in pairs], [b for _, b in pairs]
     if validate:
         one_left, one_right = ONE_SIDED[validate]
         if one_left:
-            assert_unique(left, [a for a, _ in pairs], "left side")
+            assert_unique(left, lkeys, "left side")
         if one_right:
-            assert_unique(right, [b for _, b in pairs], "right side")
+            assert_unique(right, rkeys, "right side")
+    hot = hot or ("right" if validate == "1:m" else "left")
 
     shared = {a for a, b in pairs if a == b}
     clash = (set(left.columns) & set(right.columns)) - shared
@@ -72,24 +82,41 @@ def merge(
         return x.eqNullSafe(y) if null_safe else x == y
 
     condition = reduce(lambda p, q: p & q, [matched(a, b) for a, b in pairs])
+    def against_keys(df, other, names, kind):
+        """Semi or anti join to the distinct keys of the other side.
+
+        Copies of a key collapse before the shuffle. Null-safe equality (missing
+        keys are left out first unless they may match) gives the join a shuffle
+        of its own, in which a hot key of `df` can be split.
+        """
+        keys = other.select(*names).distinct()
+        keys = keys if null_safe else keys.dropna()
+        same = all_equal([(f"__l_{a}", f"__r_{b}") for a, b in pairs])
+        return df.join(keys, same, kind)
+
+    left_names, right_names = [f"__l_{k}" for k in lkeys], [f"__r_{k}" for k in rkeys]
     if how in ("semi", "anti"):
-        kept = left.join(right, condition, f"left_{how}")
+        kept = against_keys(left, right, right_names, f"left_{how}")
         return kept.select(*[F.col(f"__l_{c}").alias(c) for c in lcols])
-    if how == "right":
-        joined = left.join(right, condition, "right")
-    elif how in ("inner", "left", "full"):
-        if salt > 1:
-            a, b = _salted(left, right, salt)
-            joined = a.join(b, condition & (F.col("__ls") == F.col("__rs")), "left" if how != "inner" else how)
-            joined = joined.drop("__ls", "__rs")
-        else:
-            joined = left.join(right, condition, "left" if how != "inner" else how)
-        if how == "full":
-            keys = left.select(*[f"__l_{a}" for a, _ in pairs]).distinct()
-            alone = right.join(keys, condition, "left_anti")
-            joined = joined.unionByName(alone, allowMissingColumns=True)
+
+    def joined(kind):
+        if salt < 2:
+            return left.join(right, condition, kind)
+        h, o = _salted(left, right, salt) if hot == "left" else _salted(right, left, salt)
+        spread = condition & (F.col("__salt_h") == F.col("__salt_o"))
+        both = h.join(o, spread, kind) if hot == "left" else o.join(h, spread, kind)
+        return both.drop("__salt_h", "__salt_o")
+
+    if how == "full" and validate == "1:1":
+        parts = [left.join(right, condition, "full")]
     else:
-        raise ValueError(f"unknown join type {how!r}")
+        preserved = how in (hot, "full")
+        parts = [joined(hot if preserved else "inner")]
+        if how in ("left", "full") and not (preserved and hot == "left"):
+            parts.append(against_keys(left, right, right_names, "left_anti"))
+        if how in ("right", "full") and not (preserved and hot == "right"):
+            parts.append(against_keys(right, left, left_names, "left_anti"))
+    both = reduce(lambda p, q: p.unionByName(q, allowMissingColumns=True), parts)
 
     def key(c):
         if how in ("right", "full"):
@@ -101,7 +128,7 @@ def merge(
     if indicator:
         side = F.when(F.col("__in_r").isNull(), 1).when(F.col("__in_l").isNull(), 2).otherwise(3)
         out.append(side.alias(indicator))
-    return joined.select(*out)
+    return both.select(*out)
 
 
 def missing_in(left: DataFrame, right: DataFrame, on, null_safe: bool = False) -> DataFrame:
@@ -118,6 +145,7 @@ def interval_merge(
     end: str,
     how: str = "inner",
     span: int | None = None,
+    range_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows at a point in time to rows valid over [start, end], both included.
 
@@ -127,6 +155,8 @@ def interval_merge(
     each piece it touches within the observed range and the piece joins as an
     extra key, so neither the rows nor the intervals of one hot key meet in a
     single task. Every left row lies in one piece, so no pair appears twice.
+    `range_of` is a cheaper table holding every value of `at`; the observed range
+    is read from it instead of from `left`.
     """
     if how not in ("inner", "left"):
         raise ValueError("interval_merge supports inner and left")
@@ -141,7 +171,7 @@ def interval_merge(
     condition = reduce(lambda p, q: p & q, [F.col(a) == F.col(rkeys[b]) for a, b in pairs])
     columns = left.columns
     if span:
-        seen = left.agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last"))).scalar()
+        seen = (left if range_of is None else range_of).agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last"))).scalar()
         lo = F.greatest(F.col(start), seen.getField("first"))
         hi = F.least(F.col(end), seen.getField("last"))
         right = right.filter(lo <= hi).withColumn(

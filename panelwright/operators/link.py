@@ -9,6 +9,7 @@ from panelwright.functions import first_chars, last_chars, present
 from panelwright.operators.clean import dedupe
 from panelwright.operators.join import interval_merge, merge
 from panelwright.operators.panel import backfill
+from panelwright.operators.tables import freeze
 
 YEAR = 10_000  # one year on a YYYYMMDD axis
 CODE_LENGTH = 8
@@ -53,15 +54,15 @@ def link_by_current(
 
 def link_coverage(by_history: DataFrame, by_current: DataFrame) -> DataFrame:
     """Every pair with 1 history only, 2 current only, 3 both in `found`."""
-    return merge(
-        by_history.select("permno", "gvkey"),
-        by_current.select("permno", "gvkey"),
-        ["permno", "gvkey"],
-        "full",
-        indicator="found",
-    )
+    keys = ["permno", "gvkey"]
+    history, current = freeze(by_history.select(*keys)), freeze(by_current.select(*keys))
+    return merge(history, current, keys, "full", validate="1:1", indicator="found")
 
 
-def apply_link(market: DataFrame, link: DataFrame, span: int = YEAR) -> DataFrame:
+def apply_link(
+    market: DataFrame, link: DataFrame, span: int = YEAR, range_of: DataFrame | None = None
+) -> DataFrame:
     """Market rows (permno, date) with the gvkey valid on their date."""
-    return interval_merge(market, link, "permno", "date", "begdate", "enddate", span=span)
+    return interval_merge(
+        market, link, "permno", "date", "begdate", "enddate", span=span, range_of=range_of
+    )

@@ -81,16 +81,23 @@ def ols(df: DataFrame, y: str, x: str, by=(), cov: str = "classic") -> DataFrame
         pair = df.select(*by, finite(y).alias("__y"), finite(x).alias("__x")).dropna(
             subset=["__y", "__x"]
         )
-        used = attach(pair, fit.select(*by, "n", "a", "b", "x_mean", "sxx"), by)
+        used = attach(pair, fit, by)
         e = F.col("__y") - F.col("a") - F.col("b") * F.col("__x")
         pull_b = F.try_divide(F.col("__x") - F.col("x_mean"), F.col("sxx"))
         pull_a = 1 / F.col("n") - F.col("x_mean") * pull_b
-        meat = used.groupBy(*by).agg(
-            F.sum((pull_a * e) ** 2).alias("__va"), F.sum((pull_b * e) ** 2).alias("__vb")
-        )
         scale = F.col("n") / F.when(F.col("n") > 2, F.col("n") - 2)
-        fit = attach(fit, meat, by, "left").withColumns(
-            {"se_a": F.sqrt(scale * F.col("__va")), "se_b": F.sqrt(scale * F.col("__vb"))}
+        # The coefficients ride along, so the first pass is not run again for them.
+        fit = used.groupBy(*by).agg(
+            F.sum((pull_a * e) ** 2).alias("__va"),
+            F.sum((pull_b * e) ** 2).alias("__vb"),
+            *[F.max(c).alias(c) for c in fit.columns if c not in by],
+        )
+        fit = fit.withColumns(
+            {
+                "n": F.coalesce("n", F.lit(0)),
+                "se_a": F.sqrt(scale * F.col("__va")),
+                "se_b": F.sqrt(scale * F.col("__vb")),
+            }
         )
     else:
         raise ValueError(f"cov must be 'classic' or 'hc1', not {cov!r}")
@@ -134,19 +141,23 @@ def fixed_effects(df: DataFrame, y: str, x: str, entity, cov: str = "classic") -
         F.sum("sxx").alias("sxx"),
         F.sum("sxy").alias("sxy"),
         F.sum("syy").alias("syy"),
+        F.sum(F.col("sxx") ** 2).alias("__xx"),
+        F.sum(F.col("sxy") ** 2).alias("__yy"),
+        F.sum(F.col("sxx") * F.col("sxy")).alias("__xy"),
     )
     fit = _solve(whole)
     if cov == "classic":
         fit = _classic_errors(fit, F.col("groups") + 1)
     elif cov in ("cluster", "cluster0"):
-        score = attach(per.select("sxy", "sxx"), fit.select(F.col("b").alias("__b")), ())
-        meat = score.agg(F.sum((F.col("sxy") - F.col("__b") * F.col("sxx")) ** 2).alias("__meat"))
+        # The sum over entities of (sxy - b sxx) squared.
+        b = F.col("b")
+        meat = F.greatest(F.col("__yy") - 2 * b * F.col("__xy") + b * b * F.col("__xx"), F.lit(0.0))
         factor = F.lit(1.0)
         if cov == "cluster":
             g, n = F.col("groups"), F.col("n")
             factor = F.try_divide(g, g - 1) * F.try_divide(n - 1, n - 2)
-        se = F.sqrt(F.col("__meat") * factor) / F.col("sxx")
-        fit = attach(fit, meat, ()).withColumns({"se_b": se, "se_a": F.abs("x_mean") * se})
+        se = F.when(b.isNotNull(), F.sqrt(meat * factor) / F.col("sxx"))
+        fit = fit.withColumns({"se_b": se, "se_a": F.abs("x_mean") * se})
     else:
         raise ValueError(f"cov must be 'classic', 'cluster' or 'cluster0', not {cov!r}")
     return (

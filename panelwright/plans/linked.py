@@ -8,6 +8,7 @@ from panelwright.functions import first_chars, yyyymm_of_yyyymmdd
 from panelwright.operators.clean import dedupe
 from panelwright.operators.join import merge
 from panelwright.operators.link import CODE_LENGTH, YEAR, apply_link
+from panelwright.operators.tables import freeze
 from panelwright.plans.accounts import latest_accounts
 from panelwright.plans.market import market_values
 
@@ -15,7 +16,9 @@ from panelwright.plans.market import market_values
 def merged_by_link(stocks: DataFrame, accounts: DataFrame, link: DataFrame, span: int = YEAR) -> DataFrame:
     """permno x month rows with market value and the accounts reported in the month."""
     market = market_values(stocks).select("permno", "yyyymm", "date", "me")
-    linked = dedupe(apply_link(market, link, span), ["permno", "yyyymm"], ["date", "gvkey"])
+    # The link table is small beside the market; frozen, its size is known to the planner.
+    linked = apply_link(market, freeze(link), span, range_of=stocks)
+    linked = dedupe(linked, ["permno", "yyyymm"], ["date", "gvkey"])
     reported = latest_accounts(accounts).select("gvkey", "datadate", "yyyymm", "seq")
     joined = merge(linked, reported, ["gvkey", "yyyymm"])
     return dedupe(joined, ["permno", "yyyymm"], ["date", "gvkey", "datadate"])

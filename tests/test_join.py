@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.operators import join
+from panelwright.operators import clean, join, panel
+from panelwright.operators.tables import freeze
 from tests.conftest import rows, table
 
 
@@ -48,14 +49,75 @@ def test_cardinality_check(spark):
             join.merge(left, right, "k", validate=bad)
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "full"])
-def test_salt_changes_nothing(spark, how):
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_salt_and_hot_side_change_nothing(spark, how):
     # A third of the left rows share one key.
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 200).alias("k"), "id")
     right = spark.range(100, 260).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
     right = right.unionByName(table(spark, "k long, y long", (7, 1)))
-    plain = join.merge(left, right, "k", how)
-    assert rows(join.merge(left, right, "k", how, salt=5)) == rows(plain)
+    plain = rows(left.join(right, "k", {"full": "outer"}.get(how, how)), "k", "id", "y")
+    for hot in ("left", "right"):
+        for salt in (0, 5):
+            assert rows(join.merge(left, right, "k", how, hot=hot, salt=salt)) == plain
+    assert rows(join.merge(left, right.groupBy("k").agg(F.max("y").alias("y")), "k", how, validate="m:1")) == plain
+
+
+def _hot_rows(spark):
+    """Rows of which a third share one key, read from files as a real table is."""
+    return freeze(
+        spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), F.xxhash64("id").alias("v")
+        )
+    )
+
+
+def _skewed_plan(spark, df):
+    """The final plan of a run in which even small partitions count as oversized."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "semi", "anti"])
+@pytest.mark.parametrize("hot", ["left", "right"])
+def test_a_hot_key_is_split(spark, how, hot):
+    many = _hot_rows(spark)
+    one = freeze(spark.range(0, 6000, 1, 2).select(F.col("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("w")))
+    if how in ("semi", "anti") and hot == "right":
+        plan = _skewed_plan(spark, join.merge(one, many, "k", how))
+        assert "HashAggregate" in plan  # copies of a key collapse before the shuffle
+        return
+    sides = (many, one) if hot == "left" else (one, many)
+    plan = _skewed_plan(spark, join.merge(*sides, "k", how, hot=hot))
+    assert "skew=true" in plan, plan
+
+
+def test_group_operators_split_a_hot_group(spark):
+    many = _hot_rows(spark)
+    assert "skew=true" in _skewed_plan(spark, clean.keep_groups(many, ["k"], "v", 2))
+    assert "skew=true" in _skewed_plan(spark, panel.with_group_stats(many, ["k"], n=F.count("v")))
+
+
+def test_interval_merge_splits_a_hot_key(spark):
+    many = _hot_rows(spark).withColumn("t", F.pmod("v", F.lit(100)).cast("int"))
+    spans = freeze(spark.range(5000).select(F.col("id").alias("k"), F.lit(10).alias("lo"), F.lit(60).alias("hi")))
+    whole = _skewed_plan(spark, join.interval_merge(many, spans, "k", "t", "lo", "hi", "left"))
+    assert "skew=true" in whole
+    pieces = _skewed_plan(spark, join.interval_merge(many, spans, "k", "t", "lo", "hi", "left", 25))
+    assert "hashpartitioning(k#" in pieces and "__piece_l" in pieces
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
