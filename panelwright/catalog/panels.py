@@ -58,11 +58,11 @@ RETURNS = (
 )
 
 
-@query(RETURNS + "SELECT o_custkey, yyyymm, value, round(ret, 6) AS ret FROM r")
+@query(RETURNS + "SELECT o_custkey, yyyymm, value, ret FROM r")
 def return_month(t):
     """Monthly rate of change, unknown across a gap."""
     df = panel.adjacent_return(_indexed(t), ["o_custkey"], "m", "value")
-    return rounded(df.select("o_custkey", "yyyymm", "value", "ret"), 6, "ret")
+    return df.select("o_custkey", "yyyymm", "value", "ret")
 
 
 @query(
@@ -70,18 +70,18 @@ def return_month(t):
     + """, c AS (SELECT day, dense_rank() OVER (ORDER BY day) AS date_idx FROM (SELECT DISTINCT day FROM d)),
          e AS (SELECT user_id, d.day, value, date_idx FROM d JOIN c ON d.day = c.day)
          SELECT user_id, day, date_idx, date_idx - lag(date_idx) OVER w AS date_diff,
-           round(CASE WHEN date_idx - lag(date_idx) OVER w = 1 THEN value / lag(value) OVER w - 1 END, 6) AS ret
+           CASE WHEN date_idx - lag(date_idx) OVER w = 1 THEN value / nullif(lag(value) OVER w, 0) - 1 END AS ret
          FROM e WINDOW w AS (PARTITION BY user_id ORDER BY date_idx)"""
 )
 def return_day(t):
     """Daily rate of change on the calendar of observed days."""
     indexed = panel.with_dense_index(_user_days(t), "day", "date_idx")
     df = panel.adjacent_return(indexed, ["user_id"], "date_idx", "value", gap="date_diff")
-    return rounded(df.drop("value"), 6, "ret")
+    return df.drop("value")
 
 
 @query(
-    """SELECT user_id, event_id, ts, round(value / lag(value) OVER w - 1, 6) AS change,
+    """SELECT user_id, event_id, ts, value / nullif(lag(value) OVER w, 0) - 1 AS change,
               row_number() OVER w AS position FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 )
 def event_change(t):
@@ -90,7 +90,7 @@ def event_change(t):
     placed = panel.numbered(e, ["user_id"], ["ts", "event_id"], block=7, name="position")
     lagged = panel.lag_rows(placed, ["user_id"], ["ts", "event_id"], "value", block=7)
     df = lagged.withColumn("change", fn.growth("value", "lag1_value"))
-    return rounded(df, 6, "change").select("user_id", "event_id", "ts", "change", "position")
+    return df.select("user_id", "event_id", "ts", "change", "position")
 
 
 def _compound_sql(window):
