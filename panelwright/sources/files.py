@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from panelwright.operators.clean import lower_names, nan_to_null
 
@@ -17,22 +17,26 @@ def read_delimited(
     columns=None,
     lower: bool = True,
 ) -> DataFrame:
-    """Delimited text with a header, read with a declared schema.
-
-    Declare columns that mix numbers with codes as strings and convert them with
-    `clean.to_number`: a double column would swallow the codes unseen. Only
-    `columns` are parsed. NaN becomes null.
+    """Delimited text with a header, typed by a declared schema.
+
+    The schema is matched to the header by name, in any case and order; columns
+    it does not mention are not parsed, and neither are those outside `columns`.
+    Nothing is inferred: only the header line is read beforehand. Declare columns
+    that mix numbers with codes as strings and convert them with
+    `clean.to_number`, because a double column would swallow the codes unseen.
+    NaN becomes null.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    if columns is not None:
-        df = df.select(*columns)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {"header": "true", "sep": sep, "encoding": encoding}
+    header = spark.read.options(**options).csv(path).columns
+    types = {f.name.lower(): f.dataType for f in declared.fields}
+    absent = sorted(set(types) - {h.lower() for h in header})
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    full = StructType([StructField(h, types.get(h.lower(), StringType())) for h in header])
+    wanted = [c.lower() for c in (columns if columns is not None else declared.fieldNames())]
+    by_name = {h.lower(): h for h in header}
+    df = spark.read.schema(full).options(**options).csv(path).select(*[by_name[c] for c in wanted])
     return nan_to_null(lower_names(df) if lower else df)
 
 

@@ -10,7 +10,12 @@ from panelwright.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4")
+    session = build_session(
+        "tests",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="10000",  # whole filters in printed plans
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

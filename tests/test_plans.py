@@ -157,6 +157,13 @@ def test_delimited_files(spark, tmp_path):
     got = read_delimited(spark, path, "Id int, Ret string, Name string", encoding="ISO-8859-1")
     assert got.columns == ["id", "ret", "name"]
     assert rows(clean.to_number(got, ["ret"])) == [(1, 0.5, "é"), (2, None, "b")]
+    # By name, in any order; other columns are not read.
+    part = read_delimited(spark, path, "NAME string, id long", encoding="ISO-8859-1")
+    assert rows(part) == [("b", 2), ("é", 1)]
+    plan = part._jdf.queryExecution().executedPlan().toString().lower()
+    assert "readschema: struct<id:bigint,name:string>" in plan
+    with pytest.raises(ValueError, match="price"):
+        read_delimited(spark, path, "id long, price double")
 
 
 def test_sql_over_named_tables(spark):
