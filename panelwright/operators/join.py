@@ -82,6 +82,7 @@ def merge(
         return x.eqNullSafe(y) if null_safe else x == y
 
     condition = reduce(lambda p, q: p & q, [matched(a, b) for a, b in pairs])
+
     def against_keys(df, other, names, kind):
         """Semi or anti join to the distinct keys of the other side.
 

@@ -46,7 +46,7 @@ def _classic_errors(fit: DataFrame, lost) -> DataFrame:
     """Standard errors with n - `lost` residual degrees of freedom, null when none are left."""
     free = F.col("n") - lost
     s2 = F.try_divide(F.col("sse"), F.when(free > 0, free))
-    spread = 1 / F.col("n") + F.try_divide(F.col("x_mean") ** 2, F.col("sxx"))
+    spread = F.try_divide(F.lit(1), F.col("n")) + F.try_divide(F.col("x_mean") ** 2, F.col("sxx"))
     return fit.withColumns(
         {"se_a": F.sqrt(s2 * spread), "se_b": F.sqrt(F.try_divide(s2, F.col("sxx")))}
     )
@@ -134,7 +134,7 @@ def fixed_effects(df: DataFrame, y: str, x: str, entity, cov: str = "classic") -
     known = df.dropna(subset=entity)
     per = moments(known, y, x, entity)
     whole = per.agg(
-        F.sum("n").alias("n"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.count(F.lit(1)).alias("groups"),
         (F.sum(F.col("n") * F.col("x_mean")) / F.sum("n")).alias("x_mean"),
         (F.sum(F.col("n") * F.col("y_mean")) / F.sum("n")).alias("y_mean"),
