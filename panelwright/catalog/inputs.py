@@ -46,7 +46,7 @@ def stocks(t: Tables) -> DataFrame:
         .alias("prc"),
         F.col("l_quantity").alias("shrout"),
         (9 + F.col("l_linenumber")).alias("shrcd"),
-        (F.col("l_suppkey") % 5).alias("exchcd"),
+        F.round(F.abs("l_tax") * 100).cast("int").alias("exchcd"),
         (F.col("l_discount") * 100).alias("cfacpr"),
         F.col("l_linenumber").cast("double").alias("cfacshr"),
         F.coalesce(code, F.round(F.col("l_tax") - 0.04, 2).cast("string")).alias("ret"),
@@ -57,7 +57,7 @@ STOCKS = f"""stocks AS (
   SELECT l_partkey AS permno, {SQL_DATE.format("l_shipdate")} AS date,
          CASE WHEN l_quantity = 1 THEN 0.0 WHEN l_returnflag = 'R' THEN -l_extendedprice
               ELSE l_extendedprice END AS prc,
-         l_quantity AS shrout, 9 + l_linenumber AS shrcd, l_suppkey % 5 AS exchcd,
+         l_quantity AS shrout, 9 + l_linenumber AS shrcd, CAST(round(abs(l_tax) * 100) AS INTEGER) AS exchcd,
          l_discount * 100 AS cfacpr, CAST(l_linenumber AS DOUBLE) AS cfacshr,
          CASE WHEN l_discount > 0.095 THEN NULL WHEN l_discount > 0.085 THEN NULL
               ELSE round(l_tax - 0.04, 2) END AS ret
@@ -109,17 +109,17 @@ def forecasts(t: Tables) -> DataFrame:
         F.round(F.col("l_extendedprice") / 1000, 5).alias("meanest"),
         F.when(F.col("l_discount") > 0, F.col("l_quantity")).alias("numest"),
         F.abs(F.col("l_tax") * 100).alias("stdev"),
-        (F.col("l_linenumber") % 2).alias("usfirm"),
+        (F.col("l_returnflag") != "R").cast("int").alias("usfirm"),
     )
 
 
-FORECAST_MONTHS = 260
+FORECAST_MONTHS = 350
 
 FORECASTS = f"""forecasts AS (
   SELECT 'T' || l_suppkey AS ticker, {SQL_DATE.format("l_shipdate")} AS statpers,
          round(l_extendedprice / 1000, 5) AS meanest,
          CASE WHEN l_discount > 0 THEN l_quantity END AS numest,
-         abs(l_tax * 100) AS stdev, l_linenumber % 2 AS usfirm
+         abs(l_tax * 100) AS stdev, CAST(l_returnflag <> 'R' AS INTEGER) AS usfirm
   FROM lineitem),
 firm_dates AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, statpers
@@ -232,7 +232,7 @@ def executives(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_custkey").cast("string").alias("gvkey"),
         F.year("o_orderdate").alias("fyear"),
-        (F.col("o_orderkey") % 4).alias("execid"),
+        F.month("o_orderdate").alias("execid"),
         F.when(first.isin("1", "2"), "FEMALE").when(first != "3", "MALE").alias("gender"),
         F.when(F.col("o_orderstatus") == "F", "CEO").alias("ceoann"),
     )
@@ -243,7 +243,7 @@ EXECUTIVES = """people AS (
     SELECT *, row_number() OVER (PARTITION BY gvkey, fyear, execid
                 ORDER BY gender NULLS FIRST, ceoann NULLS FIRST) AS rn
     FROM (SELECT CAST(o_custkey AS VARCHAR) AS gvkey, year(o_orderdate) AS fyear,
-                 o_orderkey % 4 AS execid,
+                 month(o_orderdate) AS execid,
                  CASE left(o_orderpriority, 1) WHEN '1' THEN 'FEMALE' WHEN '2' THEN 'FEMALE'
                       WHEN '3' THEN NULL ELSE 'MALE' END AS gender,
                  CASE WHEN o_orderstatus = 'F' THEN 'CEO' END AS ceoann
@@ -270,8 +270,9 @@ def names(t: Tables) -> DataFrame:
 
 
 def securities(t: Tables) -> DataFrame:
-    kept = _code(t).filter(F.col("mark").isin("1", "2", "4")).select("o_custkey", "mark", "code").distinct()
-    excluded = (F.col("mark") == "2") & (F.col("o_custkey") % 7 == 0)
+    kept = _code(t).filter(F.col("mark").isin("1", "2", "4"))
+    kept = kept.groupBy("o_custkey", "mark", "code").agg(F.min("o_totalprice").alias("least"))
+    excluded = (F.col("mark") == "2") & (F.col("least") < 50000)
     ends = F.when(F.col("mark") == "4", 4).otherwise(1)
     return kept.select(
         (F.col("o_custkey") * 10 + ends).cast("string").alias("gvkey"),
@@ -281,20 +282,21 @@ def securities(t: Tables) -> DataFrame:
 
 
 def link_market(t: Tables) -> DataFrame:
+    status = F.col("o_orderstatus")
     return t.orders.select(
         F.col("o_custkey").alias("permno"),
         yyyymmdd_of_date("o_orderdate").alias("date"),
         F.concat(F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lit("P4")).alias("cusip"),
         F.col("o_totalprice").alias("prc"),
         F.lit(10.0).alias("shrout"),
-        (10 + F.col("o_orderkey") % 3).cast("int").alias("shrcd"),
-        (1 + F.col("o_orderkey") % 4).cast("int").alias("exchcd"),
-        (F.col("o_orderkey") % 9).cast("string").alias("ret"),
+        F.when(status == "F", 10).when(status == "O", 11).otherwise(12).alias("shrcd"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("exchcd"),
+        (F.col("o_totalprice") / 500000 - 0.5).cast("string").alias("ret"),
     )
 
 
 def link_accounts(t: Tables) -> DataFrame:
-    ends = F.when(F.col("o_orderkey") % 2 == 0, 4).otherwise(1)
+    ends = F.when(F.col("o_totalprice") > 250000, 4).otherwise(1)
     return t.orders.select(
         (F.col("o_custkey") * 10 + ends).cast("string").alias("gvkey"),
         yyyymmdd_of_date("o_orderdate").alias("datadate"),
@@ -311,14 +313,15 @@ def link_accounts(t: Tables) -> DataFrame:
 
 
 LINK = f"""marked AS (
-  SELECT o_custkey, left(o_orderpriority, 1) AS mark, {SQL_DATE.format("o_orderdate")} AS date,
+  SELECT o_custkey, o_totalprice, left(o_orderpriority, 1) AS mark, {SQL_DATE.format("o_orderdate")} AS date,
          lpad(CAST(o_custkey AS VARCHAR), 6, '0') || 'P' || left(o_orderpriority, 1) AS code FROM orders),
 names AS (
   SELECT o_custkey AS permno, code AS ncusip, min(date) AS namedt, max(date) AS nameendt,
          left(code, 7) || '4' AS cusip FROM marked GROUP BY o_custkey, code),
 securities AS (
-  SELECT DISTINCT CAST(o_custkey * 10 + CASE mark WHEN '4' THEN 4 ELSE 1 END AS VARCHAR) AS gvkey, code
-  FROM marked WHERE mark IN ('1', '2', '4') AND NOT (mark = '2' AND o_custkey % 7 = 0)),
+  SELECT CAST(o_custkey * 10 + CASE mark WHEN '4' THEN 4 ELSE 1 END AS VARCHAR) AS gvkey, code
+  FROM marked WHERE mark IN ('1', '2', '4') GROUP BY o_custkey, mark, code
+  HAVING NOT (mark = '2' AND min(o_totalprice) < 50000)),
 filled AS (
   SELECT permno, namedt, nameendt,
          first_value(gvkey IGNORE NULLS) OVER (PARTITION BY permno ORDER BY namedt, nameendt, ncusip
@@ -337,13 +340,13 @@ market AS (
            lpad(CAST(o_custkey AS VARCHAR), 6, '0') || 'P4' AS cusip,
            abs(o_totalprice) * 10.0 / 1000 AS me,
            row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE)
-             ORDER BY o_totalprice, 10 + o_orderkey % 3, 1 + o_orderkey % 4, CAST(o_orderkey % 9 AS VARCHAR)) AS rn
-    FROM orders WHERE 10 + o_orderkey % 3 IN (10, 11) AND 1 + o_orderkey % 4 IN (1, 2, 3))
+             ORDER BY o_totalprice, o_orderstatus, o_orderpriority) AS rn
+    FROM orders WHERE o_orderstatus <> 'P' AND left(o_orderpriority, 1) IN ('1', '2', '3'))
   WHERE rn = 1 AND me > 0),
 reports AS (
   SELECT *, datadate // 100 AS yyyymm FROM (
     SELECT *, row_number() OVER (PARTITION BY gvkey, fyear ORDER BY datadate DESC, seq DESC) AS rn FROM (
-      SELECT CAST(o_custkey * 10 + CASE o_orderkey % 2 WHEN 0 THEN 4 ELSE 1 END AS VARCHAR) AS gvkey,
+      SELECT CAST(o_custkey * 10 + CASE WHEN o_totalprice > 250000 THEN 4 ELSE 1 END AS VARCHAR) AS gvkey,
              {SQL_DATE.format("o_orderdate")} AS datadate, year(o_orderdate) AS fyear,
              lpad(CAST(o_custkey AS VARCHAR), 6, '0') || 'P4' AS cusip, o_totalprice - 50000 AS seq
       FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice - 50000 > 0)) WHERE rn = 1)"""
@@ -358,10 +361,10 @@ def firm_months(t: Tables) -> DataFrame:
         yyyymm_of_date("o_orderdate").alias("yyyymm"),
         (price / 1000).alias("me"),
         (price - 100000).alias("seq"),
-        (price / 10 - (F.col("o_orderkey") % 7) * 5000).alias("ib"),
+        (price / 10 - F.day("o_orderdate") * 1000).alias("ib"),
         (price * 2 + 1000).alias("at"),
         F.when(F.col("o_orderstatus") == "P", "C")
-        .otherwise(((F.col("o_orderkey") % 101) / 100).cast("string"))
+        .otherwise((price / 500000 - 0.5).cast("string"))
         .alias("ret"),
     )
 
@@ -369,8 +372,8 @@ def firm_months(t: Tables) -> DataFrame:
 FIRM_YEARS = f"""firm_months AS (
   SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cusip, {SQL_MONTH.format("o_orderdate")} AS yyyymm,
          o_totalprice / 1000 AS me, o_totalprice - 100000 AS seq,
-         o_totalprice / 10 - (o_orderkey % 7) * 5000 AS ib, o_totalprice * 2 + 1000 AS "at",
-         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE (o_orderkey % 101) / 100.0::DOUBLE END AS ret
+         o_totalprice / 10 - day(o_orderdate) * 1000 AS ib, o_totalprice * 2 + 1000 AS "at",
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice / 500000 - 0.5 END AS ret
   FROM orders),
 yearly AS (
   SELECT cusip, yyyymm // 100 AS year, ret, me, "at", ib / nullif("at", 0) AS roa, ib / nullif(seq, 0) AS roe,
