@@ -8,13 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from panelwright.catalog import ORACLES, QUERIES
 
 FOLDER = os.environ.get("CATALOG_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
     " labels conversations"
 ).split()
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
@@ -62,6 +62,7 @@ def test_query(spark, reference, name):
 
 def test_every_query_has_reference_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
