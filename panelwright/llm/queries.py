@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import minhash
+from panelwright.llm import minhash, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.digest(table(spark, folder, "documents"))
+
+
 @query
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies among all documents: three words, 85 in 100."""
