@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import minhash, pii
+from panelwright.llm import minhash, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,9 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies among all documents: three words, 85 in 100."""
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    return sharding.by_bytes(table(spark, folder, "documents"), shards=16)
