@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import minhash, pii, sharding
+from panelwright.llm import minhash, packing, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +38,9 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
     return sharding.by_bytes(table(spark, folder, "documents"), shards=16)
+
+
+@query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), capacity=2048)
