@@ -1,0 +1,224 @@
+"""Secrets in texts: fixed patterns, and random strings told from ordinary ones by two character Markov models."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from panelwright.llm.text import pieces, utf8, word_spans
+
+# The base patterns, the words an assignment holds (lower case), and the least lengths.
+ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+KEYWORDS = ("password", "passwd", "secret", "token", "api")
+ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 8, 16, 32
+ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+KINDS = ("assign", "access", "hex", "random")
+
+#: A run of the alphabet of this length is judged by the models.
+RANDOM_LEAST = 20
+#: Least log-likelihood ratio of a run for each of its pairs of characters, and in all. It must also hold a digit.
+MEAN_RATIO, WHOLE_RATIO = 1.0, 20.0
+#: Added to each count of the models, so that an unseen pair is possible and no sample at all means even odds.
+PRIOR = 0.5
+
+SPAN = "array<struct<start:long,rank:int,end:long,kind:string,score:double>>"
+
+
+def _symbols() -> np.ndarray:
+    """Number of each byte in the alphabet; all others share the last number."""
+    table = np.full(256, len(ALPHABET), np.int64)
+    table[list(ALPHABET)] = np.arange(len(ALPHABET))
+    return table
+
+
+def base_scanner() -> Callable[[str], list[tuple[int, int, int, int, int]]]:
+    """A function from a text to the base spans: (start, rank of kind, end, start and end of the secret itself)."""
+    assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
+    access = re.compile(r"AKIA[A-Z0-9]+")
+    hexes = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
+
+    def scan(text: str) -> list[tuple[int, int, int, int, int]]:
+        found = []
+        lower = text.lower()
+        if any(k in lower for k in KEYWORDS):
+            for m in assign.finditer(text):
+                if len(m[2]) >= ASSIGN_LEAST:
+                    found.append((m.start(), 0, m.end(), m.start(2), m.end(2)))
+        if "AKIA" in text:
+            for m in access.finditer(text):
+                if m.end() - m.start() >= ACCESS_LEAST:
+                    found.append((m.start(), 1, m.end(), m.start(), m.end()))
+        for m in hexes.finditer(text):
+            found.append((m.start(), 2, m.end(), m.start(), m.end()))
+        return found
+
+    return scan
+
+
+def _candidates(data: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
+    """Whether each row has a run of the alphabet of at least this length."""
+    inside = np.zeros(256, bool)
+    inside[list(ALPHABET)] = True
+    starts, ends, rows = word_spans(data, offsets, inside)
+    counts = np.concatenate([[0], np.cumsum(ends - starts >= least)])
+    return counts[rows[1:]] > counts[rows[:-1]]
+
+
+def _assigned(texts: list[str]) -> list[bool]:
+    return [any(k in t for k in KEYWORDS) for t in map(str.lower, texts)]
+
+
+def _count_pairs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(text) to (label, pair, n): pairs of neighbouring characters in secrets (1) and in all text (0)."""
+    symbols = _symbols()
+    scan = base_scanner()
+    width = len(ALPHABET) + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, width * width), np.int64)
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            for i, j in pieces(offsets):
+                codes = symbols[data[offsets[i] : offsets[j]]]
+                if len(codes) > 1:
+                    totals[0] += np.bincount(codes[:-1] * width + codes[1:], minlength=width * width)
+                part = batch.column(0).slice(i, j - i).fill_null("").to_pylist()
+                likely = _candidates(data, offsets[i : j + 1], ACCESS_LEAST) | np.array(_assigned(part))
+                for k in np.flatnonzero(likely):
+                    text = part[k]
+                    for a, b in {s[3:] for s in scan(text)}:
+                        own = symbols[list(text[a:b].encode())]
+                        totals[1] += np.bincount(own[:-1] * width + own[1:], minlength=width * width)
+        for label in (0, 1):
+            pair = np.flatnonzero(totals[label])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(pair), label, np.int32)), pa.array(pair), pa.array(totals[label][pair])],
+                ["label", "pair", "n"],
+            )
+
+    return count
+
+
+def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Log-likelihood ratio of each pair of neighbouring characters, random string over ordinary text.
+
+    The labelled samples are the texts themselves: what the base patterns find is random (1), all the rest is
+    ordinary (0). Both models are first-order chains of characters, counted over every text; the driver gets
+    one number for each pair of the alphabet's 67 symbols.
+    """
+    width = len(ALPHABET) + 1
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
+        _count_pairs(), "label int, pair long, n long"
+    )
+    counts = np.zeros((2, width, width))
+    for label, pair, n in counted.groupBy("label", "pair").agg(F.sum("n")).collect():
+        counts[label, pair // width, pair % width] = n
+    counts[0] = np.maximum(counts[0] - counts[1], 0)
+    # Within candidates only the alphabet occurs, so the last symbol is left out.
+    counts = counts[:, :-1, :-1] + PRIOR
+    chance = np.log(counts / counts.sum(axis=2, keepdims=True))
+    return chance[1] - chance[0]
+
+
+def scanner(ratios: np.ndarray) -> Callable[[str], list[tuple[int, int, int, str, float]]]:
+    """A function from a text to all spans (start, rank, end, kind, score) in order of start, then kind."""
+    symbols = _symbols()
+    scan_base = base_scanner()
+    run = re.compile("[%s]{%d,}" % (re.escape(ALPHABET.decode()), RANDOM_LEAST))
+
+    def scan(text: str) -> list[tuple[int, int, int, str, float]]:
+        base = scan_base(text)
+        found = [(a, rank, b, KINDS[rank], 1.0) for a, rank, b, _, _ in base]
+        for m in run.finditer(text):
+            codes = symbols[list(m[0].encode())]
+            ratio = float(ratios[codes[:-1], codes[1:]].sum())
+            if ratio >= max(WHOLE_RATIO, MEAN_RATIO * (len(codes) - 1)) and any(c in "0123456789" for c in m[0]):
+                if not any(a < m.end() and m.start() < b for a, _, b, _, _ in base):
+                    found.append((m.start(), 3, m.end(), KINDS[3], round(ratio / (len(codes) - 1), 6)))
+        return sorted(found)
+
+    return scan
+
+
+def _scan_rows(ratios: np.ndarray, redact: bool):
+    """(doc_id, text) to (doc_id, found), or (row, text) to (row, text without secrets)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = scanner(ratios)
+        kind = pa.list_(
+            pa.struct(
+                [("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())]
+            )
+        )
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for i, j in pieces(offsets):
+                part = batch.column(1).slice(i, j - i).to_pylist()
+                texts = [t or "" for t in part]
+                likely = _candidates(data, offsets[i : j + 1], ACCESS_LEAST) | np.array(_assigned(texts))
+                found = [scan(t) if maybe else [] for t, maybe in zip(texts, likely)]
+                if redact:
+                    out = pa.array([_without(t, f) if f else t for t, f in zip(part, found)], pa.string())
+                else:
+                    fields = ("start", "rank", "end", "kind", "score")
+                    out = pa.array([[dict(zip(fields, s)) for s in f] for f in found], kind)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), out], ["doc_id", "out"])
+
+    return rows
+
+
+def _without(text: str, found: list, mark: str = "[secret]") -> str:
+    out, at = [], 0
+    for start, _, end, _, _ in found:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, found): the spans of every text, in order of start, then kind.
+
+    Starts and ends count code points, ends exclusive. Base spans are those of the fixed patterns; a run of 20 or
+    more characters that the models call random and no base span touches is added as `random`. A null text counts
+    as empty. Rows are neither merged nor dropped, whatever their doc_id; extra columns are ignored.
+    """
+    ratios = train(docs, text_col)
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return plain.mapInArrow(_scan_rows(ratios, False), f"doc_id long, out {SPAN}").withColumnRenamed("out", "found")
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """`docs` with every secret in `text_col` replaced by [secret]; all rows and other columns stay (null stays)."""
+    ratios = train(docs, text_col)
+    others = [c for c in docs.columns if c != text_col]
+    paired = docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text"))
+    kind = paired.schema["row"].dataType.simpleString()
+    cleaned = paired.mapInArrow(_scan_rows(ratios, True), f"doc_id {kind}, out string")
+    return cleaned.select(*[F.col("out").alias(c) if c == text_col else F.col(f"doc_id.{c}") for c in docs.columns])
+
+
+def joined_spans(found: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """Counts and spans of each document, in the columns that the query promises."""
+    found = find_secrets(docs)
+    base = F.filter("found", lambda s: s["kind"] != KINDS[3])
+    return found.select(
+        "doc_id",
+        *[_count(kind) for kind in KINDS],
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("found")).alias("spans"),
+    )

@@ -47,13 +47,16 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = ~_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the first word of each row (one more for the end).
 
-    Words are the longest runs of bytes other than space, tab, line feed, vertical tab, form feed and return.
+    Words are the longest runs of bytes that `inside` marks: by default all but space, tab, line feed, vertical tab,
+    form feed and return.
     """
     base, stop = int(offsets[0]), int(offsets[-1])
-    ink = ~_SPACE[data[base:stop]]
+    ink = inside[data[base:stop]]
     if not len(ink):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     edge = np.zeros(len(ink) + 1, bool)
