@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import minhash, packing, pii, sharding
+from panelwright.llm import chat, minhash, packing, pii, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,21 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.by_bytes(table(spark, folder, "documents"), shards=16)
 
 
+@query
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.digest(table(spark, folder, "documents"))
+
+
+@query
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations in the template, and one that spells out the template's own marks."""
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.digest(turns)
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
