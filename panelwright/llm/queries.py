@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, minhash, packing, pii, secrets, sharding
+from panelwright.llm import chat, embeddings, minhash, packing, pii, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+@query
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Near copies among all vectors: cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), cosine=0.95)
+
+
 @query
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
