@@ -12,31 +12,40 @@ from pyspark.sql import functions as F
 from panelwright.llm.shared import components, settle
 
 #: Vectors of one side that a task compares, and how many at a time.
-SIDE_ROWS, TILE_ROWS = 4096, 1024
+SIDE_ROWS, TILE_ROWS = 16384, 1024
 #: Coordinates of a block that the grid of its range join uses.
 GRID_DIMS = 2
-#: Allowance for rounding in the distances that propose pairs; links are decided by the cosine itself.
-SLACK = 1e-9
+#: Allowances for rounding in the distances that propose pairs, in double and in single precision; links are decided by
+#: the cosine itself.
+SLACK, SINGLE_SLACK = 1e-9, 1e-5
 #: Share of a tile's pairs from which on all of them are verified by matrix products.
 DENSE = 0.01
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(vec_id, array<double>) to (vec_id, vec, dims): a usable vector as bytes of doubles, else null."""
-    for batch in batches:
-        out, dims = [], []
-        for vector in batch.column(1):
-            values = vector.values.to_numpy(zero_copy_only=False).astype(np.float64) if vector.is_valid else np.zeros(0)
-            good = len(values) > 0 and np.isfinite(values).all() and 0 < np.linalg.norm(values) < np.inf
-            out.append((values + 0.0).tobytes() if good else None)
-            dims.append(len(values) if good else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(out, pa.binary()), pa.array(dims, pa.int32())], ["vec_id", "vec", "dims"]
-        )
+def _packed(kind: str):
+    """(vec_id, array) to (vec_id, vec, dims): a usable vector as bytes of its own number type, else null."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, dims = [], []
+            for vector in batch.column(1):
+                values = vector.values.to_numpy(zero_copy_only=False).astype(kind) if vector.is_valid else np.zeros(0)
+                norm = np.linalg.norm(values.astype(np.float64)) if len(values) and np.isfinite(values).all() else 0
+                good = 0 < norm < np.inf
+                out.append((values + 0).tobytes() if good else None)
+                dims.append(len(values) if good else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.binary()), pa.array(dims, pa.int32())], ["vec_id", "vec", "dims"]
+            )
+
+    return packed
 
 
 def _units(column: pa.Array, dims: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dims)
+    """The vectors of a column, scaled to length one in double precision."""
+    joined = b"".join(column.to_pylist())
+    kind = "f4" if len(joined) == 4 * dims * len(column) else "f8"
+    raw = np.frombuffer(joined, kind).reshape(-1, dims).astype(np.float64)
     return raw / np.linalg.norm(raw, axis=1)[:, None]
 
 
@@ -134,18 +143,25 @@ def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
         x, y = x[:, a:b], y[:, a:b]
         return (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)
 
+    def factors(turned: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Single-precision factors whose product is the squared distance in the block."""
+        own = turned[:, slice(*spans[block])]
+        norms, ones = (own * own).sum(1)[:, None], np.ones((len(own), 1))
+        return np.hstack([-2 * own, norms, ones]).astype(np.float32), np.hstack([own, ones, norms]).astype(np.float32)
+
     def verified(x, y, tx, ty, near, block):
-        """Of the proposed pairs those of the cosine, each only in the first block that proposes it."""
+        """Of the proposed pairs those of the cosine, each only in the first block in whose radius it lies."""
         if near.mean() > DENSE:
+            near &= distances(tx, ty, block) <= budget + SLACK
             for earlier in range(block):
                 near &= distances(tx, ty, earlier) > budget + SLACK
             return near & (x @ y.T >= least)
         i, j = np.nonzero(near)
-        for earlier in range(block):
-            a, b = spans[earlier]
+        for other in range(block + 1):
+            a, b = spans[other]
             apart = tx[i, a:b] - ty[j, a:b]
-            fresh = (apart * apart).sum(1) > budget + SLACK
-            i, j = i[fresh], j[fresh]
+            inside = (apart * apart).sum(1) <= budget + SLACK
+            i, j = (i[inside], j[inside]) if other == block else (i[~inside], j[~inside])
         linked = np.einsum("ij,ij->i", x[i], y[j]) >= least
         near[:] = False
         near[i[linked], j[linked]] = True
@@ -165,10 +181,12 @@ def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
         counts = np.zeros(len(keys), np.int64)
         root = np.arange(len(keys))
         found = []
+        ahead, behind = factors(turned, block)
+        limit = np.float32(budget + SINGLE_SLACK)
         for p in range(0, len(one), TILE_ROWS):
             for q in range(p if same else 0, len(two), TILE_ROWS):
                 i, j = one[p : p + TILE_ROWS], two[q : q + TILE_ROWS]
-                near = distances(turned[i], turned[j], block) <= budget + SLACK
+                near = ahead[i] @ behind[j].T <= limit
                 if same and p == q:
                     near &= np.triu(np.ones(near.shape, bool), 1)
                 if not near.any():
@@ -211,10 +229,12 @@ def near_duplicates(
     repeat a vec_id count as rows of their own. A null vec_id never names a component, and such rows are kept. Extra
     columns are ignored.
     """
+    single = vectors.schema[vec_col].dataType.simpleString() == "array<float>"
     source = vectors.select(
-        F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("embedding")
+        F.col(id_col).cast("long").alias("vec_id"),
+        F.col(vec_col).cast("array<float>" if single else "array<double>").alias("embedding"),
     )
-    rows = source.mapInArrow(_packed, "vec_id long, vec binary, dims int")
+    rows = source.mapInArrow(_packed("f4" if single else "f8"), "vec_id long, vec binary, dims int")
     lengths = rows.where("dims is not null").groupBy("dims").count().orderBy(F.desc("count"), F.desc("dims")).first()
     dims = lengths["dims"] if lengths else 1
     rows = rows.withColumn("key", F.when(F.col("dims") == dims, F.xxhash64("vec")))
