@@ -134,7 +134,7 @@ def _cells(axes: np.ndarray, blocks: int, budget: float, with_vec: bool):
 
 
 def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
-    """The rows of one task to (u, v, links): links of each vector (v null), and links that join all linked ones."""
+    """The rows of one task to (u, v, links): links of each vector (v null), and each to the least it is joined to."""
     dims = len(axes)
     spans = _edges(dims, blocks)
 
@@ -155,17 +155,27 @@ def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
             near &= distances(tx, ty, block) <= budget + SLACK
             for earlier in range(block):
                 near &= distances(tx, ty, earlier) > budget + SLACK
-            return near & (x @ y.T >= least)
-        i, j = np.nonzero(near)
+            return np.nonzero(near & (x @ y.T >= least))
+        i, j = np.divmod(np.flatnonzero(near), near.shape[1])
         for other in range(block + 1):
             a, b = spans[other]
             apart = tx[i, a:b] - ty[j, a:b]
             inside = (apart * apart).sum(1) <= budget + SLACK
             i, j = (i[inside], j[inside]) if other == block else (i[~inside], j[~inside])
         linked = np.einsum("ij,ij->i", x[i], y[j]) >= least
-        near[:] = False
-        near[i[linked], j[linked]] = True
-        return near
+        return i[linked], j[linked]
+
+    def join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """`root` (each row's least joined row) after the links i to j."""
+        while True:
+            one, two = root[i], root[j]
+            apart = one != two
+            if not apart.any():
+                return root
+            i, j, one, two = i[apart], j[apart], one[apart], two[apart]
+            np.minimum.at(root, np.maximum(one, two), np.minimum(one, two))
+            while (root[root] != root).any():
+                root = root[root]
 
     def links(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -180,7 +190,6 @@ def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
             two = one
         counts = np.zeros(len(keys), np.int64)
         root = np.arange(len(keys))
-        found = []
         ahead, behind = factors(turned, block)
         limit = np.float32(budget + SINGLE_SLACK)
         for p in range(0, len(one), TILE_ROWS):
@@ -191,21 +200,18 @@ def _links(axes: np.ndarray, blocks: int, budget: float, least: float):
                     near &= np.triu(np.ones(near.shape, bool), 1)
                 if not near.any():
                     continue
-                near = verified(units[i], units[j], turned[i], turned[j], near, block)
-                counts[i] += near @ copies[j]
-                counts[j] += copies[i] @ near
-                for k in np.flatnonzero(near.any(axis=1)):
-                    others = j[near[k]]
-                    for other in np.unique(root[others]):
-                        if other != root[i[k]]:
-                            found.append((keys[i[k]], keys[others[root[others] == other][0]]))
-                            root[root == other] = root[i[k]]
+                p_at, q_at = verified(units[i], units[j], turned[i], turned[j], near, block)
+                one_at, two_at = i[p_at], j[q_at]
+                counts += np.bincount(one_at, copies[two_at], len(keys)).astype(np.int64)
+                counts += np.bincount(two_at, copies[one_at], len(keys)).astype(np.int64)
+                root = join(root, one_at, two_at)
+        moved = np.flatnonzero(root != np.arange(len(root)))
         some = np.flatnonzero(counts)
         return pa.table(
             {
-                "u": pa.array([*keys[some], *(u for u, _ in found)], pa.int64()),
-                "v": pa.array([None] * len(some) + [v for _, v in found], pa.int64()),
-                "links": pa.array([*counts[some], *([0] * len(found))], pa.int64()),
+                "u": pa.array(np.concatenate([keys[some], keys[moved]])),
+                "v": pa.array([None] * len(some) + keys[root[moved]].tolist(), pa.int64()),
+                "links": pa.array(np.concatenate([counts[some], np.zeros(len(moved), np.int64)])),
             }
         )
 
@@ -222,7 +228,7 @@ def near_duplicates(
     every link lies within the part's radius in some block. Each block is joined by range on a grid over its
     widest coordinates; cells of many vectors are compared side by side in bounded pieces. A proposed pair is
     verified in double precision, in the first block that proposes it, and counted there; the pairs themselves never
-    become rows: a task returns each vector's number of links and a forest that joins what is linked.
+    become rows: a task returns each vector's number of links and one vector that it is joined to.
 
     Equal vectors are one vector with a number of copies from the start. Vectors that are null, zero, or hold null or
     non-finite components link with nothing, and so do those not as long as most (ties: the longest). Rows that
