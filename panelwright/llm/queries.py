@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, embeddings, minhash, packing, pii, secrets, sharding
+from panelwright.llm import chat, embeddings, minhash, packing, pages, pii, secret_scan, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+@query
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return pages.extract(table(spark, folder, "pages"))
+
+
 @query
 def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies among all vectors: cosine of 0.95 or more."""
@@ -49,7 +55,7 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents."""
-    return secrets.digest(table(spark, folder, "documents"))
+    return secret_scan.digest(table(spark, folder, "documents"))
 
 
 @query
