@@ -44,6 +44,9 @@ MAIN_SHARE = 0.7
 #: Wrappers in all up to this size go to every executor; more are joined by host, with hot hosts salted.
 SENT_BYTES, SALTS = 32 << 20, 16
 
+#: Elements nested deeper than this are read as children of the last one that is not.
+DEEPEST = 150
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<",
@@ -98,7 +101,7 @@ def parse(html: str) -> Node:
             words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(said)).lower()) if w]
             node = Node(".".join([name, *dict.fromkeys(words)]))
             stack[-1].children.append(node)
-            if name not in VOID and not text.rstrip().endswith("/"):
+            if name not in VOID and not text.rstrip().endswith("/") and len(stack) < DEEPEST:
                 stack.append(node)
         else:
             for k in range(len(stack) - 1, 0, -1):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, embeddings, minhash, packing, pages, pii, secret_scan, sharding
+from panelwright.llm import chat, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +67,13 @@ def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(turns)
 
 
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")), threshold=0.3)
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
