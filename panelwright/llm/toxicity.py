@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.shared import settle
+
 #: Characters of a subsequence, the longest span it may take, and the weight of each character of that span.
 LENGTH, SPAN, DECAY = 3, 5, 0.7
 #: Hashed subsequences.
@@ -156,8 +158,15 @@ def landmark_machine(toxic: list[str], clean: list[str], weights: np.ndarray) ->
             len(spelt) + random.choice(len(clean), min(len(clean), half), replace=False),
         ]
     )
-    basis = [_table(examples[k]) for k in picked]
-    kernel = np.column_stack([words.scores(t) for t in basis])
+    basis = [_features(examples[k]) for k in picked]
+    parts = [(word, hashed, np.full(len(word), weight)) for word, hashed, weight in words.features()]
+    word, hashed, weight = (np.concatenate(p) for p in zip(*parts))
+    table, kernel = np.zeros(1 << BITS), np.zeros((len(examples), len(picked)))
+    norms = _norms(int(words.sizes.max()))[words.sizes]
+    for k, (at, values) in enumerate(basis):
+        table[at] = values
+        kernel[:, k] = np.bincount(word, weight * table[hashed], len(examples)) / norms
+        table[at] = 0
     values, vectors = np.linalg.eigh((kernel[picked] + kernel[picked].T) / 2)
     good = values > 1e-6 * values.max()
     project = vectors[:, good] / np.sqrt(values[good])
@@ -172,7 +181,8 @@ def landmark_machine(toxic: list[str], clean: list[str], weights: np.ndarray) ->
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
-    table = sum(a * t for a, t in zip(project @ w[:-1], basis))
+    for a, (at, values) in zip(project @ w[:-1], basis):
+        table[at] += a * values
     return table.astype(np.float32), float(w[-1])
 
 
@@ -184,13 +194,13 @@ def _rows(examples: list[str]) -> Words:
     return Words(codes, np.repeat(np.arange(len(sizes)), sizes), sizes, np.arange(len(sizes)))
 
 
-def _table(word: str) -> np.ndarray:
-    """The normalised features of one word, as weights of the hashed subsequences."""
+def _features(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed subsequences of one word, and its normalised features."""
     row = _rows([word])
-    table = np.zeros(1 << BITS)
-    for _, hashed, weight in row.features():
-        np.add.at(table, hashed, weight)
-    return table / _norms(int(row.sizes[0]))[row.sizes[0]]
+    parts = [(hashed, np.full(len(hashed), weight)) for _, hashed, weight in row.features()]
+    hashed, weight = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.uint32), np.zeros(0))
+    at, inverse = np.unique(hashed, return_inverse=True)
+    return at, np.bincount(inverse, weight, len(at)) / _norms(int(row.sizes[0]))[row.sizes[0]]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -260,8 +270,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for label, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS))
     ]
     # Bounded by the two limits.
-    sample = texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("text", "toxic")
-    counted = (
+    sample = settle(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("text", "toxic"))
+    counted = settle(
         sample.mapInArrow(_distinct_words, "word string, toxic int")
         .groupBy("word")
         .agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
