@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity
+from panelwright.llm import chat, decontaminate, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op4_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
