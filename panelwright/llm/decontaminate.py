@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.shared import settle
 from panelwright.llm.text import pieces, utf8, word_hashes, word_spans
 
 #: Words of a block, the step of the windows; windows are these numbers of blocks long.
 BLOCK, SCALES = 8, (2, 3, 4, 6, 8, 12, 16)
 #: Hash values that words are told apart by, and the most of them that items may use as columns of their own.
-BUCKETS, COLUMNS = 1 << 16, 1 << 13
+BUCKETS, COLUMNS = 1 << 16, 1 << 12
 #: Latent dimensions, and more that the random start takes along.
 LATENT, MORE = 128, 16
 #: Items searched for at once: more are searched for in several rounds.
@@ -76,31 +77,64 @@ def columns_of(items: list[Item]) -> np.ndarray:
     return table
 
 
-def _passages(table: np.ndarray, data: np.ndarray, offsets: np.ndarray):
-    """Column of each word that has one, the block it stands in, and the first block of each row."""
-    hashes, rows = _tokens(data, offsets)
-    column = table[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
-    counts = np.diff(rows)
-    blocks = np.concatenate([[0], np.cumsum(-(-counts // BLOCK))])
-    inside = np.arange(len(hashes)) - np.repeat(rows[:-1], counts)
-    block = np.repeat(blocks[:-1], counts) + inside // BLOCK
-    known = column >= 0
-    return hashes, rows, column[known], block[known], blocks
+def _read(table: np.ndarray):
+    """(doc_id, text) to (doc_id, columns, blocks): the columns of the words that have one, how many in each block."""
 
-
-def _frequencies(table: np.ndarray):
-    """(text) to (column, n): passages of one block that hold each column; column -1 counts the passages."""
-    width = int(table.max()) + 1
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for i, j in pieces(offsets):
+                hashes, rows = _tokens(data, offsets[i : j + 1])
+                column = table[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
+                counts = np.diff(rows)
+                starts = np.concatenate([[0], np.cumsum(-(-counts // BLOCK))])
+                block = np.repeat(starts[:-1], counts) + (np.arange(len(hashes)) - np.repeat(rows[:-1], counts)) // BLOCK
+                known = column >= 0
+                sizes = np.bincount(block[known], minlength=int(starts[-1])).astype(np.uint8)
+                at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[starts]
+                column = column[known].astype(np.uint16)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(i, j - i),
+                        pa.array([column[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary()),
+                        pa.array([sizes[x:y].tobytes() for x, y in zip(starts, starts[1:])], pa.binary()),
+                    ],
+                    ["doc_id", "columns", "blocks"],
+                )
+
+    return read
+
+
+def _batched(batch: pa.RecordBatch, at: int, most: int = 512, pad: int = 0):
+    """Some rows of (columns, blocks) as arrays: column and block of each word, first block of each row."""
+    columns = batch.column(at).slice(0, len(batch)).to_pylist()
+    blocks = batch.column(at + 1).to_pylist()
+    for i in range(0, len(columns), most):
+        sizes = [np.frombuffer(b, np.uint8) for b in blocks[i : i + most]]
+        column = np.frombuffer(b"".join(columns[i : i + most]), np.uint16).astype(np.int32)
+        first = np.concatenate([[0], np.cumsum([len(x) + pad for x in sizes])])
+        padding = np.zeros(pad, np.uint8)
+        size = np.concatenate([x for own in sizes for x in (own, padding)]) if sizes else np.zeros(0, np.uint8)
+        yield i, column, np.repeat(np.arange(len(size)), size), first
+
+
+def _repeats(column: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Whether each word stood before in its block."""
+    again = np.zeros(len(column), bool)
+    for k in range(1, BLOCK):
+        again[k:] |= (column[k:] == column[:-k]) & (block[k:] == block[:-k])
+    return again
+
+
+def _frequencies(width: int):
+    """Read rows to (column, n): blocks that hold each column; column -1 counts the blocks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, passages = np.zeros(width, np.int64), 0
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for i, j in pieces(offsets):
-                _, _, column, block, blocks = _passages(table, data, offsets[i : j + 1])
-                passages += int(blocks[-1])
-                once = np.unique(block * width + column)
-                total += np.bincount(once % width, minlength=width)
+            for _, column, block, first in _batched(batch, 0):
+                passages += int(first[-1])
+                total += np.bincount(column[~_repeats(column, block)], minlength=width)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(total[at], passages))], ["column", "n"]
@@ -109,29 +143,27 @@ def _frequencies(table: np.ndarray):
     return count
 
 
-def _sketch(table: np.ndarray, idf: np.ndarray, width: int, seed: int):
-    """(text) to (chunk, sums): each task's part of A'A times random columns, for the matrix A of all passages."""
-    random = np.random.default_rng(seed).standard_normal((len(idf), width)).astype(np.float32)
+def _sketch(idf: np.ndarray, taken: int, seed: int):
+    """Read rows to (chunk, sums): each task's part of A'A times random columns, for the matrix A of all blocks."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(idf), width), np.float32)
-        start = random * idf[:, None]
+        width = len(idf)
+        # Pairs of words that share a block: A'A but for the weights of its rows and columns.
+        pairs = np.zeros(width * width, np.float32)
+        squares = idf.astype(np.float64) ** 2
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            for i, j in pieces(offsets):
-                _, _, column, block, blocks = _passages(table, data, offsets[i : j + 1])
+            for _, column, block, first in _batched(batch, 0):
                 if not len(column):
                     continue
-                first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-                sizes = np.diff(np.append(first, len(block)))
-                norms = np.sqrt(np.add.reduceat(idf[column] ** 2, first))
-                passage = np.add.reduceat(start[column], first, axis=0) / (norms**2)[:, None]
-                # Sum the passages' rows by column: sorted, so that equal columns are neighbours.
-                order = np.argsort(column, kind="stable")
-                rows = np.repeat(np.arange(len(first)), sizes)[order]
-                sorted_ = column[order]
-                at = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                total[sorted_[at]] += np.add.reduceat(passage[rows], at, axis=0) * idf[sorted_[at], None]
+                row = (1 / np.bincount(block, squares[column], int(first[-1])).clip(1e-12))[block].astype(np.float32)
+                np.add.at(pairs, column * width + column, row)
+                for k in range(1, BLOCK):
+                    both = np.flatnonzero(block[k:] == block[:-k])
+                    one, two, weight = column[both], column[both + k], row[both]
+                    np.add.at(pairs, one * width + two, weight)
+                    np.add.at(pairs, two * width + one, weight)
+        random = np.random.default_rng(seed).standard_normal((width, taken)).astype(np.float32)
+        total = idf[:, None] * (pairs.reshape(width, width) @ (idf[:, None] * random))
         step = 256
         chunks = [total[c : c + step] for c in range(0, len(total), step)]
         yield pa.RecordBatch.from_arrays(
@@ -155,7 +187,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def latent_space(texts: DataFrame, table: np.ndarray) -> np.ndarray:
+def latent_space(read: DataFrame, width: int) -> np.ndarray:
     """Latent vector of each column: its weight times its row of the leading right singular vectors.
 
     The matrix has a row for every block of words of every document, columns for the words of the items, weights of
@@ -163,8 +195,8 @@ def latent_space(texts: DataFrame, table: np.ndarray) -> np.ndarray:
     A'A times a random matrix is summed over all tasks, a few megabytes however many rows there are, and its left
     singular vectors span the leading right singular vectors of A.
     """
-    width = int(table.max()) + 1
-    counts = texts.mapInArrow(_frequencies(table), "column long, n long").groupBy("column").agg(F.sum("n"))
+    words = read.select("columns", "blocks")
+    counts = words.mapInArrow(_frequencies(width), "column long, n long").groupBy("column").agg(F.sum("n"))
     found = dict(map(tuple, counts.collect()))
     passages = found.pop(-1, 0) or 1
     frequency = np.array([found.get(c, 0) for c in range(width)], float)
@@ -172,7 +204,7 @@ def latent_space(texts: DataFrame, table: np.ndarray) -> np.ndarray:
     idf = np.log((passages + 1) / (frequency + 1)).astype(np.float32) ** 2 + np.float32(0.01)
     taken = min(LATENT + MORE, width)
     parts = (
-        texts.mapInArrow(_sketch(table, idf, taken, 11), "chunk int, sums binary")
+        words.mapInArrow(_sketch(idf, taken, 11), "chunk int, sums binary")
         .repartition("chunk")
         .mapInArrow(_summed, "chunk int, sums binary")
         .collect()
@@ -200,34 +232,32 @@ def _holds(words: np.ndarray, answer: np.ndarray) -> bool:
 
 
 def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
-    """(doc_id, text) to the confirmed (doc_id, item_id, cosine, common, item_words, answer, start_word)."""
+    """Read rows to the confirmed (doc_id, item_id, share, cosine, …)."""
+    words = [table[(i.words % np.uint64(BUCKETS)).astype(np.int64)] for i in items]
+    answers = [table[(i.answer % np.uint64(BUCKETS)).astype(np.int64)] for i in items]
     masks = []
-    for item in items:
-        own: dict[int, int] = {}
-        for k, w in enumerate(item.words.tolist()):
-            own[w] = own.get(w, 0) | 1 << k
-        masks.append(own)
+    for own in words:
+        mask: dict[int, int] = {}
+        for k, w in enumerate(own.tolist()):
+            mask[w] = mask.get(w, 0) | 1 << k
+        masks.append(mask)
     groups = []
     for scale in SCALES:
         mine = [k for k, item in enumerate(items) if item.scale == scale]
         if mine:
-            vectors = np.stack(
-                [latent[table[(items[k].words % np.uint64(BUCKETS)).astype(np.int64)]].sum(0) for k in mine]
-            )
+            vectors = np.stack([latent[words[k]].sum(0) for k in mine])
             norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
             groups.append((scale, np.array(mine), np.ascontiguousarray((vectors / norms).T)))
-
+    pad = groups[-1][0]
     # How often an item has each column, and which columns its answer has.
-    width = int(table.max()) + 1
-    times = np.zeros((len(items), width), np.uint8)
+    width = len(latent)
+    times = np.stack([np.minimum(np.bincount(w, minlength=width), 255).astype(np.uint8) for w in words])
     asked = np.zeros((len(items), width), bool)
-    for k, item in enumerate(items):
-        at = table[(item.words % np.uint64(BUCKETS)).astype(np.int64)]
-        times[k] = np.minimum(np.bincount(at, minlength=width), 255)
-        answer = table[(item.answer % np.uint64(BUCKETS)).astype(np.int64)]
+    for k, answer in enumerate(answers):
         asked[k, answer[answer >= 0]] = True
-    least = np.array([(1.0 if len(i.words) < SHORT else LEAST_COMMON) * min(len(i.words), 255) for i in items])
-    with_answer = np.array([(1.0 if len(i.words) < SHORT else LEAST_WITH_ANSWER) * min(len(i.words), 255) for i in items])
+    sizes_of = np.array([len(w) for w in words])
+    least = np.where(sizes_of < SHORT, 1.0, LEAST_COMMON) * sizes_of
+    with_answer = np.where(sizes_of < SHORT, 1.0, LEAST_WITH_ANSWER) * sizes_of
 
     def possible(item: np.ndarray, low: np.ndarray, high: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Whether the words between low and high are enough of the item's for any order of them to do."""
@@ -237,60 +267,51 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
         code = np.unique(pair * width + column[at])
         pair, found = code // width, code % width
         common = np.bincount(pair, times[item[pair], found], len(item))
-        answers = np.bincount(pair, asked[item[pair], found], len(item)) >= asked[item].sum(1)
-        return (common >= least[item]) | (answers & (common >= with_answer[item]))
-
-    def confirm(item: Item, own: dict[int, int], words: np.ndarray) -> tuple[int, bool] | None:
-        common = common_length(words, own, len(item.words))
-        least = 1.0 if len(item.words) < SHORT else LEAST_COMMON
-        if common >= least * len(item.words):
-            return common, _holds(words, item.answer)
-        if least < 1 and common >= LEAST_WITH_ANSWER * len(item.words) and _holds(words, item.answer):
-            return common, True
-        return None
+        whole = np.bincount(pair, asked[item[pair], found], len(item)) >= asked[item].sum(1)
+        return (common >= least[item]) | (whole & (common >= with_answer[item]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
             out = []
-            for i, j in pieces(offsets):
+            for i, column, block, blocks in _batched(batch, 1, 128, pad):
                 best: dict[tuple[int, int], tuple] = {}
-                hashes, rows, column, block, blocks = _passages(table, data, offsets[i : j + 1])
                 if not len(column):
                     continue
                 n = int(blocks[-1])
-                sums = np.zeros((n + 1, latent.shape[1]), np.float32)
+                sums = np.zeros((n, latent.shape[1]), np.float32)
                 first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-                sums[block[first] + 1] = np.add.reduceat(latent[column], first, axis=0)
-                row_of = np.repeat(np.arange(j - i), np.diff(blocks))
-                stop = blocks[1:][row_of]
+                sums[block[first]] = np.add.reduceat(latent[column], first, axis=0)
                 known = np.searchsorted(block, np.arange(n + 1))
+                # Rows are padded with empty blocks, so a window never reaches into the next row.
+                window, length = sums.copy(), 1
                 for scale, mine, vectors in groups:
-                    window = sums[1:].copy()
-                    for k in range(1, scale):
-                        inside = np.arange(n - k) + k < stop[: n - k]
-                        window[: n - k][inside] += sums[1 + k :][inside]
-                    norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-12)
-                    near = window @ vectors
-                    near /= norms[:, None]
+                    for k in range(length, scale):
+                        window[: n - k] += sums[k:]
+                    length = scale
+                    norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-6)
+                    near = (window / norms[:, None]) @ vectors
                     flat = np.flatnonzero(near >= LEAST_COSINE)
                     at, m = flat // near.shape[1], flat % near.shape[1]
-                    low = known[np.maximum(at - 1, blocks[row_of[at]])]
-                    high = known[np.minimum(at + scale + 1, stop[at])]
-                    fits = possible(mine[m], low, high, column)
-                    for at, m in zip(at[fits].tolist(), m[fits].tolist()):
-                        k, row = int(mine[m]), int(row_of[at])
-                        start = int(rows[row] + (at - blocks[row]) * BLOCK)
-                        low, high = max(start - BLOCK, rows[row]), min(start + (scale + 1) * BLOCK, rows[row + 1])
-                        sure = confirm(items[k], masks[k], hashes[low:high])
-                        if sure and sure[0] > best.get((row, k), (0, 0))[1]:
-                            best[row, k] = (float(near[at, m]), *sure, int(start - rows[row]))
+                    row_of = np.searchsorted(blocks, at, "right") - 1
+                    real = at < blocks[row_of + 1] - pad
+                    at, m, row_of = at[real], m[real], row_of[real]
+                    low = known[np.maximum(at - 1, blocks[row_of])]
+                    high = known[np.minimum(at + scale + 1, n)]
+                    for c in np.flatnonzero(possible(mine[m], low, high, column)) if len(at) else ():
+                        k, row = int(mine[m[c]]), int(row_of[c])
+                        own = column[low[c] : high[c]]
+                        common = common_length(own, masks[k], len(words[k]))
+                        if common <= best.get((row, k), (0, 0))[1]:
+                            continue
+                        held = common >= with_answer[k] and _holds(own, answers[k])
+                        if common >= least[k] or held:
+                            best[row, k] = (float(near[at[c], m[c]]), common, held, int(at[c] - blocks[row]) * BLOCK)
                 of_item: dict[tuple[int, int], tuple] = {}
-                for (row, k), (cosine, common, answer, start) in best.items():
-                    share = common / len(items[k].words)
+                for (row, k), (cosine, common, held, start) in best.items():
+                    share = common / len(words[k])
                     if share > of_item.get((row, items[k].item_id), (0.0,))[0]:
-                        of_item[row, items[k].item_id] = (share, cosine, common, len(items[k].words), answer, start)
+                        of_item[row, items[k].item_id] = (share, cosine, common, len(words[k]), held, start)
                 out += [(ids[i + row], item_id, *v) for (row, item_id), v in sorted(of_item.items())]
             names = ["doc_id", "item_id", "share", "cosine", "common_words", "item_words", "answer", "start_word"]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
@@ -311,7 +332,8 @@ def find_leaks(
     """(doc_id, item_id, share, cosine, common_words, item_words, answer, start_word): items that documents hold.
 
     Every window of every document is compared with every item of its length in the latent space; candidates need
-    60 in 100 of the item's words in order, or 45 and its answer word for word. There is one row for a row of
+    60 in 100 of the item's words in order, or 45 and its answer word for word (words that
+    no item has are passed over). The documents are read once, to the numbers of the words that items have. There is one row for a row of
     `docs` and an item, with the window that has most of it (share of the item's words in order). Items are read
     in rounds of a bounded number, so what is sent to the tasks is bounded. An item longer than the longest window
     is searched for in parts, and found with one. Items and documents without words (null, empty) match nothing; an
@@ -327,6 +349,7 @@ def find_leaks(
         items = read_items(sorted(map(tuple, asked.where(part).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         if items:
             table = columns_of(items)
-            latent = latent_space(plain.select("text"), table)
-            found = found.union(plain.mapInArrow(_search(items, table, latent), FOUND))
+            read = settle(plain.mapInArrow(_read(table), "doc_id long, columns binary, blocks binary"))
+            latent = latent_space(read, int(table.max()) + 1)
+            found = found.union(read.mapInArrow(_search(items, table, latent), FOUND))
     return found
