@@ -280,9 +280,11 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
                     continue
                 n = int(blocks[-1])
                 sums = np.zeros((n, latent.shape[1]), np.float32)
-                first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-                sums[block[first]] = np.add.reduceat(latent[column], first, axis=0)
                 known = np.searchsorted(block, np.arange(n + 1))
+                place = np.arange(len(block)) - known[block]
+                for k in range(BLOCK):  # a block has one k-th word
+                    kth = np.flatnonzero(place == k)
+                    sums[block[kth]] += latent[column[kth]]
                 # Rows are padded with empty blocks, so a window never reaches into the next row.
                 window, length = sums.copy(), 1
                 for scale, mine, vectors in groups:
