@@ -296,21 +296,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
+def _scores(model: Model, column: pa.Array) -> np.ndarray:
+    """The score of each text of a column (null as empty), some at a time."""
+    texts = [t or "" for t in column.to_pylist()]
+    scores, at = [np.zeros(0)], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= PIECE_CHARS):
+            size += len(texts[end])
+            end += 1
+        scores.append(model.score(texts[at:end]))
+        at = end
+    return np.concatenate(scores)
+
+
 def _scored(model: Model):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            scores, at = [np.zeros(0)], 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= PIECE_CHARS):
-                    size += len(texts[end])
-                    end += 1
-                scores.append(model.score(texts[at:end]))
-                at = end
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(np.concatenate(scores))], ["doc_id", "score"]
-            )
+            scores = pa.array(_scores(model, batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), scores], ["doc_id", "score"])
 
     return scored
 
@@ -331,3 +335,14 @@ def score(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that score less than `threshold`, with all their columns."""
+    place = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, batch.column(place)) < threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
