@@ -209,6 +209,8 @@ def latent_space(read: DataFrame, width: int) -> np.ndarray:
         .mapInArrow(_summed, "chunk int, sums binary")
         .collect()
     )
+    if not parts:  # an empty table has no partitions
+        return np.zeros((width, 1), np.float32)
     sums = np.concatenate([np.frombuffer(r[1], np.float32) for r in sorted(parts)]).reshape(width, taken)
     axes = np.linalg.svd(sums.astype(np.float64), full_matrices=False)[0][:, :LATENT]
     return (axes * idf[:, None]).astype(np.float32)

@@ -60,6 +60,14 @@ def base_scanner() -> Callable[[str], list[tuple[int, int, int, int, int]]]:
     return scan
 
 
+def _runs() -> re.Pattern:
+    return re.compile("[%s]{%d,}" % (re.escape(ALPHABET.decode()), RANDOM_LEAST))
+
+
+def _has_digit(text: str) -> bool:
+    return any(c in "0123456789" for c in text)
+
+
 def _candidates(data: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
     """Whether each row has a run of the alphabet of at least this length."""
     inside = np.zeros(256, bool)
@@ -77,8 +85,13 @@ def _count_pairs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     """(text) to (label, pair, n): pairs of neighbouring characters in secrets (1) and in all text (0)."""
     symbols = _symbols()
     scan = base_scanner()
+    run = _runs()
     width = len(ALPHABET) + 1
 
+    def pairs(text: str) -> np.ndarray:
+        own = symbols[list(text.encode())]
+        return own[:-1] * width + own[1:]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, width * width), np.int64)
         for batch in batches:
@@ -91,9 +104,13 @@ def _count_pairs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
                 likely = _candidates(data, offsets[i : j + 1], ACCESS_LEAST) | np.array(_assigned(part))
                 for k in np.flatnonzero(likely):
                     text = part[k]
-                    for a, b in {s[3:] for s in scan(text)}:
-                        own = symbols[list(text[a:b].encode())]
-                        totals[1] += np.bincount(own[:-1] * width + own[1:], minlength=width * width)
+                    known = {s[3:] for s in scan(text)}
+                    open_ = {m.span() for m in run.finditer(text) if _has_digit(m[0])}
+                    for a, b in known:
+                        np.add.at(totals[1], pairs(text[a:b]), 1)
+                    # What may be a secret is no sample of ordinary text, found by the patterns or not.
+                    for a, b in open_ | {s for s in known if not any(a <= s[0] and s[1] <= b for a, b in open_)}:
+                        np.subtract.at(totals[0], pairs(text[a:b]), 1)
         for label in (0, 1):
             pair = np.flatnonzero(totals[label])
             yield pa.RecordBatch.from_arrays(
@@ -107,8 +124,8 @@ def _count_pairs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio of each pair of neighbouring characters, random string over ordinary text.
 
-    The labelled samples are the texts themselves: what the base patterns find is random (1), all the rest is
-    ordinary (0). Both models are first-order chains of characters, counted over every text; the driver gets
+    The labelled samples are the texts themselves: what the base patterns find is random (1), the rest is ordinary (0)
+    but for long runs with digits, which may be either. Both models are first-order chains of characters, counted over every text; the driver gets
     one number for each pair of the alphabet's 67 symbols.
     """
     width = len(ALPHABET) + 1
@@ -118,7 +135,7 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     counts = np.zeros((2, width, width))
     for label, pair, n in counted.groupBy("label", "pair").agg(F.sum("n")).collect():
         counts[label, pair // width, pair % width] = n
-    counts[0] = np.maximum(counts[0] - counts[1], 0)
+    counts = np.maximum(counts, 0)
     # Within candidates only the alphabet occurs, so the last symbol is left out.
     counts = counts[:, :-1, :-1] + PRIOR
     chance = np.log(counts / counts.sum(axis=2, keepdims=True))
@@ -129,7 +146,7 @@ def scanner(ratios: np.ndarray) -> Callable[[str], list[tuple[int, int, int, str
     """A function from a text to all spans (start, rank, end, kind, score) in order of start, then kind."""
     symbols = _symbols()
     scan_base = base_scanner()
-    run = re.compile("[%s]{%d,}" % (re.escape(ALPHABET.decode()), RANDOM_LEAST))
+    run = _runs()
 
     def scan(text: str) -> list[tuple[int, int, int, str, float]]:
         base = scan_base(text)
@@ -137,7 +154,7 @@ def scanner(ratios: np.ndarray) -> Callable[[str], list[tuple[int, int, int, str
         for m in run.finditer(text):
             codes = symbols[list(m[0].encode())]
             ratio = float(ratios[codes[:-1], codes[1:]].sum())
-            if ratio >= max(WHOLE_RATIO, MEAN_RATIO * (len(codes) - 1)) and any(c in "0123456789" for c in m[0]):
+            if ratio >= max(WHOLE_RATIO, MEAN_RATIO * (len(codes) - 1)) and _has_digit(m[0]):
                 if not any(a < m.end() and m.start() < b for a, _, b, _, _ in base):
                     found.append((m.start(), 3, m.end(), KINDS[3], round(ratio / (len(codes) - 1), 6)))
         return sorted(found)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.shared import settle
+from panelwright.llm.text import pieces, utf8
 
 #: Characters of a subsequence, the longest span it may take, and the weight of each character of that span.
 LENGTH, SPAN, DECAY = 3, 5, 0.7
@@ -24,7 +25,7 @@ LEAST_DOCS, LEAST_RATIO = 3, 6.0
 #: Longest part of a word that is learnt from.
 WORD_CHARS = 40
 #: Characters scored at once.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 18
 
 _GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _SPACES = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0], np.uint32)
@@ -66,7 +67,8 @@ class Words:
         ends = np.flatnonzero(ink & np.concatenate([space[1:], [True]])) + 1
         single = ends - starts == 1
         # The space before a token opens a word, unless single characters stand on both sides of it.
-        spelt = np.concatenate([[False], single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1)])
+        spelt = np.zeros(len(starts), bool)
+        spelt[1:] = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1)
         opens = first.copy()
         opens[np.maximum(starts - 1, 0)[~spelt]] = True
         word = np.cumsum(opens) - 1
@@ -298,15 +300,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _scores(model: Model, column: pa.Array) -> np.ndarray:
     """The score of each text of a column (null as empty), some at a time."""
-    texts = [t or "" for t in column.to_pylist()]
-    scores, at = [np.zeros(0)], 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= PIECE_CHARS):
-            size += len(texts[end])
-            end += 1
-        scores.append(model.score(texts[at:end]))
-        at = end
+    scores = [np.zeros(0)]
+    for i, j in pieces(utf8(column)[1], PIECE_CHARS):
+        scores.append(model.score([t or "" for t in column.slice(i, j - i).to_pylist()]))
     return np.concatenate(scores)
 
 
