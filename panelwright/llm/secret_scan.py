@@ -23,8 +23,9 @@ KINDS = ("assign", "access", "hex", "random")
 RANDOM_LEAST = 20
 #: Least log-likelihood ratio of a run for each of its pairs of characters, and in all. It must also hold a digit.
 MEAN_RATIO, WHOLE_RATIO = 1.0, 20.0
-#: Added to each count of the models, so that an unseen pair is possible and no sample at all means even odds.
-PRIOR = 0.5
+#: Pairs that each character is thought to have been seen in beforehand, spread as single characters are; these are each
+#: thought to have been seen once. So an unseen pair is possible, and no sample at all means even odds.
+PRIOR = 10.0
 
 SPAN = "array<struct<start:long,rank:int,end:long,kind:string,score:double>>"
 
@@ -137,8 +138,11 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         counts[label, pair // width, pair % width] = n
     counts = np.maximum(counts, 0)
     # Within candidates only the alphabet occurs, so the last symbol is left out.
-    counts = counts[:, :-1, :-1] + PRIOR
-    chance = np.log(counts / counts.sum(axis=2, keepdims=True))
+    counts = counts[:, :-1, :-1]
+    single = counts.sum(axis=1) + 1
+    single /= single.sum(axis=1, keepdims=True)
+    chance = counts + PRIOR * single[:, None, :]
+    chance = np.log(chance / chance.sum(axis=2, keepdims=True))
     return chance[1] - chance[0]
 
 
