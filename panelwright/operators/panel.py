@@ -169,7 +169,7 @@ def backfill(df: DataFrame, entity, order, cols, block=None) -> DataFrame:
 def dense_index(df: DataFrame, col: str, name: str) -> DataFrame:
     """Table of the distinct known values of `col`, numbered 1, 2, ... in order."""
     values = df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("__one", F.lit(1))
-    return running_total(freeze(values), col, "__one", name).drop("__one")
+    return running_total(values, col, "__one", name).drop("__one")
 
 
 def with_dense_index(df: DataFrame, col: str, name: str, source: DataFrame | None = None) -> DataFrame:

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import finite
-from panelwright.operators.tables import all_equal, attach, compact, freeze
+from panelwright.operators.tables import all_equal, attach, freeze
 
-# Position of fraction p (in millionths) among n sorted values, in millionths.
+# Position of fraction p among n sorted values; p and the position are whole numbers of 1 / SCALE.
 # linear   interpolates between the ranks around (n - 1) p + 1
 # weibull  interpolates between the ranks around (n + 1) p
 # averaged takes the next rank above n p, or the mean of two ranks if n p is whole
-POSITION = {"linear": "(n - 1) * p + 1000000", "weibull": "(n + 1) * p", "averaged": "n * p"}
+SCALE = 10**17  # as fine as a double between 0.1 and 1
+POSITION = {"linear": f"(n - 1) * p + {SCALE}", "weibull": "(n + 1) * p", "averaged": "n * p"}
+
+PARTS = 256  # pieces of equal width that a bracket is ranked in, each by its own task
 
 
 def percentiles(
@@ -29,9 +34,9 @@ def percentiles(
     First a mergeable sketch per group brackets every requested rank between two
     cut values. Then one aggregation counts the rows between cuts exactly and
     keeps distinct values with their counts only inside the brackets, about
-    4 / accuracy of the rows. The values at the exact ranks are read from those
-    counts. Should a sketch miss a rank, the interval that does hold it is
-    counted as well, so the result never depends on the sketch.
+    4 / accuracy of the rows; a bracket is cut into pieces of equal width, so its
+    values are ranked by many tasks. The values at the exact ranks are read from
+    those counts. A rank further than one beside its bracket is an error.
 
     The rows are read twice; freeze a costly input first.
     """
@@ -70,51 +75,51 @@ def with_percentiles(
         keys = [F.col(b) for b in by]
         flag = (F.grouping_id() > 0).alias("is_total")
         groups = freeze(rows.groupingSets([keys, []], *keys).agg(flag, *aggregates, *sketches))
-        rows = rows.withColumn("is_total", F.explode(F.array(F.lit(False), F.lit(True))))
-        rows = rows.withColumns({b: F.when(~F.col("is_total"), F.col(b)) for b in by})
-        by = [*by, "is_total"]
     else:
         groups = freeze(rows.groupBy(*by).agg(*aggregates, *sketches))
-    sketch = groups.select(*by, *[f"__s{i}" for i in range(len(cols))])
+    names = [f"__s{i}" for i in range(len(cols))]
     rows = rows.select(*by, *[F.col(c).alias(f"__x{i}") for i, c in enumerate(cols)])
-    placed = _long(attach(rows, sketch, by), by, cols, fractions).filter("__zone IS NOT NULL")
+    if total:
+        own = groups.filter("NOT is_total").select(*by, *names)
+        whole = groups.filter("is_total").select(*[F.col(n).alias(n.replace("s", "t")) for n in names])
+        cut = attach(attach(rows, own, by), whole, ())
+        kinds = dict(rows.dtypes)
+        nulls = {b: F.lit(None).cast(kinds[b]).alias(b) for b in by}
+        entries = _entries(cols, fractions, "s", [*[F.col(b) for b in by], F.lit(False).alias("is_total")])
+        entries += _entries(cols, fractions, "t", [*nulls.values(), F.lit(True).alias("is_total")])
+        by = [*by, "is_total"]
+    else:
+        cut = attach(rows, groups.select(*by, *names), by)
+        entries = _entries(cols, fractions, "s", [F.col(b) for b in by])
+    placed = cut.select(F.inline(F.array(*entries))).filter("__zone IS NOT NULL")
     key = [*by, "variable", "__zone"]
     seen = freeze(
         placed.groupBy(*key, F.when(F.col("__near"), F.col("__x")).alias("__x")).agg(
-            F.count(F.lit(1)).alias("__m")
+            F.count(F.lit(1)).alias("__m"), F.min("__x").alias("__least"), F.max("__x").alias("__most")
         )
     )
-    seen = compact(seen)
-    wanted = _located(_targets(compact(sketch), by, cols, fractions, definition), seen, by)
-    values = freeze(_read(wanted, seen, by))
-    missed = values.filter("__missed").select(*by, "variable", "fraction")
-    if not missed.isEmpty():
-        zones = attach(wanted, missed.withColumn("__again", F.lit(True)), [*by, "variable", "fraction"])
-        zones = zones.filter("NOT __known").select(*[F.col(k).alias(f"__q_{k}") for k in key]).distinct()
-        same = all_equal([(k, f"__q_{k}") for k in key])
-        counted = placed.join(zones, same, "left_semi").groupBy(*key, "__x").agg(
-            F.count(F.lit(1)).alias("__m")
-        )
-        seen = seen.join(zones, same, "left_anti").unionByName(counted)
-        values = freeze(_read(wanted, seen, by))
-    groups = groups.drop(*[f"__s{i}" for i in range(len(cols))])
-    return groups, values.select(*by, "variable", "fraction", "value")
+    wanted = _located(_targets(groups.select(*by, *names), by, cols, fractions, definition), seen, by)
+    values = _read(wanted, seen, by)
+    return groups.drop(*names), values.select(*by, "variable", "fraction", "value")
 
 
 def _located(targets: DataFrame, seen: DataFrame, by) -> DataFrame:
     """For every wanted rank the zone that holds it and the rows below that zone.
 
     The window runs over the zones of a group, of which there are at most two
-    per fraction and one more.
+    per fraction and one more, each in at most PARTS pieces.
     """
     zones = seen.groupBy(*by, "variable", "__zone").agg(
-        F.sum("__m").alias("__m"), F.max(F.col("__x").isNotNull()).alias("__known")
+        F.sum("__m").alias("__m"),
+        F.max(F.col("__x").isNotNull()).alias("__known"),
+        F.min("__least").alias("__least"),
+        F.max("__most").alias("__most"),
     )
     below = W.partitionBy(*by, "variable").orderBy("__zone").rowsBetween(W.unboundedPreceding, -1)
     zones = zones.withColumn("__before", F.coalesce(F.sum("__m").over(below), F.lit(0)))
     group = [*by, "variable"]
     zones = zones.select(
-        *[F.col(k).alias(f"__z_{k}") for k in group], "__zone", "__m", "__before", "__known"
+        *[F.col(k).alias(f"__z_{k}") for k in group], "__zone", "__m", "__before", "__known", "__least", "__most"
     )
     inside = (F.col("__rank") > F.col("__before")) & (
         F.col("__rank") <= F.col("__before") + F.col("__m")
@@ -127,11 +132,17 @@ def _read(wanted: DataFrame, seen: DataFrame, by) -> DataFrame:
     """The values at the wanted ranks, combined by weight."""
     key = [*by, "variable", "__zone"]
     upto = W.partitionBy(*key).orderBy("__x").rowsBetween(W.unboundedPreceding, 0)
-    held = seen.filter(F.col("__x").isNotNull()).withColumn("__upto", F.sum("__m").over(upto))
-    held = held.select(*[F.col(k).alias(f"__h_{k}") for k in key], "__x", "__upto", F.col("__m").alias("__w"))
+    asked = wanted.filter("__known").select(*[F.col(k).alias(f"__q_{k}") for k in key]).distinct()
+    held = seen.filter(F.col("__x").isNotNull())
+    held = held.join(asked, all_equal([(k, f"__q_{k}") for k in key]), "left_semi")
+    held = held.withColumn("__upto", F.sum("__m").over(upto))
+    held = held.select(*[F.col(k).alias(f"__h_{k}") for k in key], F.col("__x").alias("__at"), "__upto", F.col("__m").alias("__w"))
     offset = F.col("__rank") - F.col("__before")
     at_rank = (offset <= F.col("__upto")) & (offset > F.col("__upto") - F.col("__w"))
     found = wanted.join(held, all_equal([(k, f"__h_{k}") for k in key]) & at_rank, "left")
+    # A definition may ask for the rank next to a bracket: the first or the last one of the zone beside it.
+    beside = F.when(offset == 1, F.col("__least")).when(offset == F.col("__m"), F.col("__most"))
+    found = found.withColumn("__x", F.coalesce("__at", F.when(~F.col("__known"), beside)))
     pair = found.groupBy(*by, "variable", "fraction").agg(
         F.max(F.when(F.col("__side") == 0, F.col("__x"))).alias("__low"),
         F.max(F.when(F.col("__side") == 1, F.col("__x"))).alias("__high"),
@@ -139,44 +150,54 @@ def _read(wanted: DataFrame, seen: DataFrame, by) -> DataFrame:
         F.max(F.col("__rank").isNotNull() & F.col("__x").isNull()).alias("__missed"),
     )
     value = F.col("__low") + F.col("__weight") * (F.col("__high") - F.col("__low"))
-    return pair.select(*by, "variable", "fraction", value.alias("value"), "__missed")
+    failed = F.raise_error(F.lit("a percentile lies outside its bracket; the input changed between two reads"))
+    return pair.select(*by, "variable", "fraction", F.when(F.col("__missed"), failed).otherwise(value).alias("value"))
 
 
-def _long(placed: DataFrame, by, cols, fractions) -> DataFrame:
-    """One row per value: its variable, the zone between cuts, whether in a bracket."""
+def _entries(cols, fractions, sketch, keys) -> list:
+    """For each column its value's place: the zone between cuts, in pieces, and whether in a bracket."""
 
     def entry(i, name):
-        at_least = [f"__x{i} >= __s{i}.cuts[{2 * k}]" for k in range(len(fractions))]
-        above = [f"__x{i} > __s{i}.cuts[{2 * k + 1}]" for k in range(len(fractions))]
+        x, cuts = f"__x{i}", f"__{sketch}{i}.cuts"
+        at_least = [f"{x} >= {cuts}[{2 * k}]" for k in range(len(fractions))]
+        above = [f"{x} > {cuts}[{2 * k + 1}]" for k in range(len(fractions))]
         zone = " + ".join(f"int({b})" for b in at_least + above)
-        near = " OR ".join(f"({lo} AND NOT {hi})" for lo, hi in zip(at_least, above))
+        inside = [f"({lo} AND NOT {hi})" for lo, hi in zip(at_least, above)]
+        # Which brackets hold a value is the same all over a zone, so the pieces of the first keep the order.
+        low, high = (
+            f"double(CASE {' '.join(f'WHEN {b} THEN {cuts}[{2 * k + end}]' for k, b in enumerate(inside))} END)"
+            for end in (0, 1)
+        )
+        share = f"try_divide(double({x}) - {low}, {high} - {low})"
+        piece = f"coalesce(least(try_cast({share} * {PARTS} AS INT), {PARTS - 1}), 0)"
         return F.struct(
+            *keys,
             F.lit(name).alias("variable"),
-            F.col(f"__x{i}").alias("__x"),
-            F.expr(zone).alias("__zone"),
-            F.expr(near).alias("__near"),
+            F.col(x).alias("__x"),
+            F.expr(f"({zone}) * {PARTS} + {piece}").alias("__zone"),
+            F.expr(" OR ".join(inside)).alias("__near"),
         )
 
-    entries = [entry(i, c) for i, c in enumerate(cols)]
-    if len(entries) == 1:
-        return placed.select(*by, entries[0].alias("__e")).select(*by, "__e.*")
-    return placed.select(*by, F.inline(F.array(*entries)))
+    return [entry(i, c) for i, c in enumerate(cols)]
 
 
 def _targets(sketch: DataFrame, by, cols, fractions, definition) -> DataFrame:
     """The lower and upper rank for every group, variable and fraction."""
     sizes = [F.struct(F.lit(c).alias("variable"), F.col(f"__s{i}.n").alias("n")) for i, c in enumerate(cols)]
+    exact = {p: int((Decimal(repr(float(p))) * SCALE).to_integral_value()) for p in fractions}
     wanted = ", ".join(
-        f"struct(double('{p!r}') AS fraction, bigint({round(p * 1_000_000)}) AS p)" for p in fractions
+        f"struct(double('{p!r}') AS fraction, CAST({exact[p]} AS DECIMAL(18, 0)) AS p)" for p in fractions
     )
     table = sketch.select(*by, F.inline(F.array(*sizes)))
+    table = table.withColumn("n", F.col("n").cast("decimal(19, 0)"))
     table = table.selectExpr("*", f"inline(array({wanted}))")
-    table = table.selectExpr("*", f"({POSITION[definition]}) AS position")
-    table = table.selectExpr("*", "position div 1000000 AS whole", "position % 1000000 AS part")
+    table = table.selectExpr("*", f"CAST({POSITION[definition]} AS DECIMAL(38, 0)) AS position")
+    table = table.selectExpr("*", f"position div {SCALE} AS whole", f"position % {SCALE} AS part")
+    table = table.withColumn("n", F.col("n").cast("long"))
     if definition == "averaged":
         low, high, weight = "if(part = 0, whole, whole + 1)", "whole + 1", "0.5D"
     else:
-        low, high, weight = "whole", "whole + 1", "part / 1e6D"
+        low, high, weight = "whole", "whole + 1", f"double(part) / {float(SCALE)!r}D"
     table = table.selectExpr(
         "*", f"{weight} AS __weight", f"inline(array(struct(0 AS __side, {low} AS r), struct(1 AS __side, {high} AS r)))"
     )

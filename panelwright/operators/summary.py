@@ -103,9 +103,9 @@ def extremes(df: DataFrame, col: str, k: int = 4, by=()) -> DataFrame:
 def freq(df: DataFrame, col: str) -> DataFrame:
     """Frequency table of the known values: n, percent, cumulative percent."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    counts = freeze(counts)
-    whole = counts.agg(F.sum("n")).scalar()
-    upto = running_total(counts, col, "n", "__upto").withColumn("__all", whole)
+    # The last running total is the whole; a window over the ranges of one column would gather them.
+    upto = freeze(running_total(counts, col, "n", "__upto"))
+    upto = upto.withColumn("__all", upto.agg(F.max("__upto")).scalar())
     return upto.select(
         col,
         "n",

@@ -2,39 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000  # a table proven to have no more rows may stay in one task
-MOST_SPLITS = 1024
-PER_SPLIT = 8  # sampled values per split
-
-_local_root: str | None = None
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir.
-
-    Only a local session may go without one; on a cluster a folder of one
-    machine would be invisible to the others.
-    """
-    global _local_root
+    """The shared folder named in spark.checkpoint.dir, else a folder in the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all machines share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="panelwright-")
-    return _local_root
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession) -> str:
-    return f"{scratch_root(spark)}/panelwright-{uuid.uuid4().hex}"
+    """A new path in the scratch folder, deleted when the session's JVM ends or by `clear_scratch`."""
+    path = f"{scratch_root(spark)}/panelwright-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    system, place = _hadoop(spark, path)
+    system.deleteOnExit(place)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder; results not yet written out need it no more."""
+    system, root = _hadoop(spark, scratch_root(spark))
+    if system.exists(root):
+        for entry in system.listStatus(root):
+            if entry.getPath().getName().startswith(f"panelwright-{spark.sparkContext.applicationId}-"):
+                system.delete(entry.getPath(), True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -49,14 +50,6 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def compact(table: DataFrame) -> DataFrame:
-    """A frozen table in one partition if it is proven small, else as it is.
-
-    Steps on a table known to be that small then need no shuffle.
-    """
-    return table.coalesce(1) if table.count() <= SMALL_ROWS else table
-
-
 def all_equal(pairs) -> Column:
     """Null-safe equality over (left, right) column names."""
     return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
@@ -80,32 +73,20 @@ def attach(df: DataFrame, table: DataFrame, on, how: str = "inner") -> DataFrame
 def running_total(table: DataFrame, order: str, value: str, name: str) -> DataFrame:
     """Running sum of `value` up to each row, by a column of distinct, known values.
 
-    `table` must be frozen. If it is small, one window does. Otherwise a sample of
-    the values, of fixed size, cuts the order into segments; each is summed in its
-    own task and the sums of earlier segments are added. The sample only balances
-    the work; any sample gives the same result.
+    The rows are dealt out by ranges of `order`, one for each of the session's
+    shuffle partitions, and written once, so that a row keeps its range. Each
+    range is summed in its own task and the sums of earlier ranges are added.
     """
-    rows = table.count()
-    upto = f"sum({value}) OVER ({{}} ORDER BY `{order}` ROWS UNBOUNDED PRECEDING)"
-    if rows <= SMALL_ROWS:
-        return table.coalesce(1).select("*", F.expr(upto.format("")).alias(name))
-    splits = min(MOST_SPLITS, rows // SMALL_ROWS + 1)
-    sample = table.select(order).orderBy(F.xxhash64(order), order).limit(PER_SPLIT * splits)
-    cuts = sample.agg(F.sort_array(F.collect_list(order)).alias("all")).select(
-        F.expr(f"filter(all, (v, i) -> i % {PER_SPLIT} = 0)")
-    )
-    placed = table.select("*", cuts.scalar().alias("__cuts")).select(
-        *table.columns, F.size(F.filter("__cuts", lambda c: c <= F.col(order))).alias("__segment")
-    )
-    # At most MOST_SPLITS + 1 rows, so one window task and a broadcast are bounded.
-    before = placed.groupBy("__segment").agg(F.sum(value).alias("__sum"))
-    before = before.selectExpr(
-        "__segment AS __of",
-        "coalesce(sum(__sum) OVER (ORDER BY __segment ROWS BETWEEN UNBOUNDED PRECEDING"
-        " AND 1 PRECEDING), 0) AS __before",
+    ranges = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = table.repartitionByRange(ranges, order).withColumn("__range", F.spark_partition_id())
+    dealt = freeze(dealt)
+    # One row for each range: a window task and a broadcast of these are bounded.
+    sums = dealt.groupBy("__range").agg(F.sum(value).alias("__sum")).withColumn("__all", F.lit(0))
+    earlier = W.partitionBy("__all").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    before = sums.select(
+        F.col("__range").alias("__of"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before")
     )
-    within = F.expr(upto.format("PARTITION BY __segment"))
-    return (
-        placed.join(F.broadcast(before), F.col("__segment") == F.col("__of"))
-        .select(*table.columns, (F.col("__before") + within).alias(name))
+    upto = W.partitionBy("__range").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    return dealt.join(F.broadcast(before), F.col("__range") == F.col("__of")).select(
+        *table.columns, (F.col("__before") + F.sum(value).over(upto)).alias(name)
     )

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__maxMetadataStringLength="10000",  # whole filters in printed plans
     )
     session.sparkContext.setLogLevel("ERROR")

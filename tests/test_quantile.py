@@ -2,8 +2,11 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from panelwright.operators import quantile, tables
 from panelwright.operators.quantile import percentiles
+from panelwright.operators.tables import attach
 from panelwright.operators.winsor import winsorize
 from tests.conftest import close, rows, table
 
@@ -71,3 +74,35 @@ def test_winsorize(spark):
         close([x for _, _, x in got], [*expected, last] * 2)
     whole = rows(winsorize(df, ["x"], (), 0.1, 0.9), "g", "i", "x")
     assert [x for _, _, x in whole][:2] == [1.5, 2.0]
+
+
+def test_a_third_of_many_rows(spark):
+    df = spark.range(300_001).select(F.col("id").cast("double").alias("x"), F.lit(1).alias("g"))
+    for by in ((), ("g",)):
+        for definition in ("linear", "weibull"):
+            got = percentiles(df, "x", [1 / 3, 2 / 3], by, definition).collect()
+            close(sorted(r["value"] for r in got), [100_000.0, 200_000.0] if definition == "linear" else
+                  [100_000 + 2 / 3 - 1, 200_000 + 4 / 3 - 1], 1e-9)
+
+
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_a_bracket_is_ranked_by_several_tasks(spark, by):
+    """One group, or no group, holds all rows."""
+    df = spark.range(20_000).select((F.rand(3) * 100).alias("x"), F.lit(1).alias("g"))
+    rows_ = df.select(*by, F.col("x").alias("__x0"))
+    cuts = df.groupBy(*by).agg(F.struct(F.percentile_approx("x", [0.4, 0.6]).alias("cuts")).alias("__s0"))
+    placed = attach(rows_, cuts, by).select(F.inline(F.array(*quantile._entries(["x"], [0.5], "s", [F.col(b) for b in by]))))
+    near = placed.filter("__near")
+    assert near.select("__zone").distinct().count() > 200
+    assert near.groupBy("__zone").count().agg(F.max("count")).first()[0] < 60
+    ends = near.groupBy("__zone").agg(F.min("__x").alias("lo"), F.max("__x").alias("hi")).orderBy("__zone").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:]))
+
+
+def test_scratch_is_empty_after_clearing(spark):
+    df = table(spark, "x double", *[(float(i),) for i in range(50)])
+    assert percentiles(df, "x", [0.5]).count() == 1
+    system, root = tables._hadoop(spark, tables.scratch_root(spark))
+    assert system.listStatus(root)
+    tables.clear_scratch(spark)
+    assert not [e for e in system.listStatus(root) if "panelwright-" in e.getPath().getName()]
