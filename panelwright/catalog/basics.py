@@ -47,20 +47,30 @@ def table_by_year(t):
 
 
 @query(
-    """SELECT o.o_orderkey, abs(o.o_totalprice) / 1000 AS me FROM orders o LEFT JOIN customer c
-       ON o.o_custkey = c.c_custkey WHERE c.c_nationkey BETWEEN 5 AND 14
-       AND o.o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND o.o_totalprice > 0"""
+    """WITH busy AS (SELECT l_suppkey, CAST(min(l_shipdate) AS DATE) AS first, CAST(min(l_shipdate) AS DATE) + 400 AS last
+                     FROM lineitem GROUP BY l_suppkey)
+       SELECT l.l_orderkey, l.l_linenumber, b.first FROM lineitem l JOIN busy b
+         ON l.l_suppkey = b.l_suppkey AND CAST(l.l_shipdate AS DATE) BETWEEN b.first AND b.last
+       WHERE l.l_quantity > 10"""
 )
 def range_where_outer(t):
-    """SQL text with a left join whose filter rejects unmatched rows."""
+    """SQL text with an outer interval join whose filter rejects the unmatched rows."""
     return run_sql(
         t.spark,
-        """SELECT o.o_orderkey, abs(o.o_totalprice) / 1000 AS me
-           FROM {orders} o LEFT JOIN {customer} c ON o.o_custkey = c.c_custkey
-           WHERE c.c_nationkey BETWEEN 5 AND 14
-             AND o.o_orderdate BETWEEN DATE'1996-01-01' AND DATE'1998-12-31' AND o.o_totalprice > 0""",
-        orders=t.orders,
-        customer=t.customer,
+        """WITH busy AS (SELECT l_suppkey AS s, min(to_date(l_shipdate)) AS first, date_add(min(to_date(l_shipdate)), 400) AS last
+                         FROM {lineitem} GROUP BY l_suppkey)
+           SELECT l.l_orderkey, l.l_linenumber, b.first FROM {lineitem} l LEFT JOIN busy b
+             ON l.l_suppkey = b.s AND to_date(l.l_shipdate) BETWEEN b.first AND b.last
+           WHERE b.s IS NOT NULL AND l.l_quantity > 10""",
+        lineitem=t.lineitem,
+    )
+
+
+@query("""SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey""")
+def sql_order(t):
+    """SQL text that sorts a whole table."""
+    return run_sql(
+        t.spark, "SELECT c_custkey, c_name, c_acctbal FROM {customer} ORDER BY c_acctbal DESC, c_custkey", customer=t.customer
     )
 
 
@@ -252,18 +262,38 @@ def rename_columns(t):
     return clean.order_columns(li, "l_orderkey_raw", "l_linenumber")
 
 
+ORDER_TYPES = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderpriority": "string",
+}
+
+
 @query(
-    """SELECT column_name AS "column", rows, missing, n_distinct, least, greatest FROM (
-         SELECT 'o_custkey' AS column_name, count(*) AS rows, count(*) - count(o_custkey) AS missing,
-                count(DISTINCT o_custkey) AS n_distinct, CAST(min(o_custkey) AS VARCHAR) AS least,
-                CAST(max(o_custkey) AS VARCHAR) AS greatest FROM orders
-         UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus),
-                count(DISTINCT o_orderstatus), min(o_orderstatus), max(o_orderstatus) FROM orders
-         UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority),
-                count(DISTINCT o_orderpriority), min(o_orderpriority), max(o_orderpriority) FROM orders)"""
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{kind}' AS type, count(*) AS rows, count(*) - count({c}) AS missing,
+                   count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS least,
+                   CAST(max({c}) AS VARCHAR) AS greatest FROM orders"""
+        for c, kind in ORDER_TYPES.items()
+    )
+    + """ UNION ALL SELECT 'o_orderdate', (SELECT CASE typeof(o_orderdate) WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP'
+                 THEN 'timestamp_ntz' ELSE 'timestamp' END FROM orders LIMIT 1), count(*), count(*) - count(o_orderdate),
+               count(DISTINCT o_orderdate), CAST(min(o_orderdate) AS VARCHAR), CAST(max(o_orderdate) AS VARCHAR) FROM orders"""
 )
 def column_profile(t):
-    return summary.profile(t.orders, ["o_custkey", "o_orderstatus", "o_orderpriority"]).drop("type")
+    """Every column of a whole table."""
+    return summary.profile(t.orders)
+
+
+@query(
+    """SELECT o_orderkey AS orderkey, o_totalprice AS totalprice, 'Orders' AS source FROM orders"""
+)
+def lower_names(t):
+    """A table with mixed-case headers, brought to lower case."""
+    mixed = t.orders.select(F.col("o_orderkey").alias("OrderKey"), F.col("o_totalprice").alias("TotalPrice"), F.lit("Orders").alias("SOURCE"))
+    return clean.lower_names(mixed)
 
 
 @query(

@@ -130,7 +130,7 @@ sample AS (
     (SELECT ticker FROM firm_dates GROUP BY ticker HAVING count(numest) >= {FORECAST_MONTHS}))"""
 
 
-# Holders: users by day, event types as holder types, late filings.
+# Holders: users by day, event types as holder types (some unlisted or missing), late filings.
 
 def holders(t: Tables) -> DataFrame:
     e, kind = t.events, F.col("event_type")
@@ -140,15 +140,18 @@ def holders(t: Tables) -> DataFrame:
         F.col("user_id").alias("mgrno"),
         day.alias("rdate"),
         F.when(F.col("value") < 5, F.date_add(day, 1)).otherwise(day).alias("fdate"),
-        code.when(kind == "error", 4).otherwise(5).alias("typecode"),
+        F.when(F.col("user_id") % 50 == 1, 6)
+        .when(F.col("user_id") % 50 != 0, code.when(kind == "error", 4).otherwise(5))
+        .alias("typecode"),
     )
 
 
 HOLDERS = """holders AS (
   SELECT user_id AS mgrno, CAST(ts AS DATE) AS rdate,
          CASE WHEN value < 5 THEN CAST(ts AS DATE) + 1 ELSE CAST(ts AS DATE) END AS fdate,
-         CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3
-                         WHEN 'error' THEN 4 ELSE 5 END AS typecode
+         CASE WHEN user_id % 50 = 1 THEN 6 WHEN user_id % 50 = 0 THEN NULL
+              WHEN event_type = 'signup' THEN 1 WHEN event_type = 'view' THEN 2 WHEN event_type = 'click' THEN 3
+              WHEN event_type = 'error' THEN 4 ELSE 5 END AS typecode
   FROM events)"""
 
 

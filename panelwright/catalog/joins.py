@@ -8,20 +8,17 @@ from panelwright import functions as fn
 from panelwright.catalog.registry import query, rounded
 from panelwright.operators import join
 
-SOME_CUSTOMERS = "c_nationkey < 15"
-SOME_ORDERS = "o_totalprice > 250000"
-
 
 def _customers(t):
-    return t.customer.filter(SOME_CUSTOMERS).select("c_custkey", "c_name", "c_nationkey")
+    return t.customer.select("c_custkey", "c_name", "c_nationkey")
 
 
 def _orders(t):
-    return t.orders.filter(SOME_ORDERS).select("o_orderkey", "o_custkey", "o_totalprice")
+    return t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-SIDES = f"""WITH c AS (SELECT c_custkey, c_name, c_nationkey FROM customer WHERE {SOME_CUSTOMERS}),
-  o AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {SOME_ORDERS}) """
+SIDES = """WITH c AS (SELECT c_custkey, c_name, c_nationkey FROM customer),
+  o AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders) """
 ON = [("c_custkey", "o_custkey")]
 
 
@@ -30,25 +27,44 @@ def merge_inner(t):
     return join.merge(_customers(t), _orders(t), ON)
 
 
-@query(SIDES + "SELECT * FROM c LEFT JOIN o ON c_custkey = o_custkey")
+def _months(t):
+    """Orders by customer and month number."""
+    return t.orders.groupBy(F.col("o_custkey").alias("k"), F.month("o_orderdate").alias("m")).agg(
+        F.count(F.lit(1)).alias("orders")
+    )
+
+
+def _days(t):
+    """Events by user and day of the month: few users, and numbers up to 31."""
+    return t.events.groupBy(F.col("user_id").alias("user"), F.dayofmonth("ts").alias("d")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+SLOTS = """WITH a AS (SELECT o_custkey AS k, month(o_orderdate) AS m, count(*) AS orders FROM orders GROUP BY 1, 2),
+  b AS (SELECT user_id AS "user", day(ts) AS d, count(*) AS events FROM events GROUP BY 1, 2) """
+SLOT = [("k", "user"), ("m", "d")]
+
+
+@query(SLOTS + """SELECT * FROM a LEFT JOIN b ON k = "user" AND m = d""")
 def merge_left(t):
     """Left merge whose left side is checked to have unique keys."""
-    return join.merge(_customers(t), _orders(t), ON, "left", validate="1:m")
+    return join.merge(_months(t), _days(t), SLOT, "left", validate="1:m")
 
 
-@query(SIDES + "SELECT * FROM c RIGHT JOIN o ON c_custkey = o_custkey")
+@query(SLOTS + """SELECT * FROM a RIGHT JOIN b ON k = "user" AND m = d""")
 def merge_right(t):
-    return join.merge(_customers(t), _orders(t), ON, "right")
+    return join.merge(_months(t), _days(t), SLOT, "right")
 
 
 @query(
-    SIDES
-    + """SELECT *, CASE WHEN o_custkey IS NULL THEN 1 WHEN c_custkey IS NULL THEN 2 ELSE 3 END AS _merge
-         FROM c FULL JOIN o ON c_custkey = o_custkey"""
+    SLOTS
+    + """SELECT *, CASE WHEN d IS NULL THEN 1 WHEN m IS NULL THEN 2 ELSE 3 END AS _merge
+         FROM a FULL JOIN b ON k = "user" AND m = d"""
 )
 def merge_indicator(t):
     """Full merge flagged 1 left only, 2 right only, 3 both."""
-    return join.merge(_customers(t), _orders(t), ON, "full", indicator="_merge")
+    return join.merge(_months(t), _days(t), SLOT, "full", indicator="_merge")
 
 
 @query(SIDES + "SELECT * FROM c JOIN o ON c_custkey = o_custkey")
@@ -76,10 +92,24 @@ def merge_full_composite(t):
     return join.merge(a, b, ["k", "year"], "full", validate="1:1")
 
 
-@query(SIDES + "SELECT * FROM c WHERE c_custkey NOT IN (SELECT o_custkey FROM o)")
+@query(
+    """WITH n AS (SELECT o_custkey AS k, year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1, 2),
+            v AS (SELECT l_suppkey AS k, year(l_shipdate) AS year, count(*) AS lines FROM lineitem GROUP BY 1, 2)
+       SELECT k, year, n, lines FROM n LEFT JOIN v USING (k, year)"""
+)
+def merge_left_composite(t):
+    """Left merge on two keys of the same name, most of them without a partner."""
+    n = t.orders.groupBy(F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    v = t.lineitem.groupBy(F.col("l_suppkey").alias("k"), F.year("l_shipdate").alias("year")).agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+    return join.merge(n, v, ["k", "year"], "left", validate="1:1")
+
+
+@query(SLOTS + """SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE k = "user" AND m = d)""")
 def merge_anti(t):
     """Rows without a partner."""
-    return join.missing_in(_customers(t), _orders(t), ON)
+    return join.missing_in(_months(t), _days(t), SLOT)
 
 
 @query(
@@ -98,13 +128,13 @@ def merge_null_keys(t):
 
 @query(
     """SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON
-       lpad(CAST(o_custkey AS VARCHAR), 9, '0') = right(c_name, 9) AND c_acctbal > 0"""
+       lpad(CAST(o_custkey AS VARCHAR), 9, '0') = right(c_name, 9)"""
 )
 def merge_expression_key(t):
-    """Key computed from text on one side, a filtered table on the other."""
+    """Key computed from text on one side, cut from text on the other."""
     code = fn.text_id(F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     o = t.orders.select("o_orderkey", "o_totalprice", code.alias("code"))
-    c = t.customer.filter("c_acctbal > 0").select("c_name", fn.last_chars("c_name", 9).alias("code"))
+    c = t.customer.select("c_name", fn.last_chars("c_name", 9).alias("code"))
     return join.merge(o, c, "code").drop("code")
 
 

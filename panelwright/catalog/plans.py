@@ -42,12 +42,27 @@ def clean_accounts(t):
     return accounts.clean_accounts(inputs.accounts(t)).select("gvkey", "datadate", "fyear", "at")
 
 
-@query(
-    f"""WITH {inputs.STOCKS},
+HOLDING = """WITH {stocks},
         h AS (SELECT permno, date, count(ret) OVER w AS n, min(1 + ret) OVER w AS low, sum(ln(1 + ret)) OVER w AS total
-              FROM clean_stocks WINDOW w AS (PARTITION BY permno ORDER BY date ROWS 2 PRECEDING))
-        SELECT permno, date, round(CASE WHEN n = 3 AND low > 0 THEN exp(total) - 1 END, 6) AS hpr FROM h"""
-)
+              FROM clean_stocks WINDOW w AS (PARTITION BY permno ORDER BY date ROWS {before} PRECEDING))
+        SELECT permno, date, round(CASE WHEN n = {n} AND low > 0 THEN exp(total) - 1 END, 6) AS hpr FROM h"""
+
+
+@query(HOLDING.format(stocks=inputs.STOCKS, before=5, n=6))
+def holding_period_6(t):
+    """Compounded return over six rows of the cleaned panel."""
+    df = market.holding_period(market.clean_stocks(inputs.stocks(t)), 6)
+    return rounded(df.select("permno", "date", "hpr"), 6, "hpr")
+
+
+@query(HOLDING.format(stocks=inputs.STOCKS, before=11, n=12))
+def holding_period_12(t):
+    """Compounded return over twelve rows of the cleaned panel."""
+    df = market.holding_period(market.clean_stocks(inputs.stocks(t)), 12)
+    return rounded(df.select("permno", "date", "hpr"), 6, "hpr")
+
+
+@query(HOLDING.format(stocks=inputs.STOCKS, before=2, n=3))
 def holding_period(t):
     """Compounded return over three rows of the cleaned panel."""
     df = market.holding_period(market.clean_stocks(inputs.stocks(t)), 3)
@@ -108,7 +123,8 @@ def forecast_correlations(t):
     f"""WITH {inputs.HOLDERS}
         SELECT rdate, nullif(count(*) FILTER (typecode = 1), 0) AS bank, nullif(count(*) FILTER (typecode = 2), 0) AS insurance,
                nullif(count(*) FILTER (typecode = 3), 0) AS mutual_fund, nullif(count(*) FILTER (typecode = 4), 0) AS advisor,
-               nullif(count(*) FILTER (typecode = 5), 0) AS other, count(*) AS total
+               nullif(count(*) FILTER (typecode = 5), 0) AS other,
+               nullif(count(*) FILTER (typecode IS NULL OR typecode = 6), 0) AS unlisted, count(*) AS total
         FROM holders WHERE rdate = fdate AND rdate >= DATE '2024-01-10' GROUP BY rdate"""
 )
 def holder_counts(t):

@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.operators.clean import assert_unique
 from panelwright.operators.tables import all_equal
 
 ONE_SIDED = {"1:1": (True, True), "1:m": (True, False), "m:1": (False, True), "m:m": (False, False)}
@@ -27,6 +27,15 @@ def _salted(hot: DataFrame, other: DataFrame, salt: int):
     )
 
 
+def _once(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """`df`, an error when computed if a key is repeated."""
+    shown = F.concat(F.lit(f"{what}: key ({', '.join(keys)}) is repeated, for example "), F.to_json(F.struct(*keys)))
+    counted = df.withColumn("__copies", F.count(F.lit(1)).over(W.partitionBy(*keys)))
+    return counted.filter(
+        F.when(F.col("__copies") > 1, F.raise_error(shown).cast("boolean")).otherwise(True)
+    ).drop("__copies")
+
+
 def merge(
     left: DataFrame,
     right: DataFrame,
@@ -43,19 +52,19 @@ def merge(
 
     on         names, or (left name, right name) pairs; equal names give one column
     how        inner, left, right, full, semi or anti
-    validate   '1:1', '1:m', 'm:1': raise if a "one" side repeats a key
+    validate   '1:1', '1:m', 'm:1': an error when the result is computed if a "one"
+               side repeats a key; its copies are counted in the join's own shuffle
     indicator  name of a column holding 1 left only, 2 right only, 3 both
     null_safe  let a missing key match a missing key
-    hot        the side whose keys may repeat very often; the left, unless
-               validate is '1:m'
+    hot        the side whose keys may repeat very often
     salt       spread every key of the hot side over that many tasks, for keys
                beyond what the adaptive skew join splits, and where the other
                side comes grouped by the same keys, which keeps Spark from
                splitting; the rows of the other side are repeated `salt` times
 
     Spark can split a hot key of the preserved side of an outer join, but not of
-    the other side and not in a full join. Joins it could not split run as one it
-    can split plus the unmatched rows of the other side.
+    the other side and not in a full join. With `hot` or `salt`, joins it could
+    not split run as one it can split plus the unmatched rows of the other side.
     """
     if how not in ("inner", "left", "right", "full", "semi", "anti"):
         raise ValueError(f"unknown join type {how!r}")
@@ -63,10 +72,9 @@ def merge(
     lkeys, rkeys = [a for a, _ in pairs], [b for _, b in pairs]
     if validate:
         one_left, one_right = ONE_SIDED[validate]
-        if one_left:
-            assert_unique(left, lkeys, "left side")
-        if one_right:
-            assert_unique(right, rkeys, "right side")
+        left = _once(left, lkeys, "left side") if one_left else left
+        right = _once(right, rkeys, "right side") if one_right else right
+    plain = hot is None and salt < 2
     hot = hot or ("right" if validate == "1:m" else "left")
 
     shared = {a for a, b in pairs if a == b}
@@ -108,8 +116,8 @@ def merge(
         both = h.join(o, spread, kind) if hot == "left" else o.join(h, spread, kind)
         return both.drop("__salt_h", "__salt_o")
 
-    if how == "full" and validate == "1:1":
-        parts = [left.join(right, condition, "full")]
+    if plain:
+        parts = [left.join(right, condition, how)]
     else:
         preserved = how in (hot, "full")
         parts = [joined(hot if preserved else "inner")]

@@ -31,10 +31,21 @@ def to_long(
 
 
 def to_wide(
-    df: DataFrame, index, column: str, value: str, names: dict, agg: str = "only", check: bool = True
+    df: DataFrame,
+    index,
+    column: str,
+    value: str,
+    names: dict,
+    agg: str = "only",
+    check: bool = True,
+    rest: str | None = None,
 ) -> DataFrame:
     """One row per index, one column per category in `names` ({category: name}).
 
+    Rows of categories not in `names`, a missing one included, go to the column
+    `rest` (with agg 'count' or 'sum'); without `rest` they are an error when the
+    result is computed.
+
     agg 'only' takes the single value of a cell (and, with `check`, raises if
     (index, column) repeats); 'count' counts known values and 'sum' adds them.
     An absent cell is null. All cells are filled in one aggregation.
@@ -44,8 +55,9 @@ def to_wide(
         assert_unique(df, [*index, column], "long table")
     x = F.col(value)
 
-    def cell(category):
-        here = F.col(column) == F.lit(category)
+    listed = F.coalesce(F.col(column).isin(list(names)), F.lit(False))
+
+    def cell(here):
         if agg == "only":
             return F.max(F.when(here, x))
         if agg == "count":
@@ -54,7 +66,16 @@ def to_wide(
             return F.sum(F.when(here, x))
         raise ValueError(f"unknown aggregate {agg!r}")
 
-    return df.groupBy(*index).agg(*[cell(c).alias(n) for c, n in names.items()])
+    cells = [cell(F.col(column) == F.lit(c)).alias(n) for c, n in names.items()]
+    if rest:
+        if agg == "only":
+            raise ValueError("several categories have no single value: count or add them")
+        return df.groupBy(*index).agg(*cells, cell(~listed).alias(rest))
+    wide = df.groupBy(*index).agg(*cells, F.count_if(~listed).alias("__rest"))
+    unlisted = F.raise_error(F.lit(f"{column} has categories that no column is named for"))
+    return wide.select(
+        *index, *[F.when(F.col("__rest") > 0, unlisted).otherwise(F.col(n)).alias(n) for n in names.values()]
+    )
 
 
 def header_id(df: DataFrame, variable: str = "variable", name: str = "isin") -> DataFrame:

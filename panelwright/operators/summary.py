@@ -154,22 +154,34 @@ def correlations(df: DataFrame, cols, complete: str = "pairwise") -> DataFrame:
 
 
 def profile(df: DataFrame, cols=None) -> DataFrame:
-    """Type, rows, missing, distinct values, least and greatest value per column."""
+    """Type, rows, missing, distinct values, least and greatest value per column.
+
+    Distinct values are counted as text, all columns in one pass: values are
+    counted before they are told apart, so no row is repeated once per column
+    and distinct set.
+    """
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    made = [
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
+    seen = df.select(F.inline(F.array(*cells))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    sizes = seen.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+        F.count("value").alias("n_distinct"),
+    )
+    ends = [
         F.struct(
             F.lit(c).alias("column"),
             F.lit(types[c]).alias("type"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(c).isNull()).alias("missing"),
-            F.count_distinct(c).alias("n_distinct"),
             F.min(c).cast("string").alias("least"),
             F.max(c).cast("string").alias("greatest"),
         ).alias(f"__{i}")
         for i, c in enumerate(cols)
     ]
-    return df.agg(*made).select(F.inline(F.array(*[f"__{i}" for i in range(len(cols))])))
+    ends = df.agg(*ends).select(F.inline(F.array(*[f"__{i}" for i in range(len(cols))])))
+    known = ends.join(sizes, "column", "left")  # one row for each column
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "missing", "n_distinct")]
+    return known.select("column", "type", *zero, "least", "greatest")
 
 
 def find_columns(df: DataFrame, text: str) -> list[str]:

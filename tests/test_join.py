@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from panelwright.operators import clean, join, panel
@@ -45,8 +46,20 @@ def test_cardinality_check(spark):
     right = table(spark, "k int, y int", (1, 3))
     assert len(rows(join.merge(left, right, "k", validate="m:1"))) == 2
     for bad in ("1:1", "1:m"):
-        with pytest.raises(ValueError, match="left side"):
-            join.merge(left, right, "k", validate=bad)
+        with pytest.raises(SparkRuntimeException, match="left side"):
+            join.merge(left, right, "k", validate=bad).collect()
+    # A repeated key is an error even where it finds no partner.
+    with pytest.raises(SparkRuntimeException, match="left side"):
+        join.merge(left, table(spark, "k int, y int", (5, 3)), "k", "left", validate="1:m").collect()
+
+
+def test_outer_joins_are_plain_unless_asked(spark):
+    left, right = _sides(spark)
+    for how in ("left", "right", "full"):
+        plan = join.merge(left, right, "k", how, indicator="m")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1
+    plan = join.merge(left, right, "k", "full", hot="left")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full"])

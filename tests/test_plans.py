@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
 
 from panelwright.operators import clean, link, reshape
 from panelwright.plans import accounts, executives, forecasts, holders, international, linked, market, sheets
@@ -6,14 +7,14 @@ from panelwright.sources import read_delimited, run_sql, write_delimited
 from tests.conftest import close, rows, table
 
 NAMES = [
-    (10051, "81733510", "41043F20", 19860101, 19890630),
-    (10051, "41043F10", "41043F20", 19890701, 19981231),
-    (10051, "41043F20", "41043F20", 19990101, 20101231),
+    (4077, "QQAA0010", "QQBB0020", 19860101, 19890630),
+    (4077, "QQBB0010", "QQBB0020", 19890701, 19981231),
+    (4077, "QQBB0020", "QQBB0020", 19990101, 20101231),
     (2, "AAAA0001", "BBBB0002", 19900101, 19941231),
     (2, "BBBB0002", "BBBB0002", 19950101, 20001231),
     (3, None, "CCCC0003", 19900101, 19991231),
 ]
-SECURITIES = [("13445", "01", "817335100"), ("777", "01", "BBBB00029"), ("888", "01C", "41043F109")]
+SECURITIES = [("40779", "01", "QQAA00100"), ("777", "01", "BBBB00029"), ("888", "01C", "QQBB00109")]
 
 
 def _link_inputs(spark):
@@ -25,14 +26,14 @@ def _link_inputs(spark):
 def test_link_table(spark, block):
     names, securities = _link_inputs(spark)
     got = link.link_by_history(names, securities, block=block)
-    assert rows(got) == [(2, "777", 19900101, 20001231), (10051, "13445", 19860101, 19890630)]
+    assert rows(got) == [(2, "777", 19900101, 20001231), (4077, "40779", 19860101, 19890630)]
 
 
 def test_coverage_of_the_two_codes(spark):
     names, securities = _link_inputs(spark)
     by_history, by_current = link.link_by_history(names, securities), link.link_by_current(names, securities)
     assert rows(by_current, "permno", "gvkey") == [(2, "777")]
-    assert rows(link.link_coverage(by_history, by_current)) == [(2, "777", 3), (10051, "13445", 1)]
+    assert rows(link.link_coverage(by_history, by_current)) == [(2, "777", 3), (4077, "40779", 1)]
 
 
 def test_price_cleaning(spark):
@@ -146,8 +147,8 @@ def test_one_to_one_code_merge_refuses_a_repeated_month(spark):
     got = linked.firm_months_by_code(stocks, reports)
     assert rows(got, "gvkey", "cusip", "yyyymm", "me", "seq") == [("7", "AAAA0001", 200012, 5.0, -1.0)]
     twice = stocks.unionByName(stocks.selectExpr("permno + 5 AS permno", *stocks.columns[1:]))
-    with pytest.raises(ValueError, match="left side"):
-        linked.firm_months_by_code(twice, reports)
+    with pytest.raises(SparkRuntimeException, match="left side"):
+        linked.firm_months_by_code(twice, reports).collect()
 
 
 def test_delimited_files(spark, tmp_path):
@@ -178,3 +179,19 @@ def test_wide_and_long(spark):
     assert rows(reshape.to_wide(long, ["id"], "variable", "value", {"a": "a", "b": "b", "c": "c"})) == [(1, 1.0, None, None)]
     with pytest.raises(ValueError, match="repeated"):
         reshape.to_wide(long.unionByName(long), ["id"], "variable", "value", {"a": "a"})
+
+
+def test_no_category_is_lost_when_widening(spark):
+    long = table(spark, "id int, kind string, v int", (1, "a", 1), (1, "b", 2), (1, None, 4), (2, "a", 8))
+    with pytest.raises(SparkRuntimeException, match="kind"):
+        reshape.to_wide(long, ["id"], "kind", "v", {"a": "a"}, agg="sum").collect()
+    wide = reshape.to_wide(long, ["id"], "kind", "v", {"a": "a"}, agg="sum", rest="rest")
+    assert rows(wide, "id", "a", "rest") == [(1, 1, 6), (2, 8, None)]
+
+
+def test_holders_of_unlisted_types_count(spark):
+    import datetime as dt
+
+    d = dt.date(2005, 3, 31)
+    raw = table(spark, "mgrno long, rdate date, fdate date, typecode int", *[(k, d, d, c) for k, c in enumerate((1, 6, None))])
+    assert rows(holders.holder_counts(raw), "bank", "unlisted", "total") == [(1, 2, 3)]
