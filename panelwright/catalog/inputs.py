@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.catalog.registry import Tables
 from panelwright.functions import yyyymm_of_date, yyyymmdd_of_date
+from panelwright.operators.clean import dedupe
 from panelwright.operators.reshape import to_wide
 
 SQL_DATE = "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS INTEGER)"
@@ -355,6 +356,33 @@ reports AS (
       FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice - 50000 > 0)) WHERE rn = 1)"""
 
 
+# One row per code and month: the first of a month, for the one-to-one merge.
+
+def month_market(t: Tables) -> DataFrame:
+    monthly = link_market(t).withColumn("month", F.floor(F.col("date") / 100))
+    return dedupe(monthly, ["permno", "month"], ["date", "prc"]).drop("month")
+
+
+CODE_MONTHS = f"""month_market AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') || 'P4' AS cusip, yyyymm, abs(o_totalprice) * 10.0 / 1000 AS me,
+         o_totalprice / 500000 - 0.5 AS ret FROM (
+    SELECT *, {SQL_MONTH.format("o_orderdate")} AS yyyymm, row_number() OVER (
+      PARTITION BY o_custkey, {SQL_MONTH.format("o_orderdate")} ORDER BY {SQL_DATE.format("o_orderdate")}, o_totalprice) AS rn
+    FROM orders) WHERE rn = 1 AND o_orderstatus <> 'P' AND left(o_orderpriority, 1) IN ('1', '2', '3') AND o_totalprice > 0),
+last_reports AS (
+  SELECT CAST(o_custkey * 10 + CASE WHEN o_totalprice > 250000 THEN 4 ELSE 1 END AS VARCHAR) AS gvkey,
+         lpad(CAST(o_custkey AS VARCHAR), 6, '0') || 'P4' AS cusip, {SQL_DATE.format("o_orderdate")} AS datadate,
+         year(o_orderdate) AS fyear, o_totalprice - 50000 AS seq, o_totalprice / 10 AS ib, o_totalprice AS "at",
+         row_number() OVER (PARTITION BY o_custkey * 10 + CASE WHEN o_totalprice > 250000 THEN 4 ELSE 1 END, year(o_orderdate)
+           ORDER BY {SQL_DATE.format("o_orderdate")} DESC, o_totalprice DESC) AS rn FROM orders),
+coded_reports AS (
+  SELECT *, datadate // 100 AS yyyymm, row_number() OVER (PARTITION BY cusip, fyear ORDER BY datadate, gvkey) AS k
+  FROM last_reports WHERE rn = 1),
+firm_months AS (
+  SELECT gvkey, m.cusip, m.yyyymm, ret, me, seq, ib, "at" FROM month_market m
+  JOIN coded_reports r ON m.cusip = r.cusip AND m.yyyymm = r.yyyymm WHERE k = 1)"""
+
+
 # Firm-months for the regressions: text returns with codes, accounts, market value.
 
 def firm_months(t: Tables) -> DataFrame:
@@ -433,3 +461,7 @@ excess AS (
   SELECT date, p_brand AS portfolio, r - rf AS excess, mktrf FROM
     (SELECT DISTINCT date FROM sold) CROSS JOIN (SELECT DISTINCT p_brand FROM part)
     LEFT JOIN cells USING (date, p_brand) JOIN market USING (date))"""
+
+
+#: The firm-years of the one-to-one merge: the same steps on its firm-months.
+CODE_FIRM_YEARS = f"{CODE_MONTHS},\nyearly AS{FIRM_YEARS.split('yearly AS', 1)[1]}"

@@ -88,7 +88,7 @@ def event_change(t):
     """Change on a user's previous event: fine-grained time, so run in blocks of days."""
     e = t.events.select("user_id", "event_id", "ts", "value")
     placed = panel.numbered(e, ["user_id"], ["ts", "event_id"], block=7, name="position")
-    lagged = panel.lag_rows(placed, ["user_id"], ["ts", "event_id"], "value", block=7)
+    lagged = panel.lag_rows(placed, ["user_id"], ["ts", "event_id"], "value", block=7, position="position")
     df = lagged.withColumn("change", fn.growth("value", "lag1_value"))
     return df.select("user_id", "event_id", "ts", "change", "position")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelwright.catalog import inputs
 from panelwright.catalog.registry import query, rounded
 from panelwright.catalog.summaries import FIT, FIT_OUT, _shown, _shown_within
+from panelwright.functions import number
 from panelwright.operators import link, regress, summary
 from panelwright.plans import (
     accounts,
@@ -283,6 +284,40 @@ def firm_years(t):
     return rounded(rounded(kept, 6, "roa", "lnme", "lag_lnme", "lag_roa", "ag"), 4, "roe")
 
 
+@query(
+    f"""WITH {inputs.CODE_MONTHS}
+        SELECT gvkey, cusip, yyyymm, round(ret, 6) AS ret, round(me, 6) AS me, round(seq, 4) AS seq, round(ib, 4) AS ib,
+               round("at", 4) AS "at" FROM firm_months"""
+)
+def code_month_merge(t):
+    """The checked one-to-one merge on code and month."""
+    df = linked.firm_months_by_code(inputs.month_market(t), inputs.link_accounts(t))
+    df = df.select("gvkey", "cusip", "yyyymm", number("ret").alias("ret"), "me", "seq", "ib", "at")
+    return rounded(rounded(df, 6, "ret", "me"), 4, "seq", "ib", "at")
+
+
+@query(
+    f"""WITH {inputs.CODE_FIRM_YEARS}
+        SELECT cusip, year, round(ret, 6) AS ret, year_diff, round(roa, 6) AS roa, round(roe, 4) AS roe, round(lnme, 6) AS lnme,
+          round(lag_lnme, 6) AS lag_lnme, round(lag_roa, 6) AS lag_roa, round(ag, 6) AS ag FROM firm_years"""
+)
+def firm_years_by_code(t):
+    """Firm-year ratios of the one-to-one merge."""
+    df = regressions.firm_years(linked.firm_months_by_code(inputs.month_market(t), inputs.link_accounts(t)))
+    kept = df.select("cusip", "year", "ret", "year_diff", "roa", "roe", "lnme", "lag_lnme", "lag_roa", "ag")
+    return rounded(rounded(kept, 6, "ret", "roa", "lnme", "lag_lnme", "lag_roa", "ag"), 4, "roe")
+
+
+@query(
+    f"""WITH {inputs.CODE_FIRM_YEARS}, d AS (SELECT ret AS y, lnme AS x FROM firm_years WHERE ret IS NOT NULL AND lnme IS NOT NULL),
+        {FIT.format(by='', group='')} SELECT {FIT_OUT} FROM s"""
+)
+def ols_by_code(t):
+    """Return on size, over the firm-years of the one-to-one merge."""
+    years = regressions.firm_years(linked.firm_months_by_code(inputs.month_market(t), inputs.link_accounts(t)))
+    return _shown(regress.ols(years.select(F.col("ret").alias("y"), F.col("lnme").alias("x")), "y", "x"))
+
+
 def _bounds(p, v):
     return f"""CASE WHEN (n * {p}) % 100 = 0 THEN (max(x) FILTER (v = '{v}' AND rk = (n * {p}) // 100)
       + max(x) FILTER (v = '{v}' AND rk = (n * {p}) // 100 + 1)) / 2 ELSE max(x) FILTER (v = '{v}' AND rk = (n * {p}) // 100 + 1) END"""

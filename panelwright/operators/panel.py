@@ -59,12 +59,13 @@ def numbered(df: DataFrame, entity, order, block=None, name: str = "row") -> Dat
     )
 
 
-def _looking_back(df: DataFrame, entity, order, lookback: int, block, build):
+def _looking_back(df: DataFrame, entity, order, lookback: int, block, build, position: str | None = None):
     """Apply window columns that look back at most `lookback` rows.
 
     `build(window)` returns {name: Column}. In blocks, rows are numbered within
     their entity and cut into chunks; the last `lookback` rows of a chunk are
     also sent to the next chunk, where they serve as history and are dropped.
+    `position` names a column that `numbered` has already added.
     """
     entity, order = list(entity), list(order)
     if block is None:
@@ -72,7 +73,7 @@ def _looking_back(df: DataFrame, entity, order, lookback: int, block, build):
     size = max(CHUNK_ROWS, 10 * lookback)
     chunk = F.floor(F.col("__row") / size).cast("long")
     repeated = F.col("__row") % size >= size - lookback
-    rows = numbered(df, entity, order, block, "__row")
+    rows = df.withColumn("__row", F.col(position)) if position else numbered(df, entity, order, block, "__row")
     rows = rows.withColumn(
         "__chunk", F.explode(F.when(repeated, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
     ).withColumn("__own", F.col("__chunk") == chunk)
@@ -80,14 +81,17 @@ def _looking_back(df: DataFrame, entity, order, lookback: int, block, build):
     return done.filter("__own").drop("__row", "__chunk", "__own")
 
 
-def lag_rows(df: DataFrame, entity, order, cols, steps=(1,), block=None) -> DataFrame:
-    """Add lag{i}_{col}, the value i rows earlier in the entity, for each i in `steps`."""
+def lag_rows(df: DataFrame, entity, order, cols, steps=(1,), block=None, position: str | None = None) -> DataFrame:
+    """Add lag{i}_{col}, the value i rows earlier in the entity, for each i in `steps`.
+
+    `position` names a column with the rows' positions, which blocks then need not find again.
+    """
     cols, steps = ([cols] if isinstance(cols, str) else list(cols)), list(steps)
 
     def build(w):
         return {f"lag{i}_{c}": F.lag(c, i).over(w) for c in cols for i in steps}
 
-    return _looking_back(df, entity, order, max(steps), block, build)
+    return _looking_back(df, entity, order, max(steps), block, build, position)
 
 
 def lag_if_adjacent(
