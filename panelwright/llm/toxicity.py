@@ -122,12 +122,19 @@ class Model:
 
 
 def _document_features(margins: np.ndarray, words: Words, texts: int) -> np.ndarray:
-    hit = np.maximum(margins, 0)
-    number = np.bincount(words.text_of, margins > 0, texts)
-    amount = np.bincount(words.text_of, np.minimum(hit, 2), texts)
+    """What a text's distinct words of positive margin come to: number, amount, largest margin, share; and its size."""
+    ends = np.cumsum(words.sizes)
+    hits: dict[tuple[int, bytes], float] = {}
+    for k in np.flatnonzero(margins > 0).tolist():
+        spelt = words.codes[ends[k] - words.sizes[k] : ends[k]].tobytes()
+        hits[int(words.text_of[k]), spelt] = min(float(margins[k]), 2.0)
+    of = np.array([text for text, _ in hits], np.int64)
+    margin = np.array(list(hits.values()))
+    number = np.bincount(of, minlength=texts)
+    amount = np.bincount(of, margin, texts) if len(of) else np.zeros(texts)
     size = np.bincount(words.text_of, minlength=texts)
     most = np.zeros(texts)
-    np.maximum.at(most, words.text_of, np.minimum(hit, 2))
+    np.maximum.at(most, of, margin)
     return np.column_stack(
         [np.ones(texts), np.log1p(number), np.log1p(amount), most, number / np.sqrt(size + 10), np.log1p(size)]
     )
