@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.shared import short_batches
+
 # The template. A turn is HEAD role COLON text END; a backslash takes the meaning from what follows.
 HEAD, COLON, END = "### ", ": ", "</turn>\n"
 TRAINED_ROLE = "assistant"
@@ -129,7 +131,7 @@ def format_conversations(turns: DataFrame, json_file: str = "byte_bpe_50k.json")
     in order of turn, then role and text where turns repeat. Null roles and texts are empty, a null conv_id is a
     conversation of its own, extra columns are ignored, an empty table gives no rows.
     """
-    plain = turns.select(
+    plain = short_batches(turns).select(
         F.col("conv_id").cast("long"),
         F.col("turn").cast("long"),
         F.col("role").cast("string"),

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.shared import settle
+from panelwright.llm.shared import settle, short_batches
 from panelwright.llm.text import pieces, utf8, word_hashes, word_spans
 
 #: Words of a block, the step of the windows; windows are these numbers of blocks long.
@@ -344,7 +344,7 @@ def find_leaks(
     item of fewer than eight words must be there whole. Repeated documents and items are answered as often as they
     come (an item_id once for a row of `docs`). Extra columns are ignored.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     asked = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     rounds = -(-asked.count() // ROUND_ITEMS)
     found = docs.sparkSession.createDataFrame([], FOUND)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.shared import components, settle
+from panelwright.llm.shared import components, settle, short_batches
 from panelwright.llm.text import mix, pieces, shingle_sets, utf8
 
 #: Members of one bucket that are compared in one piece.
@@ -179,7 +179,7 @@ def near_duplicates(
     A text without words has no shingles and is linked with nothing. Rows that repeat a doc_id are rows of their
     own. A null doc_id never names a component; such rows are kept. Extra columns are ignored.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = settle(
         plain.mapInArrow(
             _signer(words, bands, rows), "doc_id long, n_shingles long, key long, codes array<long>"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.shared import numbered, settle
+from panelwright.llm.shared import numbered, settle, short_batches
 
 #: Remainders up to this share of the capacity are not cut further: a bin of them is nearly full anyway.
 SMALL_SHARE = 32
@@ -33,13 +34,16 @@ def encoder(ranks_file: str, json_file: str):
 
     with open(public_tokenizers.path(ranks_file), "rb") as lines:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+    slow = None
     fast = tiktoken.Encoding("ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(public_tokenizers.path(json_file))
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
+    with open(public_tokenizers.path(json_file), encoding="utf-8") as vocabulary:
+        special = [token["content"] for token in json.load(vocabulary)["added_tokens"]]
     long_run = regex.compile(rf"\S{{{LONG_RUN}}}")
 
     def encode(text: str) -> np.ndarray:
+        nonlocal slow
         if any(t in text for t in special) or (len(text) >= LONG_RUN and long_run.search(text)):
+            slow = slow or Tokenizer.from_file(public_tokenizers.path(json_file))
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
@@ -130,7 +134,7 @@ def pack(
     columns are ignored.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     made = plain.mapInArrow(
         _pieces(capacity, end_id, ranks_file, json_file, with_ids), schema + (", ids array<int>" if with_ids else "")
     )

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.shared import settle
+from panelwright.llm.shared import settle, short_batches
 
 # HTML's elements by kind, and words in class, id and role that name what is not main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -321,7 +321,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     Each task aligns the pages it reads, host by host; the wrappers of a host, one from each batch of pages, are then
     aligned with each other in two rounds, so a host of many pages is shared by many tasks.
     """
-    read = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+    read = short_batches(pages).select(_host(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
     guesses = read.mapInArrow(_first_guesses, WRAPPERS)
     salted = guesses.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     some = salted.repartition("host", "salt").sortWithinPartitions("host", "salt").select("host", "wrapper", "pages")

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.shared import short_batches
 from panelwright.llm.text import pieces, utf8, word_spans
 
 # The base patterns, the words an assignment holds (lower case), and the least lengths.
@@ -130,7 +131,7 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     one number for each pair of the alphabet's 67 symbols.
     """
     width = len(ALPHABET) + 1
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
+    counted = short_batches(docs).select(F.col(text_col).cast("string").alias("text")).mapInArrow(
         _count_pairs(), "label int, pair long, n long"
     )
     counts = np.zeros((2, width, width))

@@ -24,6 +24,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """`df`, in a session that hands texts to Python a thousand rows at a time, unless it names a number of its own."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if conf.get(name) == "10000":
+        conf.set(name, "1000")
+    return df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

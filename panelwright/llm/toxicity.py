@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.shared import settle
+from panelwright.llm.shared import settle, short_batches
 from panelwright.llm.text import pieces, utf8
 
 #: Characters of a subsequence, the longest span it may take, and the weight of each character of that span.
@@ -267,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     present = known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     numbers = {r["toxic"]: r["count"] for r in present.groupBy("toxic").count().collect()}
     toxic, clean = numbers.get(1, 0), numbers.get(0, 0)
@@ -330,7 +330,7 @@ def score(
     A score depends on the text alone (null as empty). Rows that repeat stay, a null doc_id stays null and is not
     held out, extra columns are ignored.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     made = plain.mapInArrow(_scored(model), "doc_id long, score double")
     return made.select(
         "doc_id",
@@ -348,4 +348,4 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_co
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch.column(place)) < threshold))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return short_batches(docs).mapInArrow(clean, docs.schema)
