@@ -46,6 +46,21 @@ def table_by_year(t):
     return read_table(t.spark, path).filter("year >= 1999")
 
 
+@query(
+    """SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
+       WHERE c_nationkey BETWEEN 5 AND 14 AND o_totalprice > 0"""
+)
+def range_where_outer(t):
+    """SQL text with a left join whose filter rejects unmatched rows."""
+    return run_sql(
+        t.spark,
+        """SELECT o_orderkey, c_name, o_totalprice FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey
+           WHERE c_nationkey BETWEEN 5 AND 14 AND o_totalprice > 0""",
+        orders=t.orders,
+        customer=t.customer,
+    )
+
+
 @query(
     """WITH busy AS (SELECT l_suppkey, CAST(min(l_shipdate) AS DATE) AS first, CAST(min(l_shipdate) AS DATE) + 400 AS last
                      FROM lineitem GROUP BY l_suppkey)
@@ -53,7 +68,7 @@ def table_by_year(t):
          ON l.l_suppkey = b.l_suppkey AND CAST(l.l_shipdate AS DATE) BETWEEN b.first AND b.last
        WHERE l.l_quantity > 10"""
 )
-def range_where_outer(t):
+def range_where_interval(t):
     """SQL text with an outer interval join whose filter rejects the unmatched rows."""
     return run_sql(
         t.spark,
