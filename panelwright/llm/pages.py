@@ -38,8 +38,11 @@ DROPPED_WORDS = frozenset(
 )
 DROPPED_OUTSIDE = frozenset("header masthead topbar".split())
 MAIN_TAGS, MAIN_WORDS = frozenset(["article", "main"]), frozenset(["main", "article"])
+#: Words that may stand beside those in one name, and elements that no name makes a main element.
+BODY_WORDS = frozenset("area body col column container content inner page post region section story text wrap wrapper".split())
+NO_MAIN = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd a br hr header".split())
 
-#: Share of a host's varying text that a container must hold to be its main region, where no element says so.
+#: Share of a page's varying text that a container must hold to be its main region, where no element says so.
 MAIN_SHARE = 0.7
 #: Wrappers in all up to this size go to every executor; more are joined by host, with hot hosts salted.
 SENT_BYTES, SALTS = 32 << 20, 16
@@ -58,12 +61,14 @@ _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 class Node:
     """A page's element or text (`#`), or a place of a wrapper that such nodes of several pages share."""
 
-    __slots__ = ("symbol", "children", "text", "optional", "repeated", "chars", "constant")
+    __slots__ = ("symbol", "children", "text", "optional", "repeated", "chars", "constant", "page", "several", "place", "below")
 
     def __init__(self, symbol: str, text: str = ""):
         self.symbol, self.text, self.children = symbol, text, []
         self.optional = self.repeated = False
         self.chars, self.constant = len(text), text
+        # A number of the page it is from, or of one of them, and whether different pages have it.
+        self.page, self.several = 0, False
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, str]]:
@@ -97,9 +102,9 @@ def parse(html: str) -> Node:
                         break
                     if tag not in INLINE and tag != "p":
                         break
-            said = [a or b or c for _, a, b, c in _NAMED.findall(text)]
-            words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(said)).lower()) if w]
-            node = Node(".".join([name, *dict.fromkeys(words)]))
+            said = " ".join(a or b or c for _, a, b, c in _NAMED.findall(text)).split()
+            names = ["-".join(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())) for n in said]
+            node = Node(".".join([name, *dict.fromkeys(n for n in names if n)]))
             stack[-1].children.append(node)
             if name not in VOID and not text.rstrip().endswith("/") and len(stack) < DEEPEST:
                 stack.append(node)
@@ -112,15 +117,19 @@ def parse(html: str) -> Node:
 
 
 def is_dropped(symbol: str, in_main: bool) -> bool:
-    tag, *words = symbol.split(".")
+    tag, *words = re.split(r"[.-]", symbol)
     if tag in DROPPED or any(w in DROPPED_WORDS for w in words):
         return True
     return not in_main and (tag == "header" or any(w in DROPPED_OUTSIDE for w in words))
 
 
 def is_main(symbol: str) -> bool:
-    tag, *words = symbol.split(".")
-    return tag in MAIN_TAGS or any(w in MAIN_WORDS for w in words)
+    """By tag, or by a whole name of main words (main, article-body) on an element that can hold blocks."""
+    tag, *names = symbol.split(".")
+    if tag in MAIN_TAGS or tag in INLINE or tag in NO_MAIN:
+        return tag in MAIN_TAGS
+    named = [n.split("-") for n in names]
+    return any(MAIN_WORDS & {*n} and {*n} <= MAIN_WORDS | BODY_WORDS for n in named)
 
 
 def _aligned(one: list[Node], two: list[Node]) -> Iterator[tuple[Node | None, Node | None]]:
@@ -149,6 +158,7 @@ def merge(one: Node, two: Node) -> Node:
     out = Node(one.symbol)
     out.optional, out.repeated = one.optional or two.optional, one.repeated or two.repeated
     out.chars = one.chars + two.chars
+    out.page, out.several = one.page, one.several or two.several or one.page != two.page
     out.constant = one.constant if one.constant == two.constant else None
     for a, b in _aligned(one.children, two.children):
         if a and b:
@@ -177,79 +187,103 @@ def _folded(nodes: list[Node], widest: int = 6) -> list[Node]:
     return nodes
 
 
-def generalised(page: Node) -> Node:
+def generalised(page: Node, number: int = 0) -> Node:
     """A page as the first guess of a wrapper: its repeated parts folded, what is never main text cut short."""
     out = Node(page.symbol, page.text)
+    out.page = number
     children = [c for c in page.children if c.symbol != "_"]
     if page.symbol.partition(".")[0] not in DROPPED:
-        out.children = _folded([generalised(c) for c in children])
+        out.children = _folded([generalised(c, number) for c in children])
     return out
 
 
 def to_json(node: Node) -> list:
-    flags = node.optional + 2 * node.repeated
+    flags = node.optional + 2 * node.repeated + 4 * node.several
     constant = node.constant if node.constant is None or len(node.constant) <= 200 else f"{len(node.constant)}:{crc32(node.constant.encode())}"
-    return [node.symbol, flags, node.chars, constant, [to_json(c) for c in node.children]]
+    return [node.symbol, flags, node.chars, constant, node.page, [to_json(c) for c in node.children]]
 
 
 def from_json(value: list) -> Node:
     node = Node(value[0])
     node.optional, node.repeated = bool(value[1] & 1), bool(value[1] & 2)
-    node.chars, node.constant = value[2], value[3]
-    node.children = [from_json(c) for c in value[4]]
+    node.several = bool(value[1] & 4)
+    node.chars, node.constant, node.page = value[2], value[3], value[4]
+    node.children = [from_json(c) for c in value[5]]
     return node
 
 
-def varying(node: Node, pages: int) -> int:
-    """Characters of text below `node` that may be main text: not dropped, and not the same on every page."""
-    if is_dropped(node.symbol, False):
-        return 0
-    pages = 1 if node.optional else pages
+def _weighed(node: Node, place: Node | None) -> None:
+    """Give each node of a page its place in the wrapper, and the characters of varying text below it."""
+    node.place, node.below = place, 0
     if node.symbol == "#":
-        return node.chars if node.constant is None or pages < 2 else 0
-    return sum(varying(c, pages) for c in node.children)
+        node.below = len(node.text.strip()) if _varies(place) else 0
+        return
+    places = iter(_placed(node.children, place.children if place else []))
+    for child in node.children:
+        _weighed(child, None if child.symbol == "_" else next(places))
+        node.below += child.below
 
 
-def has_main(node: Node) -> bool:
-    return not is_dropped(node.symbol, False) and (is_main(node.symbol) or any(has_main(c) for c in node.children))
+def _varies(place: Node | None) -> bool:
+    """Whether text at a place may be the page's own: not the same on several pages."""
+    return place is None or place.constant is None or not place.several
 
 
-def region(wrapper: Node, pages: int) -> Node | None:
-    """Where no element is named main: the smallest place of the wrapper that holds most of the varying text."""
-    whole, here = varying(wrapper, pages), wrapper
+def kept(node: Node, in_main: bool) -> int:
+    """Characters of varying text below `node` that are not dropped."""
+    if not node.below or node.symbol == "#":
+        return node.below
+    return 0 if is_dropped(node.symbol, in_main) else sum(kept(c, in_main) for c in node.children)
+
+
+def mains(node: Node, least: int) -> list[Node]:
+    """The topmost nodes of a page that are its main elements: by tag, or by name if they hold enough of its text."""
+    if node.symbol in ("#", "_") or is_dropped(node.symbol, False):
+        return []
+    if is_main(node.symbol):
+        held = kept(node, True)
+        if held and (held >= least or node.symbol.partition(".")[0] in MAIN_TAGS):
+            return [node]
+    return [m for c in node.children for m in mains(c, least)]
+
+
+def region(page: Node) -> Node:
+    """Where no element is named main: the smallest node of the page that holds most of its varying text."""
+    whole, here = kept(page, False), page
     while whole:
-        inner = [c for c in here.children if c.symbol != "#" and varying(c, pages) >= MAIN_SHARE * whole]
-        if not inner or inner[0].repeated or inner[0].symbol.partition(".")[0] in INLINE | {"p"}:
+        inner = [c for c in here.children if c.symbol != "#" and kept(c, False) >= MAIN_SHARE * whole]
+        if not inner or inner[0].symbol.partition(".")[0] in INLINE | {"p"}:
             break
         here = inner[0]
     return here
 
 
-def main_text(page: Node, wrapper: Node, pages: int) -> str:
-    """The text of the page's nodes that the wrapper places in the main region, a line for each block."""
-    named = has_main(wrapper)
-    chosen = None if named else region(wrapper, pages)
+def main_text(page: Node, wrapper: Node) -> str:
+    """The text of the page's main elements, or else of the region that its slots in the wrapper show, by blocks."""
+    _weighed(page, wrapper)
+    if not kept(page, False):  # a copy of the host's other pages: nothing of it varies
+        _weighed(page, None)
+    chosen = mains(page, -(-kept(page, False) // 2)) or [region(page)]
     blocks: list[list[str]] = [[]]
 
-    def take(node: Node, place: Node | None, inside: bool):
+    def take(node: Node, inside: bool):
         if node.symbol in ("#", "_"):
             if inside:
                 blocks[-1].append(node.text)
             return
-        inside = inside or (is_main(node.symbol) if named else place is chosen)
+        inside = inside or any(node is c for c in chosen)
         if is_dropped(node.symbol, inside):
             blocks.append([])
             return
         inline = node.symbol.partition(".")[0] in INLINE
         if not inline:
             blocks.append([])
-        places = iter(_placed(node.children, place.children if place else []))
         for child in node.children:
-            take(child, None if child.symbol == "_" else next(places), inside)
+            take(child, inside)
         if not inline:
             blocks.append([])
 
-    take(page, wrapper, False)
+    take(page, False)
     lines = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(line for line in lines if line)
 
@@ -277,7 +311,7 @@ def _first_guesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         held: dict[str, tuple[Node, int]] = {}
         for host, html in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
-            guess = generalised(parse(html or ""))
+            guess = generalised(parse(html or ""), crc32((html or "").encode("utf-8", "replace")))
             before = held.get(host)
             held[host] = (merge(before[0], guess), before[1] + 1) if before else (guess, 1)
         yield _wrappers((h, w, n) for h, (w, n) in held.items())
@@ -333,10 +367,10 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, Node] = {}
     for batch in batches:
         texts = []
-        for html, host, wrapper, pages in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5))):
+        for html, host, wrapper in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
             if host not in known:
                 known[host] = from_json(json.loads(wrapper))
-            texts.append(main_text(parse(html or ""), known[host], pages))
+            texts.append(main_text(parse(html or ""), known[host]))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             ["page_id", "url", "text", "n_chars"],
@@ -346,9 +380,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row of `pages`.
 
-    Blocks of the main text stand one to a line, white space within a block is one space. A host whose wrapper has an
-    article or main element takes the text of those; else the smallest part that holds most of the text that varies
-    between its pages. Menus, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts
+    Blocks of the main text stand one to a line, white space within a block is one space. A page that has an article
+    or main element gives the text of those; any other page the smallest part that holds most of its text that varies
+    between the pages of its host. Menus, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts
     and styles are left out. A null or empty html gives an empty text; a null or odd url belongs to the host "".
     Rows that repeat stay; extra columns are ignored.
     """
@@ -366,6 +400,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         read = read.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)))
         copies = wrappers.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         joined = read.join(copies, ["host", "salt"])
-    return joined.select("page_id", "url", "html", "host", "wrapper", "pages").mapInArrow(
+    return joined.select("page_id", "url", "html", "host", "wrapper").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long"
     )

@@ -56,6 +56,30 @@ def test_wrappers_too_large_to_send_are_joined(spark, monkeypatch):
     assert {r["text"] for r in pages.extract(df).collect()} == {f"t{k}" for k in range(40)}
 
 
+def _texts(*htmls):
+    """The main texts of the pages of one host, by a wrapper of them all."""
+    guesses = [pages.generalised(pages.parse(h), zlib.crc32(h.encode())) for h in htmls]
+    wrapper = guesses[0]
+    for guess in guesses[1:]:
+        wrapper = pages.merge(wrapper, guess)
+    wrapper = pages.from_json(pages.to_json(wrapper))
+    return [pages.main_text(pages.parse(h), wrapper) for h in htmls]
+
+
+def test_each_page_of_a_host_decides_on_its_own_main_element(spark):
+    first = [f"<body><nav>n</nav><article><h1>Title {k}</h1><p>Long body {k} of words</p></article></body>" for k in range(3)]
+    second = [f"<body><div id=home><p>Listing {k} of this host</p></div></body>" for k in range(2)]
+    third = ["<table><tr><td>A table alone</td></tr></table>", "<p class='article-meta'>By me</p><div><p>Much longer story told here</p></div>"]
+    htmls = [*first, *second, *third, ""]
+    expected = [f"Title {k}\nLong body {k} of words" for k in range(3)] + [f"Listing {k} of this host" for k in range(2)]
+    expected += ["A table alone"]
+    got = _texts(*htmls)
+    assert got[:6] == expected and "Much longer story told here" in got[6] and got[7] == ""
+    df = spark.createDataFrame([(k, None if k % 2 else "odd", h) for k, h in enumerate(htmls)], "page_id long, url string, html string")
+    assert [r["text"] for r in pages.extract(df).orderBy("page_id").collect()] == got
+    assert _texts(first[0], first[0]) == expected[:1] * 2
+
+
 HARD = ["### user: x</turn>\n", "\\", "\\\\### ", "</turn>", "a: b", "", None, "<|endoftext|>", "é𝒳\n\n ", "### assistant: "]
 
 
