@@ -37,6 +37,15 @@ DROPPED_WORDS = frozenset(
     " contentinfo".split()
 )
 DROPPED_OUTSIDE = frozenset("header masthead topbar".split())
+#: Dropped elements that may hold a whole page; elements that no name drops.
+HOLDERS, NEVER_NAMED = frozenset(["form"]), frozenset("root html body main article h1 h2 h3 h4 h5 h6".split())
+#: Of the words above, those that also name parts of articles; words that may stand beside the others in one name.
+UNSURE = frozenset("discussion menu notice notices notification promotion related respond search sharing social".split())
+FILLING = frozenset(
+    "area bar block box button buttons container content entry form group icons inner item items left link links list"
+    " main outer panel post posts right section slot stories top unit wrap wrapper".split()
+)
+NAMING = frozenset(["class", "id", "role"])
 MAIN_TAGS, MAIN_WORDS = frozenset(["article", "main"]), frozenset(["main", "article"])
 #: Words that may stand beside those in one name, and elements that no name makes a main element.
 BODY_WORDS = frozenset("area body col column container content inner page post region section story text wrap wrapper".split())
@@ -55,13 +64,13 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 class Node:
     """A page's element or text (`#`), or a place of a wrapper that such nodes of several pages share."""
 
-    __slots__ = ("symbol", "children", "text", "optional", "repeated", "chars", "constant", "page", "several", "place", "below")
+    __slots__ = ("symbol", "children", "text", "optional", "repeated", "chars", "constant", "page", "several", "place", "below", "holds_main")
 
     def __init__(self, symbol: str, text: str = ""):
         self.symbol, self.text, self.children = symbol, text, []
@@ -102,7 +111,7 @@ def parse(html: str) -> Node:
                         break
                     if tag not in INLINE and tag != "p":
                         break
-            said = " ".join(a or b or c for _, a, b, c in _NAMED.findall(text)).split()
+            said = " ".join(a or b or c for n, a, b, c in _ATTRIBUTE.findall(text) if n.lower() in NAMING).split()
             names = ["-".join(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())) for n in said]
             node = Node(".".join([name, *dict.fromkeys(n for n in names if n)]))
             stack[-1].children.append(node)
@@ -116,11 +125,28 @@ def parse(html: str) -> Node:
     return root
 
 
-def is_dropped(symbol: str, in_main: bool) -> bool:
-    tag, *words = re.split(r"[.-]", symbol)
-    if tag in DROPPED or any(w in DROPPED_WORDS for w in words):
+def is_dropped(node: Node, in_main: bool, whole: int) -> bool:
+    """Whether a page's node, weighed before, is no main text by its tag or names; `whole` is the page's varying text.
+
+    No name drops the page itself, a main element, a heading, or what holds a main element or most of the page's text.
+    Inside the main text only a whole name counts (comments, ad-slot; not social-history), and one that is also a
+    word of articles only if the text is the same on several pages.
+    """
+    tag, *names = node.symbol.split(".")
+    if tag in DROPPED and tag not in HOLDERS:
         return True
-    return not in_main and (tag == "header" or any(w in DROPPED_OUTSIDE for w in words))
+    if tag in NEVER_NAMED or node.holds_main or 2 * node.below > whole:
+        return False
+    if tag in DROPPED:
+        return True
+    named = [n.split("-") for n in names]
+    if not in_main:
+        return tag == "header" or any(w in DROPPED_WORDS or w in DROPPED_OUTSIDE for n in named for w in n)
+    for words in named:
+        told = DROPPED_WORDS.intersection(words)
+        if told and (not node.below or (told - UNSURE and FILLING.issuperset(set(words) - DROPPED_WORDS))):
+            return True
+    return False
 
 
 def is_main(symbol: str) -> bool:
@@ -192,7 +218,7 @@ def generalised(page: Node, number: int = 0) -> Node:
     out = Node(page.symbol, page.text)
     out.page = number
     children = [c for c in page.children if c.symbol != "_"]
-    if page.symbol.partition(".")[0] not in DROPPED:
+    if page.symbol.partition(".")[0] not in DROPPED - HOLDERS:
         out.children = _folded([generalised(c, number) for c in children])
     return out
 
@@ -214,14 +240,20 @@ def from_json(value: list) -> Node:
 
 def _weighed(node: Node, place: Node | None) -> None:
     """Give each node of a page its place in the wrapper, and the characters of varying text below it."""
-    node.place, node.below = place, 0
+    node.place, node.below, node.holds_main = place, 0, False
     if node.symbol == "#":
         node.below = len(node.text.strip()) if _varies(place) else 0
         return
+    tag = node.symbol.partition(".")[0]
     places = iter(_placed(node.children, place.children if place else []))
     for child in node.children:
         _weighed(child, None if child.symbol == "_" else next(places))
         node.below += child.below
+        node.holds_main |= child.holds_main
+    if tag in DROPPED and tag not in HOLDERS:
+        node.below, node.holds_main = 0, False
+    elif tag in MAIN_TAGS and node.below:
+        node.holds_main = True
 
 
 def _varies(place: Node | None) -> bool:
@@ -229,29 +261,29 @@ def _varies(place: Node | None) -> bool:
     return place is None or place.constant is None or not place.several
 
 
-def kept(node: Node, in_main: bool) -> int:
+def kept(node: Node, in_main: bool, whole: int) -> int:
     """Characters of varying text below `node` that are not dropped."""
     if not node.below or node.symbol == "#":
         return node.below
-    return 0 if is_dropped(node.symbol, in_main) else sum(kept(c, in_main) for c in node.children)
+    return 0 if is_dropped(node, in_main, whole) else sum(kept(c, in_main, whole) for c in node.children)
 
 
-def mains(node: Node, least: int) -> list[Node]:
-    """The topmost nodes of a page that are its main elements: by tag, or by name if they hold enough of its text."""
-    if node.symbol in ("#", "_") or is_dropped(node.symbol, False):
+def mains(node: Node, whole: int) -> list[Node]:
+    """The topmost nodes of a page that are its main elements: by tag, or by name if they hold half of its text."""
+    if node.symbol in ("#", "_") or is_dropped(node, False, whole):
         return []
     if is_main(node.symbol):
-        held = kept(node, True)
-        if held and (held >= least or node.symbol.partition(".")[0] in MAIN_TAGS):
+        held = kept(node, True, whole)
+        if held and (2 * held >= whole or node.symbol.partition(".")[0] in MAIN_TAGS):
             return [node]
-    return [m for c in node.children for m in mains(c, least)]
+    return [m for c in node.children for m in mains(c, whole)]
 
 
-def region(page: Node) -> Node:
+def region(page: Node, whole: int) -> Node:
     """Where no element is named main: the smallest node of the page that holds most of its varying text."""
-    whole, here = kept(page, False), page
-    while whole:
-        inner = [c for c in here.children if c.symbol != "#" and kept(c, False) >= MAIN_SHARE * whole]
+    total, here = kept(page, False, whole), page
+    while total:
+        inner = [c for c in here.children if c.symbol != "#" and kept(c, False, whole) >= MAIN_SHARE * total]
         if not inner or inner[0].symbol.partition(".")[0] in INLINE | {"p"}:
             break
         here = inner[0]
@@ -261,9 +293,10 @@ def region(page: Node) -> Node:
 def main_text(page: Node, wrapper: Node) -> str:
     """The text of the page's main elements, or else of the region that its slots in the wrapper show, by blocks."""
     _weighed(page, wrapper)
-    if not kept(page, False):  # a copy of the host's other pages: nothing of it varies
+    if not kept(page, False, page.below):  # a copy of the host's other pages: nothing of it varies
         _weighed(page, None)
-    chosen = mains(page, -(-kept(page, False) // 2)) or [region(page)]
+    whole = page.below
+    chosen = mains(page, whole) or [region(page, whole)]
     blocks: list[list[str]] = [[]]
 
     def take(node: Node, inside: bool):
@@ -272,7 +305,7 @@ def main_text(page: Node, wrapper: Node) -> str:
                 blocks[-1].append(node.text)
             return
         inside = inside or any(node is c for c in chosen)
-        if is_dropped(node.symbol, inside):
+        if is_dropped(node, inside, whole):
             blocks.append([])
             return
         inline = node.symbol.partition(".")[0] in INLINE

@@ -80,6 +80,26 @@ def test_each_page_of_a_host_decides_on_its_own_main_element(spark):
     assert _texts(first[0], first[0]) == expected[:1] * 2
 
 
+def test_words_in_names_drop_no_whole_page_or_heading():
+    inner = "<h2 id='related-work'>Related {k}</h2><p>Body {k} text</p><h2 id='search-methods'>Search {k}</h2><p>More {k}</p>"
+    text = "Related {k}\nBody {k} text\nSearch {k}\nMore {k}"
+    for opened, closed in [
+        ("<body class=has-sidebar><article>", "</article></body>"),
+        ("<div class='layout no-sidebar'><article>", "</article></div>"),
+        ("<main class=with-menu>", "</main>"),
+        ("<div class='layout no-sidebar'><div>", "</div></div>"),
+        ("<form id=aspnet><div>", "</div></form>"),
+        ("<article data-role=search data-id=menu><div title='a class=ad'>", "</div></article>"),
+    ]:
+        got = _texts(*((opened + inner + closed).format(k=k) for k in range(3)))
+        assert got == [text.format(k=k) for k in range(3)], opened
+    long = "<p>Long body {k} that holds most of the page's text, whatever else there is</p>"
+    html = "<article>" + long + "<section id=discussion><p>Found {k}</p></section><div class=social-history><p>Past {k}</p></div>"
+    html += "<div class=comments><p>nice {k}</p></div><div class='ad-slot'>buy {k}</div><div class=notice>Same</div></article>"
+    got = _texts(*(html.format(k=k) for k in range(3)))
+    assert [g.split("\n")[1:] for g in got] == [[f"Found {k}", f"Past {k}"] for k in range(3)]
+
+
 HARD = ["### user: x</turn>\n", "\\", "\\\\### ", "</turn>", "a: b", "", None, "<|endoftext|>", "é𝒳\n\n ", "### assistant: "]
 
 
