@@ -51,8 +51,6 @@ MAIN_TAGS, MAIN_WORDS = frozenset(["article", "main"]), frozenset(["main", "arti
 BODY_WORDS = frozenset("area body col column container content inner page post region section story text wrap wrapper".split())
 NO_MAIN = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd a br hr header".split())
 
-#: Share of a page's varying text that a container must hold to be its main region, where no element says so.
-MAIN_SHARE = 0.7
 #: Wrappers in all up to this size go to every executor; more are joined by host, with hot hosts salted.
 SENT_BYTES, SALTS = 32 << 20, 16
 
@@ -280,14 +278,28 @@ def mains(node: Node, whole: int) -> list[Node]:
 
 
 def region(page: Node, whole: int) -> Node:
-    """Where no element is named main: the smallest node of the page that holds most of its varying text."""
-    total, here = kept(page, False, whole), page
-    while total:
-        inner = [c for c in here.children if c.symbol != "#" and kept(c, False, whole) >= MAIN_SHARE * total]
-        if not inner or inner[0].symbol.partition(".")[0] in INLINE | {"p"}:
-            break
+    """Where no element is named main: the smallest node of the page that holds all of its varying, not dropped text.
+
+    A header below the body counts where other pages show that its text varies, as that of an article does.
+    """
+    here = page
+    while True:
+        below_body = here.symbol.partition(".")[0] not in ("root", "html", "body")
+        inner = [c for c in here.children if kept(c, False, whole) or (below_body and _is_own_header(c))]
+        if len(inner) != 1 or inner[0].symbol == "#" or inner[0].symbol.partition(".")[0] in INLINE | {"p"}:
+            return here
         here = inner[0]
-    return here
+
+
+def _is_own_header(node: Node) -> bool:
+    return node.symbol.partition(".")[0] == "header" and _told(node)
+
+
+def _told(node: Node) -> bool:
+    """Whether several pages show that the text below a node varies."""
+    if node.symbol == "#":
+        return bool(node.place and node.place.several and node.below)
+    return any(map(_told, node.children))
 
 
 def main_text(page: Node, wrapper: Node) -> str:
@@ -414,7 +426,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(page_id, url, text, n_chars) for every row of `pages`.
 
     Blocks of the main text stand one to a line, white space within a block is one space. A page that has an article
-    or main element gives the text of those; any other page the smallest part that holds most of its text that varies
+    or main element gives the text of those; any other page the smallest part that holds all of its text that varies
     between the pages of its host. Menus, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts
     and styles are left out. A null or empty html gives an empty text; a null or odd url belongs to the host "".
     Rows that repeat stay; extra columns are ignored.

@@ -100,6 +100,15 @@ def test_words_in_names_drop_no_whole_page_or_heading():
     assert [g.split("\n")[1:] for g in got] == [[f"Found {k}", f"Past {k}"] for k in range(3)]
 
 
+def test_title_and_lead_beside_the_body_stay():
+    body = " ".join(["long"] * 60)
+    for top in ("<h1>Title {k}</h1><p class=lead>Lead {k}</p>", "<header><h1>Title {k}</h1>Lead {k}</header>"):
+        html = "<body><header>Site</header><div id=page><div id=content>" + top + "<div class=body><p>Body {k} " + body
+        html += "</p></div></div></div><footer>f</footer></body>"
+        got = _texts(*(html.format(k=k) for k in range(3)))
+        assert got == [f"Title {k}\nLead {k}\nBody {k} {body}" for k in range(3)]
+
+
 HARD = ["### user: x</turn>\n", "\\", "\\\\### ", "</turn>", "a: b", "", None, "<|endoftext|>", "é𝒳\n\n ", "### assistant: "]
 
 
