@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 from zlib import crc32
 
@@ -51,6 +52,11 @@ MAIN_TAGS, MAIN_WORDS = frozenset(["article", "main"]), frozenset(["main", "arti
 BODY_WORDS = frozenset("area body col column container content inner page post region section story text wrap wrapper".split())
 NO_MAIN = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd a br hr header".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FLOWING, PARTS = INLINE | {"br"}, SAME_CLOSES | {"ul", "ol", "dl", "table", "caption"}
+
+#: Least share of varying text in a page's main text: with less, pages are copies of each other, and all of it stays.
+LEAST_VARYING = 0.25
 #: Wrappers in all up to this size go to every executor; more are joined by host, with hot hosts salted.
 SENT_BYTES, SALTS = 32 << 20, 16
 
@@ -73,7 +79,9 @@ class Node:
     def __init__(self, symbol: str, text: str = ""):
         self.symbol, self.text, self.children = symbol, text, []
         self.optional = self.repeated = False
-        self.chars, self.constant = len(text), text
+        self.chars = len(text)
+        # A place's texts (their hashes) that every page with it has there; None for none.
+        self.constant = None
         # A number of the page it is from, or of one of them, and whether different pages have it.
         self.page, self.several = 0, False
 
@@ -177,16 +185,17 @@ def _aligned(one: list[Node], two: list[Node]) -> Iterator[tuple[Node | None, No
             j += 1
 
 
-def merge(one: Node, two: Node) -> Node:
-    """The wrapper of two: what only one of them has is optional, what either repeats is repeated."""
+def merge(one: Node, two: Node, within: bool = False) -> Node:
+    """The wrapper of two: what only one of them has is optional, what either repeats is repeated. `within` a page, all texts are its own."""
     out = Node(one.symbol)
     out.optional, out.repeated = one.optional or two.optional, one.repeated or two.repeated
     out.chars = one.chars + two.chars
     out.page, out.several = one.page, one.several or two.several or one.page != two.page
-    out.constant = one.constant if one.constant == two.constant else None
+    if one.constant and two.constant:
+        out.constant = one.constant | two.constant if within and not out.several else one.constant & two.constant or None
     for a, b in _aligned(one.children, two.children):
         if a and b:
-            out.children.append(merge(a, b))
+            out.children.append(merge(a, b, within))
         else:
             alone = a or b
             alone.optional = True
@@ -202,7 +211,7 @@ def _folded(nodes: list[Node], widest: int = 6) -> list[Node]:
         while at + 2 * width <= len(nodes):
             first, second = nodes[at : at + width], nodes[at + width : at + 2 * width]
             if [a.symbol for a in first] == [b.symbol for b in second]:
-                joined = [merge(a, b) for a, b in zip(first, second)]
+                joined = [merge(a, b, True) for a, b in zip(first, second)]
                 for node in joined:
                     node.repeated = True
                 nodes = nodes[:at] + joined + nodes[at + 2 * width :]
@@ -215,15 +224,21 @@ def generalised(page: Node, number: int = 0) -> Node:
     """A page as the first guess of a wrapper: its repeated parts folded, what is never main text cut short."""
     out = Node(page.symbol, page.text)
     out.page = number
+    out.constant = frozenset([_hash(page.text)]) if page.symbol == "#" else None
     children = [c for c in page.children if c.symbol != "_"]
     if page.symbol.partition(".")[0] not in DROPPED - HOLDERS:
         out.children = _folded([generalised(c, number) for c in children])
     return out
 
 
+def _hash(text: str) -> int:
+    """A number of 48 bits for a text, whatever its white space."""
+    return int.from_bytes(blake2b(" ".join(text.split()).encode("utf-8", "replace"), digest_size=6).digest())
+
+
 def to_json(node: Node) -> list:
     flags = node.optional + 2 * node.repeated + 4 * node.several
-    constant = node.constant if node.constant is None or len(node.constant) <= 200 else f"{len(node.constant)}:{crc32(node.constant.encode())}"
+    constant = sorted(node.constant) if node.constant else None
     return [node.symbol, flags, node.chars, constant, node.page, [to_json(c) for c in node.children]]
 
 
@@ -231,32 +246,39 @@ def from_json(value: list) -> Node:
     node = Node(value[0])
     node.optional, node.repeated = bool(value[1] & 1), bool(value[1] & 2)
     node.several = bool(value[1] & 4)
-    node.chars, node.constant, node.page = value[2], value[3], value[4]
+    node.chars, node.constant, node.page = value[2], frozenset(value[3]) if value[3] else None, value[4]
     node.children = [from_json(c) for c in value[5]]
     return node
 
 
 def _weighed(node: Node, place: Node | None) -> None:
-    """Give each node of a page its place in the wrapper, and the characters of varying text below it."""
+    """Give each node of a page its place in the wrapper, and the characters of all and of varying text below it."""
     node.place, node.below, node.holds_main = place, 0, False
     if node.symbol == "#":
-        node.below = len(node.text.strip()) if _varies(place) else 0
+        node.chars = len(node.text.strip())
+        node.below = node.chars if _varies(node, place) else 0
         return
     tag = node.symbol.partition(".")[0]
     places = iter(_placed(node.children, place.children if place else []))
+    node.chars = 0
     for child in node.children:
-        _weighed(child, None if child.symbol == "_" else next(places))
+        if child.symbol == "_":
+            child.chars = child.below = 0
+            child.place, child.holds_main = None, False
+            continue
+        _weighed(child, next(places))
+        node.chars += child.chars
         node.below += child.below
         node.holds_main |= child.holds_main
     if tag in DROPPED and tag not in HOLDERS:
-        node.below, node.holds_main = 0, False
-    elif tag in MAIN_TAGS and node.below:
+        node.chars, node.below, node.holds_main = 0, 0, False
+    elif tag in MAIN_TAGS and node.chars:
         node.holds_main = True
 
 
-def _varies(place: Node | None) -> bool:
-    """Whether text at a place may be the page's own: not the same on several pages."""
-    return place is None or place.constant is None or not place.several
+def _varies(node: Node, place: Node | None) -> bool:
+    """Whether a text may be the page's own: not one that all of several pages have at its place."""
+    return place is None or not place.several or not place.constant or _hash(node.text) not in place.constant
 
 
 def kept(node: Node, in_main: bool, whole: int) -> int:
@@ -271,8 +293,7 @@ def mains(node: Node, whole: int) -> list[Node]:
     if node.symbol in ("#", "_") or is_dropped(node, False, whole):
         return []
     if is_main(node.symbol):
-        held = kept(node, True, whole)
-        if held and (2 * held >= whole or node.symbol.partition(".")[0] in MAIN_TAGS):
+        if node.chars and (node.symbol.partition(".")[0] in MAIN_TAGS or 2 * kept(node, True, whole) >= max(whole, 1)):
             return [node]
     return [m for c in node.children for m in mains(c, whole)]
 
@@ -302,13 +323,61 @@ def _told(node: Node) -> bool:
     return any(map(_told, node.children))
 
 
+def _amounts(node: Node, whole: int) -> tuple[int, int]:
+    """Characters of varying and of all text below a node of the main text that are not dropped."""
+    if node.symbol in ("#", "_"):
+        return node.below, node.chars
+    if is_dropped(node, True, whole):
+        return 0, 0
+    parts = [_amounts(c, whole) for c in node.children]
+    return sum(p[0] for p in parts), sum(p[1] for p in parts)
+
+
+def _rank(node: Node) -> int:
+    """1 to 6 for a heading, or what holds only one; else 0."""
+    tag = node.symbol.partition(".")[0]
+    if tag in HEADINGS:
+        return int(tag[1])
+    said = [c for c in node.children if c.chars]
+    return _rank(said[0]) if len(said) == 1 and said[0].symbol != "#" else 0
+
+
+def _own(nodes: list[Node], parts: bool) -> Iterator[bool]:
+    """For each of the main text's neighbouring nodes whether it is the page's own, not the same on several pages.
+
+    It is so with any varying text below it. Text and inline elements count as far as they run on, and alone only
+    beside blocks. A heading belongs to what follows it, up to the next one of its rank; items and cells (`parts`)
+    belong to their list or table.
+    """
+    block = [n.symbol not in ("#", "_") and n.symbol.partition(".")[0] not in FLOWING for n in nodes]
+    if not any(block):
+        yield from [True] * len(nodes)
+        return
+    for k, node in enumerate(nodes):
+        if parts or node.below or (block[k] and node.symbol.partition(".")[0] in PARTS):
+            yield True
+        elif block[k]:
+            rank, own = _rank(node), False
+            for after in nodes[k + 1 :] if rank else []:
+                if own or 0 < _rank(after) <= rank:
+                    break
+                own = after.below > 0
+            yield own
+        else:
+            low = next((i + 1 for i in range(k, -1, -1) if block[i]), 0)
+            high = next((i for i in range(k, len(nodes)) if block[i]), len(nodes))
+            yield any(n.below for n in nodes[low:high])
+
+
 def main_text(page: Node, wrapper: Node) -> str:
-    """The text of the page's main elements, or else of the region that its slots in the wrapper show, by blocks."""
+    """The text of the varying slots of the page's main elements, or else of its region in the wrapper, by blocks."""
     _weighed(page, wrapper)
     if not kept(page, False, page.below):  # a copy of the host's other pages: nothing of it varies
         _weighed(page, None)
     whole = page.below
     chosen = mains(page, whole) or [region(page, whole)]
+    amounts = [_amounts(c, whole) for c in chosen]
+    copied = sum(a[0] for a in amounts) < LEAST_VARYING * sum(a[1] for a in amounts)
     blocks: list[list[str]] = [[]]
 
     def take(node: Node, inside: bool):
@@ -320,11 +389,16 @@ def main_text(page: Node, wrapper: Node) -> str:
         if is_dropped(node, inside, whole):
             blocks.append([])
             return
-        inline = node.symbol.partition(".")[0] in INLINE
+        tag = node.symbol.partition(".")[0]
+        inline = tag in INLINE
         if not inline:
             blocks.append([])
-        for child in node.children:
-            take(child, inside)
+        every = [True] * len(node.children)
+        for child, own in zip(node.children, _own(node.children, tag in PARTS) if inside and not copied else every):
+            if own:
+                take(child, inside)
+            else:
+                blocks.append([])
         if not inline:
             blocks.append([])
 
@@ -427,7 +501,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Blocks of the main text stand one to a line, white space within a block is one space. A page that has an article
     or main element gives the text of those; any other page the smallest part that holds all of its text that varies
-    between the pages of its host. Menus, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts
+    between the pages of its host. Of both, blocks that are the same on all pages that have their place in the wrapper
+    (two different ones at least) are left out: share lines, notices. Headings of what stays, items of lists and cells
+    stay, and so does all of a page of which less than a quarter varies, as it is a copy of others. Menus, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts
     and styles are left out. A null or empty html gives an empty text; a null or odd url belongs to the host "".
     Rows that repeat stay; extra columns are ignored.
     """

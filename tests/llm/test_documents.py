@@ -109,6 +109,25 @@ def test_title_and_lead_beside_the_body_stay():
         assert got == [f"Title {k}\nLead {k}\nBody {k} {body}" for k in range(3)]
 
 
+def test_what_all_pages_say_inside_the_article_is_left_out(spark):
+    html = (
+        "<article>Printed from our site<h1>Title {k}</h1><p>Share this with friends</p><p>First {k} words of it here</p>"
+        "<h2>Method</h2><p>Second {k} words<br>same line</p><ul><li>one {k}<li>two</ul><div class=foo>All rights kept</div>"
+        "<h2>Elsewhere</h2><p>Our shop</p></article>"
+    )
+    expected = "Title {k}\nFirst {k} words of it here\nMethod\nSecond {k} words\nsame line\none {k}\ntwo"
+    for n in (2, 5):
+        assert _texts(*(html.format(k=k) for k in range(n))) == [expected.format(k=k) for k in range(n)]
+    whole = "Printed from our site\nTitle 1\nShare this with friends\nFirst 1 words of it here\nMethod\nSecond 1 words\nsame line"
+    whole += "\none 1\ntwo\nAll rights kept\nElsewhere\nOur shop"
+    assert _texts(html.format(k=1), html.format(k=1)) == [whole] * 2  # one page, given twice
+    long = "<article><p>Number {k}</p>" + "".join(f"<p>Paragraph {i} of a text that is copied</p>" for i in range(8)) + "</article>"
+    assert [t.count("\n") for t in _texts(*(long.format(k=k) for k in range(3)))] == [8] * 3
+    rows = [(k, "http://a", html.format(k=k)) for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r["page_id"]: r["text"] for r in pages.extract(df).collect()} == {k: expected.format(k=k) for k in range(40)}
+
+
 HARD = ["### user: x</turn>\n", "\\", "\\\\### ", "</turn>", "a: b", "", None, "<|endoftext|>", "é𝒳\n\n ", "### assistant: "]
 
 
