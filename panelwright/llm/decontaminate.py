@@ -14,7 +14,7 @@ from panelwright.llm.shared import settle, short_batches
 from panelwright.llm.text import pieces, utf8, word_hashes, word_spans
 
 #: Words of a block, the step of the windows; windows are these numbers of blocks long.
-BLOCK, SCALES = 8, (2, 3, 4, 6, 8, 12, 16)
+BLOCK, SCALES = 8, (1, 2, 3, 4, 6, 8, 12, 16)
 #: Hash values that words are told apart by, and the most of them that items may use as columns of their own.
 BUCKETS, COLUMNS = 1 << 16, 1 << 12
 #: Latent dimensions, and more that the random start takes along.
@@ -25,6 +25,8 @@ ROUND_ITEMS = 4_000
 LEAST_COSINE, LEAST_COMMON, LEAST_WITH_ANSWER = 0.6, 0.6, 0.45
 #: Items of fewer words must be there whole.
 SHORT = 8
+#: Neighbouring words of a seed, seeds of an item at most, and seeds that are looked at at once.
+SEED, SEEDS, SEEDS_AT_ONCE = 4, 4, 20_000
 
 _WORD = np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
@@ -233,6 +235,48 @@ def _holds(words: np.ndarray, answer: np.ndarray) -> bool:
     return any(np.array_equal(words[k : k + n], answer) for k in np.flatnonzero(words[: len(words) - n + 1] == answer[0]))
 
 
+def _seeds(words: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length of seeds, up to four words: sorted seeds, their items, and their places in them.
+
+    A shorter item is one seed; others have the least usual seed of each of some equal parts. So whatever holds an
+    item word for word holds all of its seeds.
+    """
+    usual = np.bincount(np.concatenate(words), minlength=COLUMNS)
+    codes = [_codes(w, min(SEED, len(w))) for w in words]
+    many: dict[int, int] = {}
+    for own in codes:
+        for code in set(own.tolist()):
+            many[code] = many.get(code, 0) + 1
+    out: dict[int, list[tuple[int, int, int]]] = {}
+    for k, (own, found) in enumerate(zip(words, codes)):
+        size = min(SEED, len(own))
+        parts = max(1, min(SEEDS, len(own) // SEED))
+        for part in range(parts):
+            places = range(part * len(found) // parts, (part + 1) * len(found) // parts)
+            at = min(places, key=lambda a: (many[int(found[a])], usual[own[a : a + size]].min(), usual[own[a : a + size]].sum()))
+            out.setdefault(size, []).append((int(found[at]), k, at))
+    return {size: tuple(np.array(sorted(rows), np.int64).T) for size, rows in out.items()}
+
+
+def _codes(column: np.ndarray, size: int) -> np.ndarray:
+    """A number for each run of `size` columns, which are fewer than 4,096."""
+    n = max(len(column) - size + 1, 0)
+    code = np.zeros(n, np.int64)
+    for k in range(size):
+        code = code * COLUMNS + column[k : k + n]
+    return code
+
+
+def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pieces of a sequence whose running sums `ends` gives, of few seeds each or of one member."""
+    a = 0
+    while a < len(ends):
+        before = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + SEEDS_AT_ONCE, "right")))
+        yield a, b
+        a = b
+
+
 def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
     """Read rows to the confirmed (doc_id, item_id, share, cosine, …)."""
     words = [table[(i.words % np.uint64(BUCKETS)).astype(np.int64)] for i in items]
@@ -245,12 +289,14 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
         masks.append(mask)
     groups = []
     for scale in SCALES:
-        mine = [k for k, item in enumerate(items) if item.scale == scale]
+        # The shortest items are searched for in windows of one block and, as their words may stand apart, of two.
+        mine = [k for k, item in enumerate(items) if item.scale == scale or (scale == 2 and item.scale == 1)]
         if mine:
             vectors = np.stack([latent[words[k]].sum(0) for k in mine])
             norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
             groups.append((scale, np.array(mine), np.ascontiguousarray((vectors / norms).T)))
     pad = groups[-1][0]
+    seeds = _seeds(words)
     # How often an item has each column, and which columns its answer has.
     width = len(latent)
     times = np.stack([np.minimum(np.bincount(w, minlength=width), 255).astype(np.uint8) for w in words])
@@ -272,6 +318,25 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
         whole = np.bincount(pair, asked[item[pair], found], len(item)) >= asked[item].sum(1)
         return (common >= least[item]) | (whole & (common >= with_answer[item]))
 
+    scales = np.array([max(item.scale, 2) for item in items])
+
+    def seeded(column, block, blocks, known):
+        """(items, blocks) where the items would start, of the seeds that rows hold."""
+        row_of = np.searchsorted(blocks, block, "right") - 1
+        for size, (codes, item, place) in seeds.items():
+            own = _codes(column, size)
+            first, stop = np.searchsorted(codes, own, "left"), np.searchsorted(codes, own, "right")
+            hit = np.flatnonzero((stop > first) & (row_of[: len(own)] == row_of[size - 1 : size - 1 + len(own)]))
+            times = stop[hit] - first[hit]
+            ends = np.cumsum(times)
+            for a, b in _slices(ends):
+                many = times[a:b]
+                at = np.repeat(hit[a:b], many)
+                seed = np.arange(len(at)) - np.repeat(np.cumsum(many) - many - first[hit[a:b]], many)
+                start = np.maximum(at - place[seed], known[blocks[row_of[at]]])
+                both = np.unique(np.stack([item[seed], block[start]]), axis=1)
+                yield both[0], both[1]
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -280,6 +345,22 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
                 best: dict[tuple[int, int], tuple] = {}
                 if not len(column):
                     continue
+
+                def confirm(k, row, at, own, cosine, window=None):
+                    """Keep the window if enough of the item stands in it, in order, and more than in those before."""
+                    before = best.get((row, k), (0, 0))[1]
+                    if before == len(words[k]):
+                        return
+                    common = common_length(own, masks[k], len(words[k]))
+                    if common <= before:
+                        return
+                    held = common >= with_answer[k] and _holds(own, answers[k])
+                    if common >= least[k] or held:
+                        if cosine is None:
+                            one, two = latent[window].sum(0), latent[words[k]].sum(0)
+                            cosine = one @ two / max(float(np.linalg.norm(one) * np.linalg.norm(two)), 1e-12)
+                        best[row, k] = (float(cosine), common, held, int(at - blocks[row]) * BLOCK)
+
                 n = int(blocks[-1])
                 sums = np.zeros((n, latent.shape[1]), np.float32)
                 known = np.searchsorted(block, np.arange(n + 1))
@@ -303,14 +384,16 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
                     low = known[np.maximum(at - 1, blocks[row_of])]
                     high = known[np.minimum(at + scale + 1, n)]
                     for c in np.flatnonzero(possible(mine[m], low, high, column)) if len(at) else ():
-                        k, row = int(mine[m[c]]), int(row_of[c])
-                        own = column[low[c] : high[c]]
-                        common = common_length(own, masks[k], len(words[k]))
-                        if common <= best.get((row, k), (0, 0))[1]:
-                            continue
-                        held = common >= with_answer[k] and _holds(own, answers[k])
-                        if common >= least[k] or held:
-                            best[row, k] = (float(near[at[c], m[c]]), common, held, int(at[c] - blocks[row]) * BLOCK)
+                        confirm(int(mine[m[c]]), int(row_of[c]), int(at[c]), column[low[c] : high[c]], near[at[c], m[c]])
+                # The cosine may miss a passage among rarer words, or one shorter than its window; its seeds do not.
+                for k, at in seeded(column, block, blocks, known):
+                    row_of = np.searchsorted(blocks, at, "right") - 1
+                    scale = scales[k]
+                    low = known[np.maximum(at - 1, blocks[row_of])]
+                    high = known[np.minimum(at + scale + 1, n)]
+                    for c in np.flatnonzero(possible(k, low, high, column)):
+                        own = column[known[at[c]] : known[min(at[c] + scale[c], n)]]
+                        confirm(int(k[c]), int(row_of[c]), int(at[c]), column[low[c] : high[c]], None, own)
                 of_item: dict[tuple[int, int], tuple] = {}
                 for (row, k), (cosine, common, held, start) in best.items():
                     share = common / len(words[k])
@@ -335,7 +418,9 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, share, cosine, common_words, item_words, answer, start_word): items that documents hold.
 
-    Every window of every document is compared with every item of its length in the latent space; candidates need
+    Every window of every document is compared with every item of its length in the latent space. Besides, what holds
+    one of an item's seeds (runs of four words, or a shorter item whole) is a candidate whatever its cosine, so an item
+    that is there word for word is always found. Candidates need
     60 in 100 of the item's words in order, or 45 and its answer word for word (words that
     no item has are passed over). The documents are read once, to the numbers of the words that items have. There is one row for a row of
     `docs` and an item, with the window that has most of it (share of the item's words in order). Items are read

@@ -190,6 +190,20 @@ def test_leaks_are_found_and_clean_documents_left(spark, docs_of):
     assert decontaminate.find_leaks(docs_of("a"), benchmark.limit(0)).count() == 0
 
 
+def test_verbatim_items_of_any_length_are_found(spark, docs_of):
+    source = random.Random(16)
+    pool = [f"w{int(source.paretovariate(0.7)) % 20000}" for _ in range(60000)]
+    items = [_words(source, source.choice([3, 4, 6, 8, 9, 15, 17, 33, 64, 100, 128]), pool) for _ in range(1200)]
+    texts = []
+    for k in range(0, 1200, 4):
+        parts = [w for item in items[k : k + 4] for w in _words(source, source.randint(0, 60), pool) + item]
+        texts.append(" ".join(parts))
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs_of(*texts), benchmark).collect()}
+    brute = {(d, k) for d, t in enumerate(texts, 1) for k, i in enumerate(items) if f" {' '.join(i)} " in f" {t} "}
+    assert len(brute) >= 1200 and brute <= found
+
+
 def test_common_length_equals_the_table():
     source = random.Random(8)
     for _ in range(200):
