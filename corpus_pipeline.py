@@ -22,11 +22,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id (five words, 80 in 100).
 
-    Documents without words and rows without a doc_id stay.
+    Documents without words and rows without a doc_id stay. Rows are told apart by doc_id and text, and one of equal
+    rows is kept.
     """
-    found = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(keyed, id_col="_row", words=5, percent=80).where("n_shingles > 0")
+    grouped = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    rows = keyed.where("doc_id is not null").groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    members = settle(grouped.join(rows, "_row"))
+    least = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("least"))
+    members = settle(members.join(least, "component_id").select("_row", "n", (F.col("_row") == F.col("least._row")).alias("kept")))
+    rest = keyed.join(members.where("not kept or n > 1").select("_row"), "_row", "left_anti")
+    once = keyed.join(members.where("kept and n > 1").select("_row"), "_row", "left_semi").dropDuplicates(["_row"])
+    return rest.union(once.select(rest.columns)).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

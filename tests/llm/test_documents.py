@@ -349,6 +349,15 @@ def test_pipeline_keeps_what_no_stage_rejects(spark, tmp_path):
     assert {r["doc_id"] for r in out} == set(kept)
 
 
+def test_copies_are_told_apart_by_id_and_text(docs_of):
+    one, two, three, same = (" ".join(f"{p}{k}" for k in range(30)) for p in "abcd")
+    docs = docs_of(one, one, two, three, same, same, one, None, None, "", ids=[3, 5, 5, 6, 7, 7, None, 8, 8, 9])
+    out = corpus_pipeline.drop_copies(docs.sparkSession, docs, "")
+    assert out.columns == docs.columns
+    expected = [(3, one), (5, two), (6, three), (7, same), (None, one), (8, None), (8, None), (9, "")]
+    assert sorted(map(str, [(r["doc_id"], r["text"]) for r in out.collect()])) == sorted(map(str, expected))
+
+
 @pytest.mark.skipif(not Path(SMALL).is_dir(), reason="test tables are not here")
 def test_queries_on_the_test_tables(spark):
     import __spark_entry__
