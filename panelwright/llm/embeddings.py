@@ -231,8 +231,8 @@ def near_duplicates(
     become rows: a task returns each vector's number of links and one vector that it is joined to.
 
     Equal vectors are one vector with a number of copies from the start. Vectors that are null, zero, or hold null or
-    non-finite components link with nothing, and so do those not as long as most (ties: the longest). Rows that
-    repeat a vec_id count as rows of their own. A null vec_id never names a component, and such rows are kept. Extra
+    non-finite components link with nothing. Only vectors of one length are compared, each length by a join of its
+    own. Rows that repeat a vec_id count as rows of their own. A null vec_id never names a component, and such rows are kept. Extra
     columns are ignored.
     """
     single = vectors.schema[vec_col].dataType.simpleString() == "array<float>"
@@ -241,9 +241,25 @@ def near_duplicates(
         F.col(vec_col).cast("array<float>" if single else "array<double>").alias("embedding"),
     )
     rows = source.mapInArrow(_packed("f4" if single else "f8"), "vec_id long, vec binary, dims int")
-    lengths = rows.where("dims is not null").groupBy("dims").count().orderBy(F.desc("count"), F.desc("dims")).first()
-    dims = lengths["dims"] if lengths else 1
-    rows = rows.withColumn("key", F.when(F.col("dims") == dims, F.xxhash64("vec")))
+    # A vector alone of its length links with nothing.
+    lengths = rows.where("dims is not null").groupBy("dims").count().where("count > 1").orderBy("dims").collect()
+    rows = rows.withColumn("key", F.when(F.col("dims").isNotNull(), F.xxhash64("dims", "vec")))
+    named = nothing = vectors.sparkSession.createDataFrame([], "key long, n_links long, component_id long")
+    for length in lengths:
+        own = _named(rows.where(F.col("dims") == length["dims"]), length["dims"], cosine, blocks)
+        named = own if named is nothing else named.union(own)
+    out = rows.select("vec_id", "key").join(named, "key", "left")
+    own = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return out.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("vec_id").isNotNull(), own).alias("component_id"),
+        F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"),
+    )
+
+
+def _named(rows: DataFrame, dims: int, cosine: float, blocks: int) -> DataFrame:
+    """(key, n_links, component_id) of the distinct vectors of one length."""
     classes = settle(
         rows.where("key is not null")
         .groupBy("key", "vec")
@@ -298,12 +314,4 @@ def near_duplicates(
         )
     )
     least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    named = named.join(least, "component").select("key", "n_links", "component_id")
-    out = rows.select("vec_id", "key").join(named, "key", "left")
-    own = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNotNull(), own).alias("component_id"),
-        F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"),
-    )
+    return named.join(least, "component").select("key", "n_links", "component_id")

@@ -116,6 +116,18 @@ def test_vectors_equal_brute_force(spark, kind):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_each_length_are_linked(spark):
+    random_ = np.random.default_rng(7)
+    vectors, expected = [], {}
+    for dims, n in ((6, 5), (9, 3), (4, 2), (7, 1)):
+        first, base = len(vectors), random_.normal(size=dims)
+        vectors += [(base + random_.normal(size=dims) * 0.001).tolist() for _ in range(n - 1)] + [base.tolist()]
+        expected |= {first + k: (n - 1, first, k == 0) for k in range(n)}
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    rows = embeddings.near_duplicates(df).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows} == expected
+
+
 def test_large_cells_are_compared_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "SIDE_ROWS", 16)
     random_ = np.random.default_rng(9)
