@@ -22,8 +22,10 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: A run of the alphabet of this length is judged by the models.
 RANDOM_LEAST = 20
-#: Least log-likelihood ratio of a run for each of its pairs of characters, and in all. It must also hold a digit.
+#: Least log-likelihood ratio of a run for each of its pairs of characters, and in all.
 MEAN_RATIO, WHOLE_RATIO = 1.0, 20.0
+#: The same for each pair of a run without a digit, as long identifiers are, and how many different letters it must have.
+DIGITLESS_RATIO, DIGITLESS_LETTERS = 2.0, 8
 #: Pairs that each character is thought to have been seen in beforehand, spread as single characters are; these are each
 #: thought to have been seen once. So an unseen pair is possible, and no sample at all means even odds.
 PRIOR = 10.0
@@ -70,6 +72,13 @@ def _has_digit(text: str) -> bool:
     return any(c in "0123456789" for c in text)
 
 
+def _least_mean(text: str) -> float:
+    """Least log-likelihood ratio of each pair; lines of dashes and the like are never random."""
+    if _has_digit(text):
+        return MEAN_RATIO
+    return DIGITLESS_RATIO if len({c for c in text if c.isalpha()}) >= DIGITLESS_LETTERS else float("inf")
+
+
 def _candidates(data: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
     """Whether each row has a run of the alphabet of at least this length."""
     inside = np.zeros(256, bool)
@@ -107,7 +116,7 @@ def _count_pairs() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
                 for k in np.flatnonzero(likely):
                     text = part[k]
                     known = {s[3:] for s in scan(text)}
-                    open_ = {m.span() for m in run.finditer(text) if _has_digit(m[0])}
+                    open_ = {m.span() for m in run.finditer(text) if _least_mean(m[0]) < float("inf")}
                     for a, b in known:
                         np.add.at(totals[1], pairs(text[a:b]), 1)
                     # What may be a secret is no sample of ordinary text, found by the patterns or not.
@@ -127,7 +136,7 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio of each pair of neighbouring characters, random string over ordinary text.
 
     The labelled samples are the texts themselves: what the base patterns find is random (1), the rest is ordinary (0)
-    but for long runs with digits, which may be either. Both models are first-order chains of characters, counted over every text; the driver gets
+    but for long runs that may be either. Both models are first-order chains of characters, counted over every text; the driver gets
     one number for each pair of the alphabet's 67 symbols.
     """
     width = len(ALPHABET) + 1
@@ -159,7 +168,7 @@ def scanner(ratios: np.ndarray) -> Callable[[str], list[tuple[int, int, int, str
         for m in run.finditer(text):
             codes = symbols[list(m[0].encode())]
             ratio = float(ratios[codes[:-1], codes[1:]].sum())
-            if ratio >= max(WHOLE_RATIO, MEAN_RATIO * (len(codes) - 1)) and _has_digit(m[0]):
+            if ratio >= max(WHOLE_RATIO, _least_mean(m[0]) * (len(codes) - 1)):
                 if not any(a < m.end() and m.start() < b for a, _, b, _, _ in base):
                     found.append((m.start(), 3, m.end(), KINDS[3], round(ratio / (len(codes) - 1), 6)))
         return sorted(found)
@@ -207,7 +216,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, found): the spans of every text, in order of start, then kind.
 
     Starts and ends count code points, ends exclusive. Base spans are those of the fixed patterns; a run of 20 or
-    more characters that the models call random and no base span touches is added as `random`. A null text counts
+    more characters that the models call random and no base span touches is added as `random`; one without a digit
+    needs twice the ratio, as identifiers are such runs. A null text counts
     as empty. Rows are neither merged nor dropped, whatever their doc_id; extra columns are ignored.
     """
     ratios = train(docs, text_col)

@@ -123,6 +123,21 @@ def test_random_strings_are_told_from_words(docs_of):
     assert len(found) >= 18
 
 
+def test_random_letters_are_told_from_identifiers(docs_of):
+    source = random.Random(2)
+    words = ["the", "quick", "brown", "configuration", "management", "internationalization", "of", "things", "Proxy", "Factory"]
+    plain = [" ".join(source.choices(words, k=80)) for _ in range(60)]
+    names = ["internationalizationConfigurationManagement", "quickBrownProxyFactoryManagement", "the_configuration_of_the_things"]
+    plain += [f"see {n} there" for n in names] + ["-" * 40, "=" * 40, "_" * 30, "ab" * 20]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hidden = ["see " + "".join(source.choices(letters, k=32)) + " there" for _ in range(40)]
+    samples = ["token = " + "".join(source.choices(letters + "0123456789", k=32)) for _ in range(60)]
+    rows = secret_scan.digest(docs_of(*plain, *hidden, *samples)).collect()
+    found = {r["doc_id"] for r in rows if r["n_random"]}
+    assert found <= set(range(len(plain) + 1, len(plain) + 41))
+    assert len(found) >= 36
+
+
 def test_redaction_keeps_rows_and_columns(docs_of):
     docs = docs_of("a token = abcdefgh1 b", None, "", "plain")
     out = secret_scan.redact(docs)
