@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, decontaminate, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity
+from panelwright.llm import chat, decontaminate, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(table(spark, folder, "documents"), capacity=2048)
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors on the 32 leading axes of their covariance, in units of deviation."""
+    return whitening.digest(table(spark, folder, "embeddings"), components=32)
