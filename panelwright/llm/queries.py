@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import chat, decontaminate, embeddings, minhash, packing, pages, pii, secret_scan, sharding, toxicity, whitening
+from panelwright.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    minhash,
+    packing,
+    pages,
+    phrases,
+    pii,
+    secret_scan,
+    sharding,
+    toxicity,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +103,9 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """All vectors on the 32 leading axes of their covariance, in units of deviation."""
     return whitening.digest(table(spark, folder, "embeddings"), components=32)
+
+
+@query
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrase fingerprints of all documents and their edited texts."""
+    return phrases.digest(table(spark, folder, "documents"))
