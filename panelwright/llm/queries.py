@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import (
     chat,
+    crosswalk,
     decontaminate,
     embeddings,
     minhash,
@@ -109,3 +110,9 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
 def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """Phrase fingerprints of all documents and their edited texts."""
     return phrases.digest(table(spark, folder, "documents"))
+
+
+@query
+def op13_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tokenizers aligned on all documents."""
+    return crosswalk.digest(table(spark, folder, "documents"))
