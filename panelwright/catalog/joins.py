@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelwright import functions as fn
 from panelwright.catalog.registry import query, rounded
-from panelwright.operators import join
+from panelwright.operators import intervals, join, ranges
 
 
 def _customers(t):
@@ -180,3 +180,113 @@ def interval_merge_left(t):
         fn.ratio("l_extendedprice", "level").alias("relative"),
     )
     return rounded(df, 6, "relative")
+
+
+LONG_INTERVALS = """WITH s AS (
+  SELECT p_partkey, DATE '1992-01-01' + CAST(p_partkey % 2500 AS INTEGER) AS lo, CAST(pow(3, p_partkey % 11) AS INTEGER) AS width,
+         p_size, p_retailprice FROM part),
+  v AS (SELECT p_size % 2 AS flag, lo, CASE WHEN p_partkey % 97 = 0 THEN DATE '9999-12-31' ELSE lo + width END AS hi,
+          p_partkey AS interval, p_retailprice FROM s),
+  o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS flag, CAST(o_orderdate AS DATE) AS day, o_orderkey, o_custkey
+        FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0) """
+
+
+def _long_intervals(t):
+    """Intervals of one day to a century, and without an end, on two keys; and the days to look up."""
+    lo = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("p_partkey") % 2500).cast("int"))
+    width = F.pow(F.lit(3), F.col("p_partkey") % 11).cast("int")
+    open_end = F.lit("9999-12-31").cast("date")
+    spans = t.part.select(
+        (F.col("p_size") % 2).alias("flag"),
+        lo.alias("lo"),
+        F.when(F.col("p_partkey") % 97 == 0, open_end).otherwise(F.date_add(lo, width)).alias("hi"),
+        F.col("p_partkey").alias("interval"),
+        "p_retailprice",
+    )
+    asked = (F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 2 == 0)
+    days = t.orders.filter(asked).select(
+        F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0).alias("flag"),
+        F.to_date("o_orderdate").alias("day"),
+        "o_orderkey",
+        "o_custkey",
+    )
+    return days, spans
+
+
+@query(
+    LONG_INTERVALS
+    + """SELECT o.flag, day, count(*) AS n, round(sum(p_retailprice), 2) AS price, min(interval) AS first, max(interval) AS last
+         FROM o JOIN v ON o.flag = v.flag AND day BETWEEN lo AND hi GROUP BY ALL"""
+)
+def interval_merge_any_width(t):
+    """Days joined to intervals of any width on two hot keys, without a tuned width."""
+    days, spans = _long_intervals(t)
+    joined = intervals.interval_merge(days, spans, "flag", "day", "lo", "hi")
+    return joined.groupBy("flag", "day").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("p_retailprice"), 2).alias("price"),
+        F.min("interval").alias("first"),
+        F.max("interval").alias("last"),
+    )
+
+
+@query(
+    INTERVALS
+    + """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, lo, hi, round(l_extendedprice / level, 6) AS relative
+         FROM lineitem LEFT JOIN v ON l_suppkey = s AND CAST(l_shipdate AS DATE) BETWEEN lo AND hi"""
+)
+def interval_merge_any_width_left(t):
+    """Every line item with the intervals it lies in, found without a tuned width."""
+    day = F.to_date("l_shipdate")
+    spans = t.lineitem.groupBy(F.col("l_suppkey"), F.year("l_shipdate").alias("y")).agg(
+        F.min(day).alias("lo"), F.round(F.avg("l_extendedprice"), 2).alias("level")
+    )
+    spans = spans.select("l_suppkey", "lo", F.date_add("lo", 200).alias("hi"), "level")
+    joined = intervals.interval_merge(t.lineitem.withColumn("day", day), spans, "l_suppkey", "day", "lo", "hi", "left")
+    df = joined.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "lo", "hi",
+        fn.ratio("l_extendedprice", "level").alias("relative"),
+    )
+    return rounded(df, 6, "relative")
+
+
+POSITIONS = """WITH l AS (
+  SELECT o_custkey AS k, o_orderkey, o_totalprice, row_number() OVER w AS i, count(*) OVER (PARTITION BY o_custkey) AS n
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+  r AS (
+  SELECT user_id AS k, event_id, value, row_number() OVER w AS i, count(*) OVER (PARTITION BY user_id) AS n
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  places AS (SELECT k, i FROM l UNION SELECT k, i FROM r),
+  ends AS (SELECT k, max(n) FILTER (side = 1) AS m, max(n) FILTER (side = 2) AS n
+           FROM (SELECT k, n, 1 AS side FROM l UNION ALL SELECT k, n, 2 FROM r) GROUP BY k) """
+
+
+def _orders_and_events(t):
+    o = t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey", "o_totalprice", "o_orderdate")
+    e = t.events.select(F.col("user_id").alias("k"), "event_id", "value", "ts")
+    return o, e
+
+
+@query(
+    POSITIONS
+    + """SELECT places.k, o_orderkey, o_totalprice, event_id, value FROM places JOIN ends ON places.k = ends.k
+         JOIN l ON l.k = places.k AND l.i = least(places.i, m) JOIN r ON r.k = places.k AND r.i = least(places.i, ends.n)"""
+)
+def merge_by_position(t):
+    """A customer's i-th order with its i-th event, the last of the shorter side repeating."""
+    o, e = _orders_and_events(t)
+    joined = ranges.positional_merge(o, e, "k", ["o_orderdate", "o_orderkey"], ["ts", "event_id"])
+    return joined.select("k", "o_orderkey", "o_totalprice", "event_id", "value")
+
+
+@query(
+    POSITIONS
+    + """SELECT places.k, o_orderkey, o_totalprice, event_id, value, CASE WHEN r.k IS NULL THEN 1 WHEN l.k IS NULL THEN 2 ELSE 3 END AS _merge
+         FROM places JOIN ends ON places.k = ends.k
+         LEFT JOIN l ON l.k = places.k AND l.i = least(places.i, m) LEFT JOIN r ON r.k = places.k AND r.i = least(places.i, ends.n)"""
+)
+def merge_by_position_full(t):
+    """The same, with the rows of keys that only one side has."""
+    o, e = _orders_and_events(t)
+    joined = ranges.positional_merge(o, e, "k", ["o_orderdate", "o_orderkey"], ["ts", "event_id"], "full", indicator="_merge")
+    return joined.select("k", "o_orderkey", "o_totalprice", "event_id", "value", "_merge")

@@ -202,3 +202,50 @@ def winsorize_year(t):
         F.year("l_shipdate").alias("year"),
     )
     return rounded(winsor.winsorize(li, ["price", "quantity"], ["year"]).drop("year"), 4, "price")
+
+
+SERIES = """WITH s AS (SELECT event_id, ts, user_id, value, (event_id % 7 - 3) / 100.0 AS r FROM events) """
+
+
+def _series(t):
+    """All events as one series, without an entity."""
+    change = ((F.col("event_id") % 7 - 3) / F.lit(100)).cast("double")
+    return t.events.select("event_id", "ts", "user_id", "value", change.alias("r"))
+
+
+@query(
+    SERIES
+    + """SELECT event_id, lag(value) OVER w AS lag1_value, lag(value, 5) OVER w AS lag5_value, row_number() OVER w AS place FROM s
+         WINDOW w AS (ORDER BY ts, event_id)"""
+)
+def series_lag(t):
+    """Values one and five rows earlier and the position in one series of all rows, computed in ranges."""
+    placed = panel.numbered(_series(t), [], ["ts", "event_id"], "ranges", "place")
+    lagged = panel.lag_rows(placed, [], ["ts", "event_id"], "value", (1, 5), block="ranges", position="place")
+    return lagged.select("event_id", "lag1_value", "lag5_value", "place")
+
+
+@query(
+    SERIES
+    + """SELECT event_id, round(CASE WHEN count(r) OVER f = 12 THEN exp(sum(ln(1 + r)) OVER f) - 1 END, 8) AS hpr FROM s
+         WINDOW f AS (ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"""
+)
+def series_compound(t):
+    """Returns compounded over twelve rows of one series of all rows."""
+    df = panel.compound(_series(t), [], ["ts", "event_id"], "r", 12, block="ranges")
+    return rounded(df.select("event_id", "hpr"), 8, "hpr")
+
+
+@query(
+    SERIES
+    + """, g AS (SELECT CASE WHEN user_id % 3 > 0 THEN user_id % 3 END AS g, event_id, ts, CASE WHEN event_id % 50 = 0 THEN value END AS v FROM s)
+       SELECT event_id, g, first_value(v IGNORE NULLS) OVER (PARTITION BY g ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v
+       FROM g"""
+)
+def series_backfill(t):
+    """The next known value in three hot series, one of them without a name."""
+    group = F.col("user_id") % 3
+    marked = _series(t).select(
+        F.when(group > 0, group).alias("g"), "event_id", "ts", F.when(F.col("event_id") % 50 == 0, F.col("value")).alias("v")
+    )
+    return panel.backfill(marked, ["g"], ["ts", "event_id"], "v", block="ranges").select("event_id", "g", "v")

@@ -5,7 +5,10 @@ days or months a window over one entity is therefore bounded by the length of
 the calendar, however many raw rows the entity had. Where time is finer than
 that, pass `block`, a width on the time axis: an entity is then split into
 blocks that run in separate tasks, and the few rows a block needs from its
-neighbours are carried over. Both ways give the same result.
+neighbours are carried over. `block="ranges"` guesses no width: the rows are dealt
+into ranges of equal counts and written once, which suits a series without any
+entity (`entity=[]`), and entities that are missing or hold very many rows. All
+ways give the same result.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions import growth
+from panelwright.operators import ranges
 from panelwright.operators.tables import attach, freeze, running_total
 
 CHUNK_ROWS = 100_000
@@ -37,6 +41,14 @@ def _part(df: DataFrame, entity, t: str, block) -> Column:
     return F.struct(*entity, _block_of(df, t, block).alias("__block"))
 
 
+def _split(df: DataFrame, entity, order, block) -> DataFrame:
+    """`df` with entity and block as __part."""
+    if block == "ranges":
+        rows = ranges.dealt(df, entity, order, "__block")
+        return rows.withColumn("__part", F.struct(*entity, "__block")).drop("__block")
+    return df.withColumn("__part", _part(df, entity, order[0], block))
+
+
 def _entity_of_part(entity) -> list[Column]:
     return [F.col("__part").getField(e) for e in entity]
 
@@ -46,6 +58,8 @@ def numbered(df: DataFrame, entity, order, block=None, name: str = "row") -> Dat
     entity, order = list(entity), list(order)
     if block is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*entity).orderBy(*order)).cast("long"))
+    if block == "ranges":
+        return ranges.numbered(df, entity, order, name)
     split = df.withColumn("__part", _part(df, entity, order[0], block))
     earlier = W.partitionBy(*_entity_of_part(entity)).orderBy("__part.__block")
     sizes = split.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
@@ -153,7 +167,7 @@ def backfill(df: DataFrame, entity, order, cols, block=None) -> DataFrame:
     if block is None:
         w = W.partitionBy(*entity).orderBy(*order).rowsBetween(*ahead)
         return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
-    split = df.withColumn("__part", _part(df, entity, order[0], block))
+    split = _split(df, entity, order, block)
     later = W.partitionBy(*_entity_of_part(entity)).orderBy("__part.__block")
     later = later.rowsBetween(1, W.unboundedFollowing)
     key = F.struct(*order)
