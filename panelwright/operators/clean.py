@@ -49,7 +49,9 @@ def _floating(df: DataFrame) -> list[str]:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN and infinity to null in every floating column."""
     floating = _floating(df)
-    return df.select(*[finite(c).alias(c) if c in floating else c for c in df.columns])
+    return df.select(
+        *[finite(c).alias(c, metadata=df.schema[c].metadata) if c in floating else c for c in df.columns]
+    )
 
 
 def to_number(df: DataFrame, cols) -> DataFrame:

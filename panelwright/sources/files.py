@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelwright.operators.clean import lower_names, nan_to_null
+from panelwright.sources.layout import with_position
 
 
 def read_delimited(
@@ -16,6 +17,7 @@ def read_delimited(
     encoding: str = "UTF-8",
     columns=None,
     lower: bool = True,
+    position: str | None = None,
 ) -> DataFrame:
     """Delimited text with a header, typed by a declared schema.
 
@@ -24,7 +26,8 @@ def read_delimited(
     Nothing is inferred: only the header line is read beforehand. Declare columns
     that mix numbers with codes as strings and convert them with
     `clean.to_number`, because a double column would swallow the codes unseen.
-    NaN becomes null.
+    NaN becomes null. `position` names a column for the place of each row in the
+    files (see `with_position`), an order for `clean.dedupe`.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     options = {"header": "true", "sep": sep, "encoding": encoding}
@@ -36,14 +39,18 @@ def read_delimited(
     full = StructType([StructField(h, types.get(h.lower(), StringType())) for h in header])
     wanted = [c.lower() for c in (columns if columns is not None else declared.fieldNames())]
     by_name = {h.lower(): h for h in header}
-    df = spark.read.schema(full).options(**options).csv(path).select(*[by_name[c] for c in wanted])
+    df = spark.read.schema(full).options(**options).csv(path)
+    placed = [position] if position else []
+    df = (with_position(df, position) if position else df).select(*[by_name[c] for c in wanted], *placed)
     return nan_to_null(lower_names(df) if lower else df)
 
 
-def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """Parquet, with NaN turned into null."""
+def read_table(spark: SparkSession, path: str, columns=None, position: str | None = None) -> DataFrame:
+    """Parquet, with NaN turned into null; `position` as for delimited text."""
     df = spark.read.parquet(path)
-    return nan_to_null(df.select(*columns) if columns is not None else df)
+    placed = [position] if position else []
+    df = with_position(df, position) if position else df
+    return nan_to_null(df.select(*columns, *placed) if columns is not None else df)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", encoding: str = "UTF-8") -> None:
