@@ -370,3 +370,26 @@ def first_rows(t):
     """First rows of a mixed-direction sort."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate")
     return o.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
+
+
+@query(
+    """SELECT user_id, count(value) FILTER (event_type = 'click') AS n_click, count(value) FILTER (event_type = 'error') AS n_error,
+         count(value) FILTER (event_type = 'purchase') AS n_purchase, count(value) FILTER (event_type = 'signup') AS n_signup,
+         count(value) FILTER (event_type = 'view') AS n_view FROM events GROUP BY user_id"""
+)
+def wide_found_types(t):
+    """Events by user, a column for every type that the data hold."""
+    wide = reshape.to_wide_found(t.events, ["user_id"], "event_type", "value", "count", prefix="n_")
+    return wide.fillna(0, [c for c in wide.columns if c != "user_id"])
+
+
+@query(
+    """SELECT day, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'error') AS error,
+         max(value) FILTER (event_type = 'purchase') AS purchase, max(value) FILTER (event_type = 'signup') AS signup,
+         max(value) FILTER (event_type = 'view') AS "view" FROM
+         (SELECT CAST(ts AS DATE) AS day, event_type, round(sum(value), 4) AS value FROM events GROUP BY 1, 2) GROUP BY day"""
+)
+def wide_found_cells(t):
+    """One value a day and type, widened; a repeated cell would be an error."""
+    daily = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.round(F.sum("value"), 4).alias("value"))
+    return reshape.to_wide_found(daily, ["day"], "event_type", "value")

@@ -389,3 +389,12 @@ def market_model(t):
     """Market model of 25 portfolios in two periods, fitted in one aggregation."""
     excess = regressions.excess_returns(inputs.portfolios(t), inputs.factors(t))
     return regressions.market_model(excess, 199801)
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS gvkey, left(p_name, 8) AS code FROM part WHERE NOT contains(p_type, 'PO')""")
+def security_codes_contains(t):
+    """Codes of the issues whose id does not hold a mark anywhere."""
+    issues = t.part.select(
+        F.col("p_partkey").cast("string").alias("gvkey"), F.col("p_type").alias("iid"), F.col("p_name").alias("cusip")
+    )
+    return link.security_codes(issues, "PO", "contains")

@@ -16,10 +16,19 @@ CODE_LENGTH = 8
 EXCLUDED_ISSUE = "C"  # last character of the issue ids left out
 
 
-def security_codes(securities: DataFrame, excluded: str | None = EXCLUDED_ISSUE) -> DataFrame:
-    """gvkey and 8-character code of every issue that is not excluded."""
+def security_codes(
+    securities: DataFrame, excluded: str | None = EXCLUDED_ISSUE, rule: str = "ends"
+) -> DataFrame:
+    """gvkey and 8-character code of every issue that is not excluded.
+
+    rule  'ends' leaves out issue ids that end with `excluded`, 'contains' those
+          that hold it anywhere; an unknown issue id is left out by both
+    """
+    if rule not in ("ends", "contains"):
+        raise ValueError(f"rule must be 'ends' or 'contains', not {rule!r}")
     if excluded:
-        securities = securities.filter(last_chars("iid", len(excluded)) != excluded)
+        ends = last_chars("iid", len(excluded)) != excluded
+        securities = securities.filter(ends if rule == "ends" else ~F.contains("iid", F.lit(excluded)))
     return securities.select("gvkey", first_chars("cusip", CODE_LENGTH).alias("code"))
 
 

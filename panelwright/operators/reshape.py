@@ -37,7 +37,7 @@ def to_wide(
     value: str,
     names: dict,
     agg: str = "only",
-    check: bool = True,
+    check: bool | str = True,
     rest: str | None = None,
 ) -> DataFrame:
     """One row per index, one column per category in `names` ({category: name}).
@@ -48,10 +48,15 @@ def to_wide(
 
     agg 'only' takes the single value of a cell (and, with `check`, raises if
     (index, column) repeats); 'count' counts known values and 'sum' adds them.
-    An absent cell is null. All cells are filled in one aggregation.
+    An absent cell is null. All cells are filled in one aggregation. With
+    check='late' repeated cells are counted in that aggregation too, and are an
+    error when the result is computed: nothing runs beforehand.
     """
     index = list(index)
-    if agg == "only" and check:
+    if check not in (True, False, "late"):
+        raise ValueError(f"check must be True, False or 'late', not {check!r}")
+    late = agg == "only" and check == "late"
+    if agg == "only" and check is True:
         assert_unique(df, [*index, column], "long table")
     x = F.col(value)
 
@@ -71,11 +76,53 @@ def to_wide(
         if agg == "only":
             raise ValueError("several categories have no single value: count or add them")
         return df.groupBy(*index).agg(*cells, cell(~listed).alias(rest))
-    wide = df.groupBy(*index).agg(*cells, F.count_if(~listed).alias("__rest"))
+    copies = [F.count_if(F.col(column) == F.lit(c)).alias(f"__n{i}") for i, c in enumerate(names)] if late else []
+    wide = df.groupBy(*index).agg(*cells, F.count_if(~listed).alias("__rest"), *copies)
     unlisted = F.raise_error(F.lit(f"{column} has categories that no column is named for"))
-    return wide.select(
-        *index, *[F.when(F.col("__rest") > 0, unlisted).otherwise(F.col(n)).alias(n) for n in names.values()]
-    )
+    repeated = F.raise_error(F.lit(f"long table: key ({', '.join([*index, column])}) is repeated"))
+
+    def checked(i, name):
+        cell = F.when(F.col(f"__n{i}") > 1, repeated).otherwise(F.col(name)) if late else F.col(name)
+        return F.when(F.col("__rest") > 0, unlisted).otherwise(cell).alias(name)
+
+    return wide.select(*index, *[checked(i, n) for i, n in enumerate(names.values())])
+
+
+def found_categories(df: DataFrame, column: str, most: int = 100, prefix: str = "") -> dict:
+    """{category: column name} of the known categories of a column, in order; an error if there are over `most`.
+
+    Only that column is read. The result is a key set with a bound, not data: a column that holds something else
+    than categories fails here, before anything is widened.
+    """
+    values = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect())
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} categories")
+    names = {v: f"{prefix}{v}" for v in values}
+    if len(set(names.values())) < len(names):
+        raise ValueError(f"categories of {column} share a name")
+    return names
+
+
+def to_wide_found(
+    df: DataFrame,
+    index,
+    column: str,
+    value: str,
+    agg: str = "only",
+    most: int = 100,
+    prefix: str = "",
+    rest: str | None = None,
+) -> DataFrame:
+    """`to_wide` with a column for every category that the data hold.
+
+    Two passes: the categories alone, then one aggregation with one shuffle of partial results. Rows without a
+    category go to the column `rest`, or are an error when the result is computed; so is a repeated cell of 'only'.
+    """
+    names = found_categories(df, column, most, prefix)
+    taken = set(names.values()) & {*index, *([rest] if rest else [])}
+    if taken:
+        raise ValueError(f"categories named like other columns: {sorted(taken)}; pass a prefix")
+    return to_wide(df, index, column, value, names, agg, "late", rest)
 
 
 def header_id(df: DataFrame, variable: str = "variable", name: str = "isin") -> DataFrame:

@@ -195,3 +195,49 @@ def test_holders_of_unlisted_types_count(spark):
     d = dt.date(2005, 3, 31)
     raw = table(spark, "mgrno long, rdate date, fdate date, typecode int", *[(k, d, d, c) for k, c in enumerate((1, 6, None))])
     assert rows(holders.holder_counts(raw), "bank", "unlisted", "total") == [(1, 2, 3)]
+
+
+def test_widening_over_found_categories(spark):
+    long = table(spark, "id int, kind string, v int", (1, "a", 1), (1, "b", 2), (2, "c", 8), (3, "a", None))
+    wide = reshape.to_wide_found(long, ["id"], "kind", "v")
+    assert wide.columns == ["id", "a", "b", "c"]
+    assert rows(wide) == [(1, 1, 2, None), (2, None, None, 8), (3, None, None, None)]
+    assert rows(reshape.to_wide_found(long, ["id"], "kind", "v", "count", prefix="n_"), "id", "n_a", "n_c") == [(1, 1, None), (2, None, 1), (3, 0, None)]
+    numbers = long.selectExpr("id", "case kind when 'a' then 2000 else 1999 end as year", "v")
+    assert reshape.to_wide_found(numbers, ["id"], "year", "v", "sum", prefix="y").columns == ["id", "y1999", "y2000"]
+    empty = reshape.to_wide_found(long.limit(0), ["id"], "kind", "v")
+    assert empty.columns == ["id"] and empty.count() == 0
+
+
+def test_found_categories_have_a_bound_and_names_of_their_own(spark):
+    many = spark.range(50).selectExpr("1 as id", "concat('k', id) as kind", "1 as v")
+    assert len(reshape.found_categories(many, "kind", 50)) == 50
+    with pytest.raises(ValueError, match="more than 49"):
+        reshape.to_wide_found(many, ["id"], "kind", "v", most=49)
+    clash = table(spark, "id int, kind string, v int", (1, "id", 1))
+    with pytest.raises(ValueError, match="prefix"):
+        reshape.to_wide_found(clash, ["id"], "kind", "v")
+
+
+def test_late_checks_of_found_categories(spark):
+    long = table(spark, "id int, kind string, v int", (1, "a", 1), (1, None, 4))
+    with pytest.raises(SparkRuntimeException, match="kind"):
+        reshape.to_wide_found(long, ["id"], "kind", "v").collect()
+    assert rows(reshape.to_wide_found(long, ["id"], "kind", "v", "sum", rest="other")) == [(1, 1, 4)]
+    twice = table(spark, "id int, kind string, v int", (1, "a", 1), (1, "a", 1), (2, "a", 3))
+    with pytest.raises(SparkRuntimeException, match="repeated"):
+        reshape.to_wide_found(twice, ["id"], "kind", "v").collect()
+
+
+def test_widening_is_one_shuffle(spark):
+    wide = reshape.to_wide_found(spark.range(100).selectExpr("id % 7 as id", "id % 3 as kind", "id as v"), ["id"], "kind", "v", "sum", prefix="k")
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_excluded_issues_by_end_or_anywhere(spark):
+    issues = table(spark, "gvkey string, iid string, cusip string", ("1", "01C", "123456789"), ("2", "C01", "22345678X"), ("3", "01", "3234"), ("4", None, "4"))
+    assert [r[0] for r in rows(link.security_codes(issues), "gvkey")] == ["2", "3"]
+    assert rows(link.security_codes(issues, rule="contains")) == [("3", "3234")]
+    assert len(rows(link.security_codes(issues, None, "contains"))) == 4
+    with pytest.raises(ValueError):
+        link.security_codes(issues, rule="starts")
