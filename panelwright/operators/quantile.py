@@ -5,11 +5,10 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import finite
-from panelwright.operators.tables import all_equal, attach, freeze
+from panelwright.operators.tables import attach, freeze
 
 # Position of fraction p among n sorted values; p and the position are whole numbers of 1 / SCALE.
 # linear   interpolates between the ranks around (n - 1) p + 1
@@ -18,7 +17,7 @@ from panelwright.operators.tables import all_equal, attach, freeze
 SCALE = 10**17  # as fine as a double between 0.1 and 1
 POSITION = {"linear": f"(n - 1) * p + {SCALE}", "weibull": "(n + 1) * p", "averaged": "n * p"}
 
-PARTS = 256  # pieces of equal width that a bracket is ranked in, each by its own task
+PARTS = 256  # pieces of equal width that a bracket is cut into, each one row of counts
 
 
 def percentiles(
@@ -34,13 +33,39 @@ def percentiles(
     First a mergeable sketch per group brackets every requested rank between two
     cut values. Then one aggregation counts the rows between cuts exactly and
     keeps distinct values with their counts only inside the brackets, about
-    4 / accuracy of the rows; a bracket is cut into pieces of equal width, so its
-    values are ranked by many tasks. The values at the exact ranks are read from
-    those counts. A rank further than one beside its bracket is an error.
+    4 / accuracy of the rows; a bracket is cut into pieces of equal width, each
+    one row of counts. The pieces' sizes, some thousand numbers a group, tell
+    which piece holds a rank, and the value is read from that piece alone. A rank
+    further than one beside its bracket is an error.
 
     The rows are read twice; freeze a costly input first.
     """
-    return with_percentiles(df, cols, fractions, by, definition, accuracy)[1]
+    fractions = sorted(set(fractions))
+    groups, ranked = with_percentiles(df, cols, fractions, by, definition, accuracy)
+    cols, by = ([cols] if isinstance(cols, str) else list(cols)), list(by)
+    each = groups.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("variable")) for c in cols])))
+    listed = [F.struct(F.lit(float(p)).alias("fraction"), _value(i).alias("value")) for i, p in enumerate(fractions)]
+    return attach(each, ranked, [*by, "variable"], "left").select(*by, "variable", F.inline(F.array(*listed)))
+
+
+def _value(i: int):
+    return F.col("__values").getItem(i)
+
+
+def percentile_columns(df: DataFrame, cols, names: dict, by=(), definition: str = "linear") -> DataFrame:
+    """Percentiles as columns, one row per group: `names` maps a fraction to a prefix, giving prefix_col.
+
+    Groups without any known value are left out.
+    """
+    fractions = sorted(names)
+    _, ranked = with_percentiles(df, cols, fractions, by, definition)
+    return ranked.groupBy(*by).agg(
+        *[
+            F.max(F.when(F.col("variable") == c, _value(i))).alias(f"{names[p]}_{c}")
+            for c in cols
+            for i, p in enumerate(fractions)
+        ]
+    )
 
 
 def with_percentiles(
@@ -53,8 +78,9 @@ def with_percentiles(
     total: bool = False,
     aggregates=(),
 ) -> tuple[DataFrame, DataFrame]:
-    """Group table with further `aggregates`, and the percentiles, from the same passes.
+    """Group table with further `aggregates`, and by..., variable, __values, from the same passes.
 
+    __values holds the percentiles by rising fraction; a group without known values of a variable has no row there.
     With `total` both also hold the group of all rows, flagged by `is_total`.
     """
     if definition not in POSITION:
@@ -93,65 +119,59 @@ def with_percentiles(
         entries = _entries(cols, fractions, "s", [F.col(b) for b in by])
     placed = cut.select(F.inline(F.array(*entries))).filter("__zone IS NOT NULL")
     key = [*by, "variable", "__zone"]
+    counted = placed.groupBy(*key, F.when(F.col("__near"), F.col("__x")).alias("__x")).agg(
+        F.count(F.lit(1)).alias("__m"), F.min("__x").alias("__least"), F.max("__x").alias("__most")
+    )
+    held = F.when(F.col("__x").isNotNull(), F.struct(F.col("__x").alias("x"), F.col("__m").alias("m")))
     seen = freeze(
-        placed.groupBy(*key, F.when(F.col("__near"), F.col("__x")).alias("__x")).agg(
-            F.count(F.lit(1)).alias("__m"), F.min("__x").alias("__least"), F.max("__x").alias("__most")
+        counted.groupBy(*key).agg(
+            F.sum("__m").alias("__m"),
+            F.min("__least").alias("__least"),
+            F.max("__most").alias("__most"),
+            F.sort_array(F.collect_list(held)).alias("__held"),
         )
     )
-    wanted = _located(_targets(groups.select(*by, *names), by, cols, fractions, definition), seen, by)
-    values = _read(wanted, seen, by)
-    return groups.drop(*names), values.select(*by, "variable", "fraction", "value")
-
+    return groups.drop(*names), _ranked(seen, by, fractions, definition)
 
-def _located(targets: DataFrame, seen: DataFrame, by) -> DataFrame:
-    """For every wanted rank the zone that holds it and the rows below that zone.
 
-    The window runs over the zones of a group, of which there are at most two
-    per fraction and one more, each in at most PARTS pieces.
-    """
-    zones = seen.groupBy(*by, "variable", "__zone").agg(
-        F.sum("__m").alias("__m"),
-        F.max(F.col("__x").isNotNull()).alias("__known"),
-        F.min("__least").alias("__least"),
-        F.max("__most").alias("__most"),
-    )
-    below = W.partitionBy(*by, "variable").orderBy("__zone").rowsBetween(W.unboundedPreceding, -1)
-    zones = zones.withColumn("__before", F.coalesce(F.sum("__m").over(below), F.lit(0)))
+def _ranked(seen: DataFrame, by, fractions, definition: str) -> DataFrame:
+    """by..., variable, __values from the pieces: their sizes, and the values that those inside a bracket hold."""
     group = [*by, "variable"]
-    zones = zones.select(
-        *[F.col(k).alias(f"__z_{k}") for k in group], "__zone", "__m", "__before", "__known", "__least", "__most"
+    size = F.struct(F.col("__zone").alias("zone"), F.col("__m").alias("m"))
+    # At most two zones per fraction and one more, each in at most PARTS pieces.
+    zones = seen.groupBy(*group).agg(F.sum("__m").alias("n"), F.sort_array(F.collect_list(size)).alias("__zones"))
+    wanted = _targets(zones, fractions, definition)
+    spot = F.expr(
+        """aggregate(__zones, named_struct('before', 0L, 'zone', CAST(NULL AS INT), 'place', 0L), (s, z) ->
+             CASE WHEN s.zone IS NOT NULL THEN s
+                  WHEN s.before + z.m < __rank THEN named_struct('before', s.before + z.m, 'zone', s.zone, 'place', 0L)
+                  ELSE named_struct('before', s.before, 'zone', z.zone, 'place', __rank - s.before) END)"""
     )
-    inside = (F.col("__rank") > F.col("__before")) & (
-        F.col("__rank") <= F.col("__before") + F.col("__m")
+    asked = wanted.withColumn("__spot", spot).select(
+        *group, "__p", "__side", "__weight", F.col("__spot.zone").alias("__zone"), F.col("__spot.place").alias("__place")
+    )
+    kind = dict(seen.dtypes)["__least"]
+    inside = F.expr(
+        f"""aggregate(__held, named_struct('upto', 0L, 'x', CAST(NULL AS {kind})), (s, e) ->
+              IF(s.upto >= __place, s, named_struct('upto', s.upto + e.m, 'x', e.x))).x"""
     )
-    same = all_equal([(k, f"__z_{k}") for k in group])
-    return targets.join(zones, same & inside, "left").drop(*[f"__z_{k}" for k in group])
-
-
-def _read(wanted: DataFrame, seen: DataFrame, by) -> DataFrame:
-    """The values at the wanted ranks, combined by weight."""
-    key = [*by, "variable", "__zone"]
-    upto = W.partitionBy(*key).orderBy("__x").rowsBetween(W.unboundedPreceding, 0)
-    asked = wanted.filter("__known").select(*[F.col(k).alias(f"__q_{k}") for k in key]).distinct()
-    held = seen.filter(F.col("__x").isNotNull())
-    held = held.join(asked, all_equal([(k, f"__q_{k}") for k in key]), "left_semi")
-    held = held.withColumn("__upto", F.sum("__m").over(upto))
-    held = held.select(*[F.col(k).alias(f"__h_{k}") for k in key], F.col("__x").alias("__at"), "__upto", F.col("__m").alias("__w"))
-    offset = F.col("__rank") - F.col("__before")
-    at_rank = (offset <= F.col("__upto")) & (offset > F.col("__upto") - F.col("__w"))
-    found = wanted.join(held, all_equal([(k, f"__h_{k}") for k in key]) & at_rank, "left")
     # A definition may ask for the rank next to a bracket: the first or the last one of the zone beside it.
-    beside = F.when(offset == 1, F.col("__least")).when(offset == F.col("__m"), F.col("__most"))
-    found = found.withColumn("__x", F.coalesce("__at", F.when(~F.col("__known"), beside)))
-    pair = found.groupBy(*by, "variable", "fraction").agg(
-        F.max(F.when(F.col("__side") == 0, F.col("__x"))).alias("__low"),
-        F.max(F.when(F.col("__side") == 1, F.col("__x"))).alias("__high"),
-        F.max("__weight").alias("__weight"),
-        F.max(F.col("__rank").isNotNull() & F.col("__x").isNull()).alias("__missed"),
+    beside = F.when(F.col("__place") == 1, F.col("__least")).when(F.col("__place") == F.col("__m"), F.col("__most"))
+    found = attach(asked, seen, [*group, "__zone"])
+    found = found.withColumn("__at", F.when(F.size("__held") > 0, inside).otherwise(beside))
+
+    def of(p, side):
+        return F.max(F.when((F.col("__p") == p) & (F.col("__side") == side), F.col("__at"))).cast("double")
+
+    places = range(len(fractions))
+    pairs = found.groupBy(*group).agg(
+        *[of(p, side).alias(f"__{name}{p}") for p in places for side, name in enumerate(("low", "high"))],
+        *[F.max(F.when(F.col("__p") == p, F.col("__weight"))).alias(f"__weight{p}") for p in places],
+        F.max(F.col("__at").isNull()).alias("__missed"),
     )
-    value = F.col("__low") + F.col("__weight") * (F.col("__high") - F.col("__low"))
+    values = [F.col(f"__low{p}") + F.col(f"__weight{p}") * (F.col(f"__high{p}") - F.col(f"__low{p}")) for p in places]
     failed = F.raise_error(F.lit("a percentile lies outside its bracket; the input changed between two reads"))
-    return pair.select(*by, "variable", "fraction", F.when(F.col("__missed"), failed).otherwise(value).alias("value"))
+    return pairs.select(*group, F.when(F.col("__missed"), failed).otherwise(F.array(*values)).alias("__values"))
 
 
 def _entries(cols, fractions, sketch, keys) -> list:
@@ -181,15 +201,11 @@ def _entries(cols, fractions, sketch, keys) -> list:
     return [entry(i, c) for i, c in enumerate(cols)]
 
 
-def _targets(sketch: DataFrame, by, cols, fractions, definition) -> DataFrame:
-    """The lower and upper rank for every group, variable and fraction."""
-    sizes = [F.struct(F.lit(c).alias("variable"), F.col(f"__s{i}.n").alias("n")) for i, c in enumerate(cols)]
-    exact = {p: int((Decimal(repr(float(p))) * SCALE).to_integral_value()) for p in fractions}
-    wanted = ", ".join(
-        f"struct(double('{p!r}') AS fraction, CAST({exact[p]} AS DECIMAL(18, 0)) AS p)" for p in fractions
-    )
-    table = sketch.select(*by, F.inline(F.array(*sizes)))
-    table = table.withColumn("n", F.col("n").cast("decimal(19, 0)"))
+def _targets(zones: DataFrame, fractions, definition) -> DataFrame:
+    """The lower and upper rank of every fraction, for rows with the number n of values: __p, __side, __rank, __weight."""
+    exact = [int((Decimal(repr(float(p))) * SCALE).to_integral_value()) for p in fractions]
+    wanted = ", ".join(f"struct({i} AS __p, CAST({p} AS DECIMAL(18, 0)) AS p)" for i, p in enumerate(exact))
+    table = zones.withColumn("n", F.col("n").cast("decimal(19, 0)"))
     table = table.selectExpr("*", f"inline(array({wanted}))")
     table = table.selectExpr("*", f"CAST({POSITION[definition]} AS DECIMAL(38, 0)) AS position")
     table = table.selectExpr("*", f"position div {SCALE} AS whole", f"position % {SCALE} AS part")
@@ -201,18 +217,4 @@ def _targets(sketch: DataFrame, by, cols, fractions, definition) -> DataFrame:
     table = table.selectExpr(
         "*", f"{weight} AS __weight", f"inline(array(struct(0 AS __side, {low} AS r), struct(1 AS __side, {high} AS r)))"
     )
-    rank = F.expr("if(n > 0, least(greatest(r, 1L), n), NULL)")
-    return table.select(*by, "variable", "fraction", "__side", rank.alias("__rank"), "__weight")
-
-
-def percentile_columns(table: DataFrame, by, cols, names: dict) -> DataFrame:
-    """Percentiles as columns: `names` maps a fraction to a prefix, giving prefix_col."""
-    return table.groupBy(*by).agg(
-        *[
-            F.max(
-                F.when((F.col("variable") == c) & (F.col("fraction") == float(p)), F.col("value"))
-            ).alias(f"{n}_{c}")
-            for c in cols
-            for p, n in names.items()
-        ]
-    )
+    return table.withColumn("__rank", F.expr("least(greatest(r, 1L), n)"))

@@ -73,10 +73,9 @@ def summarize(
         wide = x.groupBy(*by).agg(*aggs)
     out = wide.select(*by, *flag, F.inline(F.array(*[f"__{c}" for c in cols])))
     if fractions:
-        as_columns = ranked.groupBy(*by, *flag, "variable").agg(
-            *[F.max(F.when(F.col("fraction") == p, F.col("value"))).alias(s) for s, p in fractions.items()]
-        )
-        out = attach(out, as_columns, [*by, *flag, "variable"], "left")
+        place = {p: i for i, p in enumerate(sorted(set(fractions.values())))}
+        out = attach(out, ranked, [*by, *flag, "variable"], "left")
+        out = out.withColumns({s: F.col("__values").getItem(place[p]) for s, p in fractions.items()})
     return out.select(*by, *flag, "variable", *stats)
 
 

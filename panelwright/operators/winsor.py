@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions import clamp
-from panelwright.operators.quantile import percentile_columns, percentiles
+from panelwright.operators.quantile import percentile_columns
 from panelwright.operators.tables import attach
 
 
@@ -25,8 +25,7 @@ def winsorize(
     bound, the effect of comparing a missing value as if it were very large.
     """
     cols, by = ([cols] if isinstance(cols, str) else list(cols)), list(by)
-    ranked = percentiles(df, cols, (low, high), by, definition)
-    bounds = percentile_columns(ranked, by, cols, {low: "__low", high: "__high"})
+    bounds = percentile_columns(df, cols, {low: "__low", high: "__high"}, by, definition)
     bounded = attach(df, bounds, by, "left")
     return bounded.select(
         *[
