@@ -55,8 +55,9 @@ NO_MAIN = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd a br hr header".spli
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FLOWING, PARTS = INLINE | {"br"}, SAME_CLOSES | {"ul", "ol", "dl", "table", "caption"}
 
-#: Least share of varying text in a page's main text: with less, pages are copies of each other, and all of it stays.
-LEAST_VARYING = 0.25
+#: Unmarked text that several pages of a host have alike is left out at the main text's edges alone, and only if there is
+#: no more of it at that edge: there stand share lines and calls to subscribe, all else may be the article's own.
+EDGE_CHARS = 60
 #: Wrappers in all up to this size go to every executor; more are joined by host, with hot hosts salted.
 SENT_BYTES, SALTS = 32 << 20, 16
 
@@ -323,14 +324,33 @@ def _told(node: Node) -> bool:
     return any(map(_told, node.children))
 
 
-def _amounts(node: Node, whole: int) -> tuple[int, int]:
-    """Characters of varying and of all text below a node of the main text that are not dropped."""
-    if node.symbol in ("#", "_"):
-        return node.below, node.chars
-    if is_dropped(node, True, whole):
-        return 0, 0
-    parts = [_amounts(c, whole) for c in node.children]
-    return sum(p[0] for p in parts), sum(p[1] for p in parts)
+def _inner(nodes: list[Node], whole: int) -> set[int]:
+    """Which nodes lie between the first and the last varying text of the main text, or hold either.
+
+    The first is one below the headings, as a line under the title still stands at the edge. An edge with more common
+    text than a few lines is part of the article.
+    """
+    leaves: list[tuple[Node, ...]] = []
+
+    def walk(node: Node, above: tuple):
+        if node.symbol == "#":
+            leaves.append((*above, node))
+        elif node.symbol != "_" and not is_dropped(node, True, whole):
+            for child in node.children:
+                walk(child, (*above, node))
+
+    for node in nodes:
+        walk(node, ())
+    varying = [k for k, path in enumerate(leaves) if path[-1].below]
+    if not varying:
+        return set()
+    body = [k for k in varying if not any(n.symbol.partition(".")[0] in HEADINGS for n in leaves[k])] or varying
+    first, last = body[0], varying[-1]
+    if sum(path[-1].chars for path in leaves[:first] if not path[-1].below) > EDGE_CHARS:
+        first = 0
+    if sum(path[-1].chars for path in leaves[last + 1 :]) > EDGE_CHARS:
+        last = len(leaves)
+    return {id(node) for path in leaves[first : last + 1] for node in path}
 
 
 def _rank(node: Node) -> int:
@@ -370,14 +390,17 @@ def _own(nodes: list[Node], parts: bool) -> Iterator[bool]:
 
 
 def main_text(page: Node, wrapper: Node) -> str:
-    """The text of the varying slots of the page's main elements, or else of its region in the wrapper, by blocks."""
+    """The text of the page's main elements, or else of its region in the wrapper, by blocks.
+
+    What all of several pages have alike at one place is left out if it is short and stands before the first or after
+    the last varying text; what lies between stays, as does all of a page that nothing varies in.
+    """
     _weighed(page, wrapper)
     if not kept(page, False, page.below):  # a copy of the host's other pages: nothing of it varies
         _weighed(page, None)
     whole = page.below
     chosen = mains(page, whole) or [region(page, whole)]
-    amounts = [_amounts(c, whole) for c in chosen]
-    copied = sum(a[0] for a in amounts) < LEAST_VARYING * sum(a[1] for a in amounts)
+    inner = _inner(chosen, whole)
     blocks: list[list[str]] = [[]]
 
     def take(node: Node, inside: bool):
@@ -394,8 +417,8 @@ def main_text(page: Node, wrapper: Node) -> str:
         if not inline:
             blocks.append([])
         every = [True] * len(node.children)
-        for child, own in zip(node.children, _own(node.children, tag in PARTS) if inside and not copied else every):
-            if own:
+        for child, own in zip(node.children, _own(node.children, tag in PARTS) if inside and inner else every):
+            if own or id(child) in inner:
                 take(child, inside)
             else:
                 blocks.append([])
