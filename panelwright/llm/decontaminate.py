@@ -11,16 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.shared import settle, short_batches
-from panelwright.llm.text import pieces, utf8, word_hashes, word_spans
+from panelwright.llm.text import mix, pieces, utf8, word_hashes, word_spans
 
 #: Words of a block, the step of the windows; windows are these numbers of blocks long.
 BLOCK, SCALES = 8, (1, 2, 3, 4, 6, 8, 12, 16)
-#: Hash values that words are told apart by, and the most of them that items may use as columns of their own.
-BUCKETS, COLUMNS = 1 << 16, 1 << 12
+#: Hash values that sift words before their whole hashes are looked up.
+SIEVE = 1 << 16
+#: Columns of the latent search, which words beyond so many share; candidates are confirmed on the words themselves.
+COLUMNS = 1 << 12
 #: Latent dimensions, and more that the random start takes along.
 LATENT, MORE = 128, 16
 #: Items searched for at once: more are searched for in several rounds.
 ROUND_ITEMS = 4_000
+#: Blocks compared with all items at once.
+TILE_BLOCKS = 2048
 #: Least cosine of a candidate; least share of an item's words in order; the same where the answer is there too.
 LEAST_COSINE, LEAST_COMMON, LEAST_WITH_ANSWER = 0.6, 0.6, 0.45
 #: Items of fewer words must be there whole.
@@ -71,53 +75,64 @@ def read_items(rows: list) -> list[Item]:
     return items
 
 
-def columns_of(items: list[Item]) -> np.ndarray:
-    """Column of each bucket of words; -1 where no item has a word of it."""
-    used = np.unique(np.concatenate([i.words for i in items]) % np.uint64(BUCKETS)).astype(np.int64)
-    table = np.full(BUCKETS, -1, np.int32)
-    table[used] = np.arange(len(used)) % COLUMNS
-    return table
+def vocabulary(items: list[Item]) -> np.ndarray:
+    """The 64-bit hashes of the items' words, sorted: a word is known by its place here."""
+    return np.unique(np.concatenate([i.words for i in items]))
 
 
-def _read(table: np.ndarray):
-    """(doc_id, text) to (doc_id, columns, blocks): the columns of the words that have one, how many in each block."""
+def _read(known: np.ndarray):
+    """(doc_id, text) to (doc_id, words, blocks): the words that items have, and how many there are in each block.
+
+    A word is its number in the vocabulary, times the block's length, plus its place in the block: so neighbours in the
+    text can be told from words that others stand between.
+    """
+    sieve = np.zeros(SIEVE, bool)
+    sieve[(known % np.uint64(SIEVE)).astype(np.int64)] = True
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for i, j in pieces(offsets):
                 hashes, rows = _tokens(data, offsets[i : j + 1])
-                column = table[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
                 counts = np.diff(rows)
                 starts = np.concatenate([[0], np.cumsum(-(-counts // BLOCK))])
-                block = np.repeat(starts[:-1], counts) + (np.arange(len(hashes)) - np.repeat(rows[:-1], counts)) // BLOCK
-                known = column >= 0
-                sizes = np.bincount(block[known], minlength=int(starts[-1])).astype(np.uint8)
+                kept = np.flatnonzero(sieve[(hashes % np.uint64(SIEVE)).astype(np.int64)])
+                number = np.searchsorted(known, hashes[kept])
+                same = known[np.minimum(number, len(known) - 1)] == hashes[kept]
+                kept, number = kept[same], number[same]
+                row = np.searchsorted(rows, kept, "right") - 1
+                inside = kept - rows[row]
+                block = starts[row] + inside // BLOCK
+                sizes = np.bincount(block, minlength=int(starts[-1])).astype(np.uint8)
                 at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[starts]
-                column = column[known].astype(np.uint16)
+                word = (number * BLOCK + inside % BLOCK).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
-                        pa.array([column[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary()),
+                        pa.array([word[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary()),
                         pa.array([sizes[x:y].tobytes() for x, y in zip(starts, starts[1:])], pa.binary()),
                     ],
-                    ["doc_id", "columns", "blocks"],
+                    ["doc_id", "words", "blocks"],
                 )
 
     return read
 
 
 def _batched(batch: pa.RecordBatch, at: int, most: int = 512, pad: int = 0):
-    """Some rows of (columns, blocks) as arrays: column and block of each word, first block of each row."""
-    columns = batch.column(at).slice(0, len(batch)).to_pylist()
+    """Some rows of (words, blocks) as arrays: number, block and place of each word, first block of each row.
+
+    The place counts all words of the text, of this row from BLOCK times its first block on.
+    """
+    words = batch.column(at).slice(0, len(batch)).to_pylist()
     blocks = batch.column(at + 1).to_pylist()
-    for i in range(0, len(columns), most):
+    for i in range(0, len(words), most):
         sizes = [np.frombuffer(b, np.uint8) for b in blocks[i : i + most]]
-        column = np.frombuffer(b"".join(columns[i : i + most]), np.uint16).astype(np.int32)
+        word = np.frombuffer(b"".join(words[i : i + most]), np.uint32).astype(np.int64)
         first = np.concatenate([[0], np.cumsum([len(x) + pad for x in sizes])])
         padding = np.zeros(pad, np.uint8)
         size = np.concatenate([x for own in sizes for x in (own, padding)]) if sizes else np.zeros(0, np.uint8)
-        yield i, column, np.repeat(np.arange(len(size)), size), first
+        block = np.repeat(np.arange(len(size)), size)
+        yield i, word // BLOCK, block, block * BLOCK + word % BLOCK, first
 
 
 def _repeats(column: np.ndarray, block: np.ndarray) -> np.ndarray:
@@ -134,7 +149,8 @@ def _frequencies(width: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, passages = np.zeros(width, np.int64), 0
         for batch in batches:
-            for _, column, block, first in _batched(batch, 0):
+            for _, word, block, _, first in _batched(batch, 0):
+                column = word % COLUMNS
                 passages += int(first[-1])
                 total += np.bincount(column[~_repeats(column, block)], minlength=width)
         at = np.flatnonzero(total)
@@ -154,7 +170,8 @@ def _sketch(idf: np.ndarray, taken: int, seed: int):
         pairs = np.zeros(width * width, np.float32)
         squares = idf.astype(np.float64) ** 2
         for batch in batches:
-            for _, column, block, first in _batched(batch, 0):
+            for _, word, block, _, first in _batched(batch, 0):
+                column = word % COLUMNS
                 if not len(column):
                     continue
                 row = (1 / np.bincount(block, squares[column], int(first[-1])).clip(1e-12))[block].astype(np.float32)
@@ -197,7 +214,7 @@ def latent_space(read: DataFrame, width: int) -> np.ndarray:
     A'A times a random matrix is summed over all tasks, a few megabytes however many rows there are, and its left
     singular vectors span the leading right singular vectors of A.
     """
-    words = read.select("columns", "blocks")
+    words = read.select("words", "blocks")
     counts = words.mapInArrow(_frequencies(width), "column long, n long").groupBy("column").agg(F.sum("n"))
     found = dict(map(tuple, counts.collect()))
     passages = found.pop(-1, 0) or 1
@@ -228,11 +245,13 @@ def common_length(words: np.ndarray, masks: dict[int, int], size: int) -> int:
     return size - left.bit_count()
 
 
-def _holds(words: np.ndarray, answer: np.ndarray) -> bool:
-    n = len(answer)
-    if not 3 <= n <= len(words):
+def _whole(words: np.ndarray, places: np.ndarray, asked: np.ndarray) -> bool:
+    """Whether `asked` stands in `words` word for word, with nothing between: `places` count the words of the text."""
+    n = len(asked)
+    if not 0 < n <= len(words):
         return False
-    return any(np.array_equal(words[k : k + n], answer) for k in np.flatnonzero(words[: len(words) - n + 1] == answer[0]))
+    starts = np.flatnonzero((words[: len(words) - n + 1] == asked[0]) & (places[n - 1 :] - places[: len(words) - n + 1] == n - 1))
+    return any(np.array_equal(words[k : k + n], asked) for k in starts)
 
 
 def _seeds(words: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -241,7 +260,7 @@ def _seeds(words: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, n
     A shorter item is one seed; others have the least usual seed of each of some equal parts. So whatever holds an
     item word for word holds all of its seeds.
     """
-    usual = np.bincount(np.concatenate(words), minlength=COLUMNS)
+    usual = np.bincount(np.concatenate(words))
     codes = [_codes(w, min(SEED, len(w))) for w in words]
     many: dict[int, int] = {}
     for own in codes:
@@ -258,13 +277,13 @@ def _seeds(words: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, n
     return {size: tuple(np.array(sorted(rows), np.int64).T) for size, rows in out.items()}
 
 
-def _codes(column: np.ndarray, size: int) -> np.ndarray:
-    """A number for each run of `size` columns, which are fewer than 4,096."""
-    n = max(len(column) - size + 1, 0)
-    code = np.zeros(n, np.int64)
+def _codes(words: np.ndarray, size: int) -> np.ndarray:
+    """A number for each run of `size` words. Equal runs have equal numbers; candidates are confirmed on the words."""
+    n = max(len(words) - size + 1, 0)
+    code = np.zeros(n, np.uint64)
     for k in range(size):
-        code = code * COLUMNS + column[k : k + n]
-    return code
+        code = mix(code + words[k : k + n].astype(np.uint64) + np.uint64(1))
+    return code.view(np.int64)
 
 
 def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -277,10 +296,11 @@ def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
+def _search(items: list[Item], known_words: np.ndarray, latent: np.ndarray):
     """Read rows to the confirmed (doc_id, item_id, share, cosine, …)."""
-    words = [table[(i.words % np.uint64(BUCKETS)).astype(np.int64)] for i in items]
-    answers = [table[(i.answer % np.uint64(BUCKETS)).astype(np.int64)] for i in items]
+    words = [np.searchsorted(known_words, i.words) for i in items]
+    answers = [np.searchsorted(known_words, i.answer) for i in items]
+    short = [len(w) < SHORT for w in words]
     masks = []
     for own in words:
         mask: dict[int, int] = {}
@@ -292,17 +312,17 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
         # The shortest items are searched for in windows of one block and, as their words may stand apart, of two.
         mine = [k for k, item in enumerate(items) if item.scale == scale or (scale == 2 and item.scale == 1)]
         if mine:
-            vectors = np.stack([latent[words[k]].sum(0) for k in mine])
+            vectors = np.stack([latent[words[k] % COLUMNS].sum(0) for k in mine])
             norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
             groups.append((scale, np.array(mine), np.ascontiguousarray((vectors / norms).T)))
     pad = groups[-1][0]
     seeds = _seeds(words)
     # How often an item has each column, and which columns its answer has.
     width = len(latent)
-    times = np.stack([np.minimum(np.bincount(w, minlength=width), 255).astype(np.uint8) for w in words])
+    times = np.stack([np.minimum(np.bincount(w % COLUMNS, minlength=width), 255).astype(np.uint8) for w in words])
     asked = np.zeros((len(items), width), bool)
     for k, answer in enumerate(answers):
-        asked[k, answer[answer >= 0]] = True
+        asked[k, answer % COLUMNS] = True
     sizes_of = np.array([len(w) for w in words])
     least = np.where(sizes_of < SHORT, 1.0, LEAST_COMMON) * sizes_of
     with_answer = np.where(sizes_of < SHORT, 1.0, LEAST_WITH_ANSWER) * sizes_of
@@ -320,11 +340,11 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
 
     scales = np.array([max(item.scale, 2) for item in items])
 
-    def seeded(column, block, blocks, known):
+    def seeded(word, block, blocks, known):
         """(items, blocks) where the items would start, of the seeds that rows hold."""
         row_of = np.searchsorted(blocks, block, "right") - 1
         for size, (codes, item, place) in seeds.items():
-            own = _codes(column, size)
+            own = _codes(word, size)
             first, stop = np.searchsorted(codes, own, "left"), np.searchsorted(codes, own, "right")
             hit = np.flatnonzero((stop > first) & (row_of[: len(own)] == row_of[size - 1 : size - 1 + len(own)]))
             times = stop[hit] - first[hit]
@@ -341,32 +361,37 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             out = []
-            for i, column, block, blocks in _batched(batch, 1, 128, pad):
+            for i, word, block, places, blocks in _batched(batch, 1, 128, pad):
                 best: dict[tuple[int, int], tuple] = {}
+                column = word % COLUMNS
                 if not len(column):
                     continue
 
-                def confirm(k, row, at, own, cosine, window=None):
+                def confirm(k, row, at, low, high, cosine, window=None):
                     """Keep the window if enough of the item stands in it, in order, and more than in those before."""
                     before = best.get((row, k), (0, 0))[1]
                     if before == len(words[k]):
                         return
-                    common = common_length(own, masks[k], len(words[k]))
+                    own, where = word[low:high], places[low:high]
+                    if short[k]:
+                        common = len(words[k]) if _whole(own, where, words[k]) else 0
+                    else:
+                        common = common_length(own, masks[k], len(words[k]))
                     if common <= before:
                         return
-                    held = common >= with_answer[k] and _holds(own, answers[k])
+                    held = common >= with_answer[k] and len(answers[k]) >= 3 and _whole(own, where, answers[k])
                     if common >= least[k] or held:
                         if cosine is None:
-                            one, two = latent[window].sum(0), latent[words[k]].sum(0)
+                            one, two = latent[window].sum(0), latent[words[k] % COLUMNS].sum(0)
                             cosine = one @ two / max(float(np.linalg.norm(one) * np.linalg.norm(two)), 1e-12)
                         best[row, k] = (float(cosine), common, held, int(at - blocks[row]) * BLOCK)
 
                 n = int(blocks[-1])
                 sums = np.zeros((n, latent.shape[1]), np.float32)
                 known = np.searchsorted(block, np.arange(n + 1))
-                place = np.arange(len(block)) - known[block]
+                nth = np.arange(len(block)) - known[block]
                 for k in range(BLOCK):  # a block has one k-th word
-                    kth = np.flatnonzero(place == k)
+                    kth = np.flatnonzero(nth == k)
                     sums[block[kth]] += latent[column[kth]]
                 # Rows are padded with empty blocks, so a window never reaches into the next row.
                 window, length = sums.copy(), 1
@@ -375,25 +400,29 @@ def _search(items: list[Item], table: np.ndarray, latent: np.ndarray):
                         window[: n - k] += sums[k:]
                     length = scale
                     norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-6)
-                    near = (window / norms[:, None]) @ vectors
-                    flat = np.flatnonzero(near >= LEAST_COSINE)
-                    at, m = flat // near.shape[1], flat % near.shape[1]
+                    hits = []
+                    for tile in range(0, n, TILE_BLOCKS):
+                        part = slice(tile, tile + TILE_BLOCKS)
+                        near = (window[part] / norms[part, None]) @ vectors
+                        flat = np.flatnonzero(near >= LEAST_COSINE)
+                        hits.append((tile + flat // near.shape[1], flat % near.shape[1], near.ravel()[flat]))
+                    at, m, cosines = (np.concatenate(h) for h in zip(*hits))
                     row_of = np.searchsorted(blocks, at, "right") - 1
                     real = at < blocks[row_of + 1] - pad
-                    at, m, row_of = at[real], m[real], row_of[real]
+                    at, m, cosines, row_of = at[real], m[real], cosines[real], row_of[real]
                     low = known[np.maximum(at - 1, blocks[row_of])]
                     high = known[np.minimum(at + scale + 1, n)]
                     for c in np.flatnonzero(possible(mine[m], low, high, column)) if len(at) else ():
-                        confirm(int(mine[m[c]]), int(row_of[c]), int(at[c]), column[low[c] : high[c]], near[at[c], m[c]])
+                        confirm(int(mine[m[c]]), int(row_of[c]), int(at[c]), low[c], high[c], cosines[c])
                 # The cosine may miss a passage among rarer words, or one shorter than its window; its seeds do not.
-                for k, at in seeded(column, block, blocks, known):
+                for k, at in seeded(word, block, blocks, known):
                     row_of = np.searchsorted(blocks, at, "right") - 1
                     scale = scales[k]
                     low = known[np.maximum(at - 1, blocks[row_of])]
                     high = known[np.minimum(at + scale + 1, n)]
                     for c in np.flatnonzero(possible(k, low, high, column)):
                         own = column[known[at[c]] : known[min(at[c] + scale[c], n)]]
-                        confirm(int(k[c]), int(row_of[c]), int(at[c]), column[low[c] : high[c]], None, own)
+                        confirm(int(k[c]), int(row_of[c]), int(at[c]), low[c], high[c], None, own)
                 of_item: dict[tuple[int, int], tuple] = {}
                 for (row, k), (cosine, common, held, start) in best.items():
                     share = common / len(words[k])
@@ -421,12 +450,13 @@ def find_leaks(
     Every window of every document is compared with every item of its length in the latent space. Besides, what holds
     one of an item's seeds (runs of four words, or a shorter item whole) is a candidate whatever its cosine, so an item
     that is there word for word is always found. Candidates need
-    60 in 100 of the item's words in order, or 45 and its answer word for word (words that
-    no item has are passed over). The documents are read once, to the numbers of the words that items have. There is one row for a row of
-    `docs` and an item, with the window that has most of it (share of the item's words in order). Items are read
+    60 in 100 of the item's words in order, or 45 and its answer word for word. An item of fewer than eight words must be
+    there word for word, as must an answer: no other word may stand between. Words are compared by 64-bit hashes of their
+    own; only the latent search folds them to a bounded number of columns, so which items are confirmed does not depend
+    on how many others there are. The documents are read once, to the numbers of the words that items have. There is one
+    row for a row of `docs` and an item, with the window that has most of it (share of the item's words in order). Items are read
     in rounds of a bounded number, so what is sent to the tasks is bounded. An item longer than the longest window
-    is searched for in parts, and found with one. Items and documents without words (null, empty) match nothing; an
-    item of fewer than eight words must be there whole. Repeated documents and items are answered as often as they
+    is searched for in parts, and found with one. Items and documents without words (null, empty) match nothing. Repeated documents and items are answered as often as they
     come (an item_id once for a row of `docs`). Extra columns are ignored.
     """
     plain = short_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -437,8 +467,8 @@ def find_leaks(
         part = F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == number
         items = read_items(sorted(map(tuple, asked.where(part).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         if items:
-            table = columns_of(items)
-            read = settle(plain.mapInArrow(_read(table), "doc_id long, columns binary, blocks binary"))
-            latent = latent_space(read, int(table.max()) + 1)
-            found = found.union(read.mapInArrow(_search(items, table, latent), FOUND))
+            known = vocabulary(items)
+            read = settle(plain.mapInArrow(_read(known), "doc_id long, words binary, blocks binary"))
+            latent = latent_space(read, min(len(known), COLUMNS))
+            found = found.union(read.mapInArrow(_search(items, known, latent), FOUND))
     return found
