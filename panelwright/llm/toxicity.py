@@ -26,6 +26,8 @@ LEAST_DOCS, LEAST_RATIO = 3, 6.0
 WORD_CHARS = 40
 #: Characters scored at once.
 PIECE_CHARS = 1 << 18
+#: Examples projected at once while the machine is fitted.
+TILE_ROWS = 512
 
 _GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _SPACES = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0], np.uint32)
@@ -179,14 +181,18 @@ def landmark_machine(toxic: list[str], clean: list[str], weights: np.ndarray) ->
     values, vectors = np.linalg.eigh((kernel[picked] + kernel[picked].T) / 2)
     good = values > 1e-6 * values.max()
     project = vectors[:, good] / np.sqrt(values[good])
-    x = np.column_stack([kernel @ project, np.ones(len(examples))])
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], 1e-5)
+    w = np.zeros(project.shape[1] + 1)
+    ridge = np.full(len(w), 1e-5)
     ridge[-1] = 1e-8
-    for _ in range(30):  # Newton steps on the squared hinge loss
-        active = y * (x @ w) < 1
-        xa, ca = x[active], importance[active]
-        new = np.linalg.solve(xa.T @ (xa * ca[:, None]) + np.diag(ridge), xa.T @ (ca * y[active]))
+    for _ in range(30):  # Newton steps on the squared hinge loss; the projections are made some rows at a time
+        active = np.flatnonzero(y * (kernel @ (project @ w[:-1]) + w[-1]) < 1)
+        curve, slope = np.diag(ridge), np.zeros(len(w))
+        for k in range(0, len(active), TILE_ROWS):
+            rows = active[k : k + TILE_ROWS]
+            x = np.column_stack([kernel[rows] @ project, np.ones(len(rows))])
+            curve += x.T @ (x * importance[rows, None])
+            slope += x.T @ (importance[rows] * y[rows])
+        new = np.linalg.solve(curve, slope)
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
