@@ -27,12 +27,13 @@ def _salted(hot: DataFrame, other: DataFrame, salt: int):
     )
 
 
-def _once(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """`df`, an error when computed if a key is repeated."""
+def _once(df: DataFrame, keys: list[str], what: str, null_safe: bool) -> DataFrame:
+    """`df`, an error when computed if a key is repeated; one with a missing part only counts if it can match."""
     shown = F.concat(F.lit(f"{what}: key ({', '.join(keys)}) is repeated, for example "), F.to_json(F.struct(*keys)))
     counted = df.withColumn("__copies", F.count(F.lit(1)).over(W.partitionBy(*keys)))
+    known = reduce(lambda p, q: p & q, [F.lit(null_safe) | F.col(k).isNotNull() for k in keys])
     return counted.filter(
-        F.when(F.col("__copies") > 1, F.raise_error(shown).cast("boolean")).otherwise(True)
+        F.when((F.col("__copies") > 1) & known, F.raise_error(shown).cast("boolean")).otherwise(True)
     ).drop("__copies")
 
 
@@ -72,8 +73,8 @@ def merge(
     lkeys, rkeys = [a for a, _ in pairs], [b for _, b in pairs]
     if validate:
         one_left, one_right = ONE_SIDED[validate]
-        left = _once(left, lkeys, "left side") if one_left else left
-        right = _once(right, rkeys, "right side") if one_right else right
+        left = _once(left, lkeys, "left side", null_safe) if one_left else left
+        right = _once(right, rkeys, "right side", null_safe) if one_right else right
     plain = hot is None and salt < 2
     hot = hot or ("right" if validate == "1:m" else "left")
 

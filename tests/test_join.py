@@ -146,3 +146,12 @@ def test_interval_merge_against_brute_force(spark, how):
     expected.sort(key=lambda r: tuple((v is not None, v if v is not None else 0) for v in r))
     for span in (None, 7, 1000):
         assert rows(join.interval_merge(left, right, "k", "t", "lo", "hi", how, span)) == expected
+
+
+def test_missing_keys_are_no_repeated_keys(spark):
+    """A key that cannot match may stand in many rows of a side that is checked; with null_safe it can match."""
+    left = table(spark, "k int, v int", (None, 1), (None, 2), (1, 3))
+    right = table(spark, "k int, w int", (1, 9), (None, 8))
+    assert rows(join.merge(left, right, "k", "left", validate="1:1")) == [(None, 1, None), (None, 2, None), (1, 3, 9)]
+    with pytest.raises(Exception, match="repeated"):
+        join.merge(left, right, "k", "left", validate="1:1", null_safe=True).collect()
