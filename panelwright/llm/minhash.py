@@ -223,8 +223,10 @@ def near_duplicates(
         .sortWithinPartitions("center", "salt", "turn")
         .mapInArrow(_confirm(percent), "u long, v long")
     )
-    near = settle(near.union(_late_links(buckets, components(near), sets, percent)))
-    joined = components(near)
+    # The late links join whole components, so the second search begins where the first one ended.
+    stars = components(near)
+    late = _late_links(buckets, stars, sets, percent)
+    joined = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).union(late))
     class_of = nodes.select("key", "doc_id").join(joined, F.col("key") == F.col("node"), "left")
     class_of = class_of.select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     least = class_of.groupBy("component").agg(F.min("doc_id").alias("component_id"))

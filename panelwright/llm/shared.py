@@ -59,6 +59,10 @@ def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
     return moved.select(*[F.col(c) for c in df.columns], name)
 
 
+#: Up to so many links are worked on by one task a step: shuffling them over many would cost more than the work.
+ONE_TASK_LINKS = 100_000
+
+
 def _totals(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast(T.DecimalType(38, 0)))
@@ -72,7 +76,8 @@ def components(edges: DataFrame, most: int = 64) -> DataFrame:
     Alternating large-star and small-star. A large-star points all larger neighbours of a node to its smallest
     neighbour, a small-star points all smaller ones there; both keep the components, and after few rounds every
     node points to the smallest one. The smallest neighbour is found by an aggregation that combines before its
-    shuffle, then joined to the links, whose hot nodes the session can split.
+    shuffle, then joined to the links, whose hot nodes the session can split. A round over few links (`ONE_TASK_LINKS`)
+    takes the same steps in one partition, without a shuffle.
     """
     edges = settle(
         edges.where("u <> v")
@@ -81,15 +86,23 @@ def components(edges: DataFrame, most: int = 64) -> DataFrame:
     )
     seen = _totals(edges)
     for _ in range(most):
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        few = seen[0] <= ONE_TASK_LINKS
+
+        def held(df: DataFrame, few: bool = few) -> DataFrame:
+            return df.coalesce(1) if few else df
+
+        def found(df: DataFrame, few: bool = few) -> DataFrame:
+            return df.hint("merge") if few else df  # nothing is sent to join rows of one partition
+
+        both = held(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        small = small.where("a <> b").union(down.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        large = both.join(found(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = held(large.where("u <> v").distinct())
+        down = held(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(found(down), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        small = held(small.where("a <> b").union(down.select(F.col("u").alias("a"), F.col("m").alias("b"))))
         edges = settle(small.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
-        now = _totals(edges)
+        now = _totals(held(edges))
         if now == seen:
             break
         seen = now
