@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from panelwright.operators.join import _pairs
 
 #: Pieces of the time axis for each shuffle partition that the widest node is made to leave.
-PIECES = 4
+PIECES = 1
 
 
 def _axis(df: DataFrame, col: str) -> Column:
@@ -57,7 +57,9 @@ def interval_merge(
     observed range, and some for each shuffle partition if it is very wide), and each distinct point of a key looks up
     the nodes that it lies in, one for each level. The nodes of an interval do not overlap, so a pair is found once.
     The widest nodes are small against the range, so the points of one hot key are spread over many tasks, and points
-    are made distinct before they are repeated: `left` itself joins what was found on key and time.
+    are made distinct before they are repeated: `left` itself joins what was found on key and time. The intervals are
+    many more rows repeated than Spark expects, so they are never broadcast: both sides are sorted and merged, which
+    spills where memory is short.
 
     The three times must be of one kind: dates, timestamps or whole numbers. A missing key, time or bound matches
     nothing, as does an interval that ends before it starts; with how='left' every left row stays.
@@ -90,7 +92,7 @@ def interval_merge(
         *[F.col(b).alias(f"{k}_r") for (_, b), k in zip(pairs, keys)],
         _axis(right, start).alias("__start"),
         _axis(right, end).alias("__end"),
-        F.struct(*rest, F.lit(1).alias("__in")).alias("__right"),
+        *[F.col(c).alias(f"__r_{c}") for c in rest],
     ).dropna(subset=[*[f"{k}_r" for k in keys], "__start", "__end"])
     held = held.withColumn("__seen", seen).withColumn("__top", top)
     held = held.withColumns(
@@ -99,11 +101,14 @@ def interval_merge(
             "__b": F.least("__end", F.col("__seen.last")) - F.col("__seen.first") + 1,
         }
     ).filter("__a < __b")
-    held = held.withColumn("__n", F.explode(nodes("__a", "__b", "__top")))
-    held = held.select(*[f"{k}_r" for k in keys], F.col("__n.level").alias("__l"), F.col("__n.at").alias("__a"), "__right")
+    # A small file is one task, and its intervals may become hundreds of rows each.
+    held = held.repartition(width).withColumn("__n", F.explode(nodes("__a", "__b", "__top")))
+    found_in = [f"__r_{c}" for c in rest]
+    held = held.select(*[f"{k}_r" for k in keys], F.col("__n.level").alias("__l"), F.col("__n.at").alias("__a"), *found_in)
 
     met = [F.col(k) == F.col(f"{k}_r") for k in keys] + [F.col("__level") == F.col("__l"), F.col("__node") == F.col("__a")]
-    found = looked.join(held, reduce(lambda p, q: p & q, met)).select(*keys, "__time", "__right")
+    # The few points of a node are held in memory while its intervals pass.
+    found = held.hint("merge").join(looked, reduce(lambda p, q: p & q, met)).select(*keys, "__time", *found_in)
     back = [F.col(a) == F.col(k) for (a, _), k in zip(pairs, keys)] + [F.col(at) == F.col("__time")]
     joined = left.join(found, reduce(lambda p, q: p & q, back), how)
-    return joined.select(*left.columns, *[F.col("__right").getField(c).alias(c) for c in rest])
+    return joined.select(*left.columns, *[F.col(f"__r_{c}").alias(c) for c in rest])

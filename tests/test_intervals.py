@@ -100,3 +100,14 @@ def test_empty_sides_and_wrong_arguments(spark):
         intervals.interval_merge(left, right.withColumn("t", F.lit(1)), "k", "t", "lo", "hi")
     with pytest.raises(TypeError):
         intervals.interval_merge(left, right.withColumn("lo", F.lit("x")), "k", "t", "lo", "hi")
+
+
+def test_repeated_intervals_are_not_broadcast(spark):
+    """A small file of wide intervals becomes many rows, which Spark does not expect and one node may not hold."""
+    points = table(spark, "k int, t int", *[(1, t) for t in range(0, 3000, 7)])
+    spans = spark.sql("SELECT * FROM VALUES (1, 0, 2500), (1, 10, 10) AS v(k, lo, hi)")  # of a known, small size
+    for how in ("inner", "left"):
+        joined = intervals.interval_merge(points, spans, "k", "t", "lo", "hi", how)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert ["SortMergeJoin" in line for line in plan if "Join" in line and "__level" in line] == [True], how
+        assert joined.filter("lo is not null").count() == 2500 // 7 + 1
