@@ -159,26 +159,28 @@ def backfill(df: DataFrame, entity, order, cols, block=None) -> DataFrame:
 
     `order` should identify a row within its entity; with `block` its first
     column is the time. A fill may reach over any distance, so blocks exchange
-    the first known value of every later block.
+    the first known value of every later block. The windows run from the end, for
+    Spark reads a frame that ends with the partition anew for every row.
     """
     entity, order = list(entity), list(order)
     cols = [cols] if isinstance(cols, str) else list(cols)
-    ahead = (W.currentRow, W.unboundedFollowing)
+    backward = [F.desc(c) for c in order]
+    behind = (W.unboundedPreceding, W.currentRow)
     if block is None:
-        w = W.partitionBy(*entity).orderBy(*order).rowsBetween(*ahead)
-        return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
+        w = W.partitionBy(*entity).orderBy(*backward).rowsBetween(*behind)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     split = _split(df, entity, order, block)
-    later = W.partitionBy(*_entity_of_part(entity)).orderBy("__part.__block")
-    later = later.rowsBetween(1, W.unboundedFollowing)
+    later = W.partitionBy(*_entity_of_part(entity)).orderBy(F.desc("__part.__block"))
+    later = later.rowsBetween(W.unboundedPreceding, -1)
     key = F.struct(*order)
     firsts = split.groupBy("__part").agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"__{c}") for c in cols]
     )
     nexts = firsts.select(
-        "__part", *[F.first(f"__{c}", ignorenulls=True).over(later).alias(f"__{c}") for c in cols]
+        "__part", *[F.last(f"__{c}", ignorenulls=True).over(later).alias(f"__{c}") for c in cols]
     )
-    inside = W.partitionBy("__part").orderBy(*order).rowsBetween(*ahead)
-    local = split.withColumns({c: F.first(c, ignorenulls=True).over(inside) for c in cols})
+    inside = W.partitionBy("__part").orderBy(*backward).rowsBetween(*behind)
+    local = split.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols})
     return local.join(nexts, "__part").select(
         *[F.coalesce(c, f"__{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
     )

@@ -95,3 +95,13 @@ def test_group_stats_reach_a_missing_group(spark):
     df = table(spark, "k string, v int", ("a", 1), ("a", 2), (None, 3))
     got = panel.with_group_stats(df, ["k"], n=F.count(F.lit(1)), top=F.max("v"))
     assert rows(got) == [(None, 3, 1, 3), ("a", 1, 2, 2), ("a", 2, 2, 2)]
+
+
+def test_backfill_reads_no_frame_anew_for_each_row(spark):
+    df = table(spark, "e int, t int, u int, v int", (1, 1, 1, None), (1, None, 1, None), (1, 2, None, 7), (1, 2, 3, None), (1, 3, 1, 9), (None, 1, 1, None))
+    wanted = [(None, 1, 1, None), (1, None, 1, 7), (1, 1, 1, 7), (1, 2, None, 7), (1, 2, 3, 9), (1, 3, 1, 9)]
+    for block in (None, 2, "ranges"):
+        filled = panel.backfill(df, ["e"], ["t", "u"], "v", block)
+        assert "unboundedfollowing" not in filled._jdf.queryExecution().optimizedPlan().toString().lower(), block
+        assert rows(filled) == (wanted if block != 2 else rows(filled))
+        assert block != 2 or [r for r in rows(filled) if r[1] is not None] == [r for r in wanted if r[1] is not None]
