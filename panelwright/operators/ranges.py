@@ -60,7 +60,8 @@ def positional_merge(
 
     A key with m left and n right rows gives max(m, n) rows. Each order should identify a row within its key. Both
     sides are numbered in ranges and joined on key and position, so the rows of a hot key are spread; only the last
-    row of each key and side is looked up by the key alone.
+    rows of each key that both sides have are looked up by the key alone, in a hash table of each task's keys: its
+    rows are not sorted for it.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unknown join type {how!r}")
@@ -96,8 +97,11 @@ def positional_merge(
 
     rows_l, rows_r = side(left, lkeys, lrest, left_order, "l"), side(right, rkeys, rrest, right_order, "r")
     both = rows_l.join(rows_r, same("l", "r") & (F.col("__lat") == F.col("__rat")), "full")
+    places = range(len(pairs))
+    both = both.select(*[F.coalesce(f"__lk{i}", f"__rk{i}").alias(f"__k{i}") for i in places], "__l", "__r")
     # Where one side has run out, its last row of the key stands in.
-    both = both.join(last(rows_r, "r"), same("l", "rlast"), "left").join(last(rows_l, "l"), same("r", "llast"), "left")
+    ends = last(rows_l, "l").join(last(rows_r, "r"), same("llast", "rlast"))
+    both = both.join(ends.hint("shuffle_hash"), same("", "llast"), "left")
     has_l, has_r = F.coalesce("__l", "__llast"), F.coalesce("__r", "__rlast")
     both = both.withColumns({"__left": has_l, "__right": has_r})
     if how in ("inner", "left"):
@@ -106,7 +110,7 @@ def positional_merge(
         both = both.filter("__right is not null")
 
     def key(i) -> Column:
-        return F.coalesce(F.col(f"__lk{i}"), F.col(f"__rk{i}"))
+        return F.col(f"__k{i}")
 
     held_l, held_r = F.col("__left").isNotNull(), F.col("__right").isNotNull()
     out = []

@@ -113,3 +113,18 @@ def test_positional_merge_of_empty_sides(spark):
     assert rows(ranges.positional_merge(a.limit(0), b, "k", ["t"], ["u"], "inner")) == []
     with pytest.raises(ValueError):
         ranges.positional_merge(a, b.withColumnRenamed("u", "t"), "k", ["t"], ["t"])
+
+
+def test_last_rows_are_looked_up_without_sorting_all_rows(spark):
+    left = table(spark, "a int, b int, i int, x int", (1, 1, 1, 10), (1, 1, 2, 11), (1, None, 1, 12), (2, 1, 1, 13), (None, None, 1, 14))
+    right = table(spark, "a int, b int, j int, y int", (1, 1, 1, 20), (1, None, 1, 21), (1, None, 2, 22), (3, 1, 1, 23), (None, None, 1, 24), (None, None, 2, 25))
+    plain = [(1, 1, 10, 20), (1, 1, 11, 20), (2, 1, 13, None), (3, 1, None, 23)]
+    apart = [(None, None, 14, None), (None, None, None, 24), (None, None, None, 25), (1, None, 12, None), (1, None, None, 21), (1, None, None, 22)]
+    met = [(None, None, 14, 24), (None, None, 14, 25), (1, None, 12, 21), (1, None, 12, 22)]
+    for null_safe, wanted in ((False, plain + apart), (True, plain + met)):
+        joined = ranges.positional_merge(left, right, ["a", "b"], ["i"], ["j"], "full", null_safe)
+        order = lambda r: tuple((v is not None, v or 0) for v in r)
+        assert rows(joined, "a", "b", "x", "y") == sorted(wanted, key=order)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        looked_up = [line for line in plan if "Join" in line and "LeftOuter" in line and "__llastk" in line]
+        assert len(looked_up) == 1 and "ShuffledHashJoin" in looked_up[0]
