@@ -114,6 +114,8 @@ def merge(
             return left.join(right, condition, kind)
         h, o = _salted(left, right, salt) if hot == "left" else _salted(right, left, salt)
         spread = condition & (F.col("__salt_h") == F.col("__salt_o"))
+        # Spark expects as many rows as before the repeating, and would broadcast `salt` times what it takes for small.
+        o = o.hint("merge")
         both = h.join(o, spread, kind) if hot == "left" else o.join(h, spread, kind)
         return both.drop("__salt_h", "__salt_o")
 

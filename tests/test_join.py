@@ -155,3 +155,16 @@ def test_missing_keys_are_no_repeated_keys(spark):
     assert rows(join.merge(left, right, "k", "left", validate="1:1")) == [(None, 1, None), (None, 2, None), (1, 3, 9)]
     with pytest.raises(Exception, match="repeated"):
         join.merge(left, right, "k", "left", validate="1:1", null_safe=True).collect()
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    """Spark counts the rows of the other side before they are repeated, so it takes them for small."""
+    left = table(spark, "k int, x int", *[(k % 3, k) for k in range(30)])
+    right = spark.sql("SELECT * FROM VALUES (0, 5), (1, 6), (7, 7) AS v(k, y)")  # of a known, small size
+    for how, n in (("inner", 20), ("left", 30), ("right", 21), ("full", 31)):
+        for hot, sides in (("left", (left, right)), ("right", (right, left))):
+            kind = how if hot == "left" else {"left": "right", "right": "left"}.get(how, how)
+            merged = join.merge(*sides, "k", kind, hot=hot, salt=8)
+            plan = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+            assert ["SortMergeJoin" in line for line in plan if "Join" in line and "__salt_h" in line] == [True], (how, hot)
+            assert merged.count() == n, (how, hot)
