@@ -106,3 +106,22 @@ def test_scratch_is_empty_after_clearing(spark):
     assert system.listStatus(root)
     tables.clear_scratch(spark)
     assert not [e for e in system.listStatus(root) if "panelwright-" in e.getPath().getName()]
+
+
+def test_code_is_short_enough_to_be_compiled(spark, monkeypatch):
+    """Java only interprets methods beyond 8,000 bytes; nine percentiles of two columns must stay below."""
+    monkeypatch.setattr(quantile, "freeze", lambda df: df)
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).cast("double").alias("a"), (F.col("id") % 10).cast("double").alias("b"))
+    fractions = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
+    _, ranked = quantile.with_percentiles(df, ["a", "b"], fractions, definition="averaged")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has no code before it runs
+    try:
+        made = debug.codegenStringSeq(ranked.select("*")._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+    assert sizes and max(sizes) < 8000, sizes
+    found = {r["variable"]: r["__values"] for r in ranked.collect()}
+    assert found["a"] == [round(p * 3000) - 0.5 for p in fractions]
+    assert found["b"] == [0, 0, 0.5, 2, 4.5, 7, 8.5, 9, 9]
