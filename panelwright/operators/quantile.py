@@ -111,13 +111,13 @@ def with_percentiles(
         cut = attach(attach(rows, own, by), whole, ())
         kinds = dict(rows.dtypes)
         nulls = {b: F.lit(None).cast(kinds[b]).alias(b) for b in by}
-        entries = _entries(cols, "s", [*[F.col(b) for b in by], F.lit(False).alias("is_total")])
-        entries += _entries(cols, "t", [*nulls.values(), F.lit(True).alias("is_total")])
+        entries = _entries(cols, fractions, "s", [*[F.col(b) for b in by], F.lit(False).alias("is_total")])
+        entries += _entries(cols, fractions, "t", [*nulls.values(), F.lit(True).alias("is_total")])
         by = [*by, "is_total"]
     else:
         cut = attach(rows, groups.select(*by, *names), by)
-        entries = _entries(cols, "s", [F.col(b) for b in by])
-    placed = _placed(cut.select(F.inline(F.array(*entries))), fractions)
+        entries = _entries(cols, fractions, "s", [F.col(b) for b in by])
+    placed = cut.select(F.inline(F.array(*entries))).filter("__zone IS NOT NULL")
     key = [*by, "variable", "__zone"]
     counted = placed.groupBy(*key, F.when(F.col("__near"), F.col("__x")).alias("__x")).agg(
         F.count(F.lit(1)).alias("__m"), F.min("__x").alias("__least"), F.max("__x").alias("__most")
@@ -174,33 +174,34 @@ def _ranked(seen: DataFrame, by, fractions, definition: str) -> DataFrame:
     return pairs.select(*group, F.when(F.col("__missed"), failed).otherwise(F.array(*values)).alias("__values"))
 
 
-def _entries(cols, sketch, keys) -> list:
-    """For each column its value and the cuts of its group."""
-    return [
-        F.struct(
-            *keys, F.lit(name).alias("variable"), F.col(f"__x{i}").alias("__x"), F.col(f"__{sketch}{i}.cuts").alias("__cuts")
-        )
-        for i, name in enumerate(cols)
-    ]
-
-
-def _placed(values: DataFrame, fractions) -> DataFrame:
-    """The known values, each with its place: the zone between cuts, in pieces, and whether in a bracket.
+def _entries(cols, fractions, sketch, keys) -> list:
+    """For each column its value's place: the zone between cuts, in pieces, and whether in a bracket.
 
     The cuts rise with the fraction, at either end of the brackets: a value has entered the first brackets and left
-    the first of those. The two numbers are found once for each value and all else follows from them, which keeps
-    the code short enough for Java to compile.
+    the first of those. The two numbers are found once for each value and all else follows from them; written out
+    for every bracket, the code grows too long for Java to compile.
     """
-    at_least = [f"int(__x >= __cuts[{2 * k}])" for k in range(len(fractions))]
-    above = [f"int(__x > __cuts[{2 * k + 1}])" for k in range(len(fractions))]
-    known = values.filter("__x IS NOT NULL")
-    known = known.withColumns({"__entered": F.expr(" + ".join(at_least)), "__left": F.expr(" + ".join(above))})
-    # Which brackets hold a value is the same all over a zone, so the pieces of the first keep the order.
-    low, high = "double(get(__cuts, 2 * __left))", "double(get(__cuts, 2 * __left + 1))"
-    share = f"try_divide(double(__x) - {low}, {high} - {low})"
-    piece = f"CASE WHEN __entered > __left THEN coalesce(least(try_cast({share} * {PARTS} AS INT), {PARTS - 1}), 0) ELSE 0 END"
-    places = {"__zone": F.expr(f"(__entered + __left) * {PARTS} + {piece}"), "__near": F.expr("__entered > __left")}
-    return known.withColumns(places).drop("__cuts", "__entered", "__left")
+
+    def entry(i, name):
+        x, cuts = f"__x{i}", f"__{sketch}{i}.cuts"
+        at_least = [f"int({x} >= {cuts}[{2 * k}])" for k in range(len(fractions))]
+        above = [f"int({x} > {cuts}[{2 * k + 1}])" for k in range(len(fractions))]
+        numbers = F.struct(F.expr(" + ".join(at_least)).alias("entered"), F.expr(" + ".join(above)).alias("left"))
+
+        def placed(v):
+            near = v.getField("entered") > v.getField("left")
+            # Which brackets hold a value is the same all over a zone, so the pieces of the first keep the order.
+            low, high = (F.get(F.col(cuts), 2 * v.getField("left") + end).cast("double") for end in (0, 1))
+            share = F.try_divide(F.col(x).cast("double") - low, high - low)
+            piece = F.coalesce(F.least((share * PARTS).try_cast("int"), F.lit(PARTS - 1)), F.lit(0))
+            zone = (v.getField("entered") + v.getField("left")) * PARTS + F.when(near, piece).otherwise(0)
+            return F.struct(
+                *keys, F.lit(name).alias("variable"), F.col(x).alias("__x"), zone.alias("__zone"), near.alias("__near")
+            )
+
+        return F.transform(F.array(numbers), placed).getItem(0)
+
+    return [entry(i, c) for i, c in enumerate(cols)]
 
 
 def _targets(zones: DataFrame, fractions, definition) -> DataFrame:
